@@ -24,69 +24,75 @@ def owner_name(path: Column) -> Column:
     return F.coalesce(F.get(functions, F.size(functions) - 1)["name"], F.lit(MODULE_OWNER))
 
 
-def functions(nodes: DataFrame) -> DataFrame:
-    """One row per sync function: name, span, parameter count, return annotation.
+def _events(nodes: DataFrame) -> DataFrame:
+    """Entries, exits, branches and returns, one row each.
 
-    One aggregate over the function's own row, its plain parameters and its
-    annotation; `arguments` directly follows its function in visit order.
+    A function's own row is first grouped with its plain parameters and its
+    return annotation (`arguments` directly follows its function in visit
+    order); a branch or return is a group by itself.  One scan feeds all of
+    it, so the layout of `nodes` carries through to the windows.
     """
-    kind, field = F.col("node_type"), F.col("field")
-    own = kind == "FunctionDef"
-    parameter = (F.col("parent_type") == "arguments") & (field == "args")
-    annotation = (F.col("parent_type") == "FunctionDef") & (field == "returns")
-    literal_none = (kind == "Constant") & (F.col("const_kind") == "None")
-    key = F.when(own, F.col("ord")).when(parameter, F.col("parent") - 1).otherwise(F.col("parent"))
+    node, above, field = F.col("node_type"), F.col("parent_type"), F.col("field")
+    own = node == "FunctionDef"
+    step = node.isin(*_BRANCHES, "Return")
+    parameter = (above == "arguments") & (field == "args")
+    annotation = (above == "FunctionDef") & (field == "returns")
+    literal_none = (node == "Constant") & (F.col("const_kind") == "None")
+    main = own | step
     grouped = (
-        nodes.filter(own | parameter | annotation)
-        .groupBy("file", key.alias("def_ord"))
+        nodes.filter(main | parameter | annotation)
+        # an annotation that branches (`-> a or b`) speaks twice: as itself and for its function
+        .withColumn(
+            "site",
+            F.explode(
+                F.array_compact(
+                    F.array(
+                        F.when(main, F.col("ord")),
+                        F.when(parameter, F.col("parent") - 1).when(annotation, F.col("parent")),
+                    )
+                )
+            ),
+        )
+        .withColumn("own_row", F.col("site") == F.col("ord"))
+        .groupBy("file", "site")
         .agg(
-            F.max(F.when(own, F.col("name"))).alias("name"),
-            F.max(F.when(own, F.col("lineno"))).alias("lineno"),
-            F.max(F.when(own, F.col("end_ord"))).alias("end_ord"),
-            F.max(F.when(own, F.col("depth"))).alias("depth"),
-            F.count_if(parameter).alias("n_params"),
-            F.max(F.when(annotation, F.when(literal_none, 1).otherwise(2))).alias("returns"),
+            F.max(F.when(F.col("own_row"), F.when(own, 1).when(node == "Return", 3).otherwise(2))).alias("what"),
+            F.max(
+                F.when(F.col("own_row"), F.when(own, F.col("name")).otherwise(owner_name(F.col("path"))))
+            ).alias("owner"),
+            F.max(F.when(F.col("own_row"), F.col("lineno"))).alias("lineno"),
+            F.max(F.when(F.col("own_row"), F.col("end_ord"))).alias("end_ord"),
+            F.max(F.when(F.col("own_row"), F.col("depth"))).alias("def_depth"),
+            F.count_if(~F.col("own_row") & parameter).alias("n_params"),
+            F.max(F.when(~F.col("own_row") & annotation, F.when(literal_none, 1).otherwise(2))).alias("returns"),
         )
+        .filter(F.col("what").isNotNull())
     )
-    return grouped.filter(F.col("name").isNotNull())
-
-
-def _events(nodes: DataFrame, functions: DataFrame) -> DataFrame:
     zero = F.lit(0)
-    detail = F.struct("lineno", "n_params", "returns", "def_ord", F.col("depth").alias("def_depth"))
-
-    def moment(pos, is_exit, neg_depth, entry, detail_or_null):
-        return F.struct(
-            pos.alias("pos"),
-            F.lit(is_exit).alias("is_exit"),
-            neg_depth.alias("neg_depth"),
-            F.lit(entry).alias("entry"),
-            zero.alias("branch"),
-            zero.alias("ret"),
-            detail_or_null.alias("detail"),
-        )
 
-    spans = functions.select(
-        "file",
-        F.col("name").alias("owner"),
-        F.inline(
-            F.array(
-                moment(F.col("def_ord"), 0, zero, 1, F.when(F.lit(False), detail)),
-                moment(F.col("end_ord"), 1, -F.col("depth"), 0, detail),
-            )
-        ),
-    )
-    steps = nodes.filter(F.col("node_type").isin(*_BRANCHES, "Return")).select(
+    def moment(pos, is_exit, neg_depth):
+        return F.struct(pos.alias("pos"), F.lit(is_exit).alias("is_exit"), neg_depth.alias("neg_depth"))
+
+    enters = moment(F.col("site"), 0, zero)
+    leaves = moment(F.col("end_ord"), 1, -F.col("def_depth"))
+    what = F.col("what")
+    return grouped.select(
+        "*", F.inline(F.when(what == 1, F.array(enters, leaves)).otherwise(F.array(enters)))
+    ).select(
         "file",
-        owner_name(F.col("path")).alias("owner"),
-        F.col("ord").alias("pos"),
-        zero.alias("is_exit"),
-        zero.alias("neg_depth"),
-        zero.alias("entry"),
-        (F.col("node_type") != "Return").cast("int").alias("branch"),
-        (F.col("node_type") == "Return").cast("int").alias("ret"),
+        "owner",
+        "pos",
+        "is_exit",
+        "neg_depth",
+        ((what == 1) & (F.col("is_exit") == 0)).alias("entry"),
+        (what == 2).cast("int").alias("branch"),
+        (what == 3).cast("int").alias("ret"),
+        F.col("site").alias("def_ord"),
+        "lineno",
+        "def_depth",
+        "n_params",
+        "returns",
     )
-    return spans.unionByName(steps, allowMissingColumns=True)
 
 
 def running_counts(nodes: DataFrame) -> DataFrame:
@@ -97,9 +103,9 @@ def running_counts(nodes: DataFrame) -> DataFrame:
         .orderBy("pos", "is_exit", "neg_depth")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    entered = F.col("entry") == 1
+    entered = F.col("entry")
     totals = (
-        _events(nodes, functions(nodes))
+        _events(nodes)
         .withColumn("branches", F.sum("branch").over(so_far))
         .withColumn("returns_seen", F.sum("ret").over(so_far))
     )
@@ -120,12 +126,12 @@ def complexity(nodes: DataFrame) -> DataFrame:
         .select(
             "file",
             F.col("owner").alias("name"),
-            "detail.def_ord",
-            "detail.lineno",
+            "def_ord",
+            "lineno",
             F.col("pos").alias("end_ord"),
-            "detail.def_depth",
-            "detail.n_params",
-            "detail.returns",
+            "def_depth",
+            "n_params",
+            "returns",
             (F.col("since_branches") + 1).cast("int").alias("complexity"),
             (F.col("since_returns") > 0).alias("has_return"),
         )
@@ -135,7 +141,7 @@ def complexity(nodes: DataFrame) -> DataFrame:
 def final_complexity(nodes: DataFrame) -> DataFrame:
     """owners(file, name, complexity): last value per name, `<module>` included
     when the module itself branches."""
-    events = running_counts(nodes).withColumn("owner_counts", (F.col("entry") == 1) | (F.col("branch") == 1))
+    events = running_counts(nodes).withColumn("owner_counts", F.col("entry") | (F.col("branch") == 1))
     last = F.max_by("since_branches", F.struct("pos", "is_exit", "neg_depth"))
     return (
         events.groupBy("file", F.col("owner").alias("name"))
@@ -145,41 +151,53 @@ def final_complexity(nodes: DataFrame) -> DataFrame:
     )
 
 
-def high_complexity(complexity: DataFrame) -> DataFrame:
-    measured = F.col("complexity")
-    limit = F.when(measured >= vocab.COMPLEXITY_ERROR, vocab.COMPLEXITY_ERROR).otherwise(vocab.COMPLEXITY_WARNING)
-    return complexity.filter(measured >= vocab.COMPLEXITY_WARNING).select(
-        "file",
-        "lineno",
-        F.lit("HIGH_COMPLEXITY").alias("code"),
-        F.concat(
-            F.lit("Function '"), "name", F.lit("' complexity="), measured, F.lit(" (>= "), limit, F.lit(")")
-        ).alias("message"),
-        F.when(measured >= vocab.COMPLEXITY_ERROR, "ERROR").otherwise("WARNING").alias("severity"),
-        emit_key(F.col("end_ord"), 1, -F.col("def_depth"), F.lit(1)).alias("emit_key"),
+def _complex(measured: Column) -> tuple[Column, Column, Column]:
+    failing = measured >= vocab.COMPLEXITY_ERROR
+    limit = F.when(failing, vocab.COMPLEXITY_ERROR).otherwise(vocab.COMPLEXITY_WARNING)
+    message = F.concat(
+        F.lit("Function '"), "name", F.lit("' complexity="), measured, F.lit(" (>= "), limit, F.lit(")")
     )
+    return measured >= vocab.COMPLEXITY_WARNING, message, F.when(failing, "ERROR").otherwise("WARNING")
 
 
-def missing_returns(complexity: DataFrame) -> DataFrame:
+def _returns_nothing() -> Column:
     name = F.col("name")
-    annotated = F.col("returns").isNotNull()
     computes = (
         (F.col("n_params") > 0)
         & ~name.startswith("_")
         & ~text.contains_any(F.lower(name), vocab.PROCEDURE_WORDS)
     )
-    suspect = F.when(annotated, F.col("returns") == 2).otherwise(computes)
-    return complexity.filter(~F.col("has_return") & ~name.isin(vocab.NO_RETURN_NAMES) & suspect).select(
-        "file",
-        "lineno",
-        F.lit("MISSING_RETURN").alias("code"),
-        F.concat(F.lit("Function '"), "name", F.lit("' may be missing return statement")).alias("message"),
-        F.lit("WARNING").alias("severity"),
-        emit_key(F.col("end_ord"), 1, -F.col("def_depth"), F.lit(0)).alias("emit_key"),
-    )
+    suspect = F.when(F.col("returns").isNotNull(), F.col("returns") == 2).otherwise(computes)
+    return ~F.col("has_return") & ~name.isin(vocab.NO_RETURN_NAMES) & suspect
+
+
+def flow_findings(exits: DataFrame, only: str | None = None) -> DataFrame:
+    """Missing returns and high complexity, from one pass over the exits."""
+    is_complex, complex_message, complex_severity = _complex(F.col("complexity"))
+    missing_message = F.concat(F.lit("Function '"), "name", F.lit("' may be missing return statement"))
+
+    def finding(applies, sub, code, message, severity):
+        return F.when(
+            applies,
+            F.struct(
+                F.lit(code).alias("code"),
+                message.alias("message"),
+                severity.alias("severity"),
+                emit_key(F.col("end_ord"), 1, -F.col("def_depth"), F.lit(sub)).alias("emit_key"),
+            ),
+        )
+
+    checks = {
+        "MISSING_RETURN": finding(_returns_nothing(), 0, "MISSING_RETURN", missing_message, F.lit("WARNING")),
+        "HIGH_COMPLEXITY": finding(is_complex, 1, "HIGH_COMPLEXITY", complex_message, complex_severity),
+    }
+    wanted = [check for code, check in checks.items() if only in (None, code)]
+    return exits.select("file", "lineno", F.inline(F.array_compact(F.array(*wanted))))
+
+
+def high_complexity(exits: DataFrame) -> DataFrame:
+    return flow_findings(exits, "HIGH_COMPLEXITY")
 
 
-def flow_findings(nodes: DataFrame) -> DataFrame:
-    """Missing returns and high complexity from one pass over the exits."""
-    exits = complexity(nodes)
-    return missing_returns(exits).unionByName(high_complexity(exits))
+def missing_returns(exits: DataFrame) -> DataFrame:
+    return flow_findings(exits, "MISSING_RETURN")

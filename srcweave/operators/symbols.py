@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from srcweave.functions import text, vocab
 from srcweave.operators.rules import emit_key
-from srcweave.operators.syntax import imports
+from srcweave.operators.syntax import bound_name
 
 MODULE_SCOPE = 0
+_PACK = 1 << 32
 _VARIABLE_BUILTINS = [b for b in vocab.BUILTINS if not b[0].islower()]
 
 
@@ -87,80 +88,41 @@ def inferred_types(nodes: DataFrame) -> DataFrame:
 _EVENT = ["file", "scope_id", "name", "kind", "inferred_type", "ord", "sub", "lineno"]
 
 
-def _assign_definitions(nodes: DataFrame) -> DataFrame:
-    kind, field = F.col("node_type"), F.col("field")
-    label = infer_type(kind, F.col("const_kind"), F.col("op"), F.col("dotted"))
-    target = (field == "targets") & (kind == "Name")
-    parts = nodes.filter((F.col("parent_type") == "Assign") & (target | (field == "value")))
-    grouped = parts.groupBy("file", "parent").agg(
-        F.max(F.when(field == "value", label)).alias("inferred_type"),
-        F.max("stmt_line").alias("lineno"),
-        F.max(scope_of(F.col("path"))).alias("scope_id"),
-        F.sort_array(
-            F.collect_list(F.when(target, F.struct(F.col("field_idx").alias("sub"), "name")))
-        ).alias("targets"),
-    )
-    return grouped.select(
-        "file",
-        "scope_id",
-        F.col("parent").alias("ord"),
-        "lineno",
-        "inferred_type",
-        F.lit("variable").alias("kind"),
-        F.inline("targets"),
-    ).select(*_EVENT)
-
-
-def _import_definitions(nodes: DataFrame) -> DataFrame:
-    scoped = nodes.withColumn("scope_id", scope_of(F.col("path")))
-    bound = imports(scoped.select("file", "parent", "parent_type", "node_type", "field_idx", "name",
-                                  "asname", "module", "stmt_line", "scope_id"), "scope_id")
-    return bound.select(
-        "file",
-        "scope_id",
-        F.col("bound").alias("name"),
-        F.lit("import").alias("kind"),
-        F.lit("module").alias("inferred_type"),
-        "ord",
-        F.col("alias_idx").alias("sub"),
-        "lineno",
-    )
-
-
-def _named_definitions(nodes: DataFrame) -> DataFrame:
-    kind = F.when(F.col("node_type") == "ClassDef", "class").otherwise("function")
-    return nodes.filter(F.col("node_type").isin("FunctionDef", "ClassDef")).select(
-        "file",
-        scope_of(F.col("path")).alias("scope_id"),
-        "name",
-        kind.alias("kind"),
-        kind.alias("inferred_type"),
-        "ord",
-        F.lit(0).alias("sub"),
-        "lineno",
-    )
-
-
-def parameters(nodes: DataFrame) -> DataFrame:
-    """Plain parameters of sync functions; `ord` and `scope_id` are the function's.
+def define_events(nodes: DataFrame) -> DataFrame:
+    """events(file, scope_id, name, kind, ord, sub, lineno, def_depth): every
+    define in user code, `(ord, sub)` ordering them in time.
 
+    Each event comes from one node row, so this is a filter and a projection:
+    it keeps the layout of `nodes`, and windows over it need no exchange.
     `arguments` directly follows its function in visit order, which tells a
     function's parameters from those of a lambda inside it.
     """
+    node, above, field = F.col("node_type"), F.col("parent_type"), F.col("field")
     owner = F.get(F.col("path"), F.size("path") - 1)
-    plain = (F.col("parent_type") == "arguments") & (F.col("field") == "args")
-    return nodes.filter(
-        plain & (owner["kind"] == "FunctionDef") & (owner["ord"] == F.col("parent") - 1)
-    ).select(
+    target = (above == "Assign") & (field == "targets") & (node == "Name")
+    alias = node == "alias"
+    named = node.isin("FunctionDef", "ClassDef")
+    parameter = (
+        (above == "arguments")
+        & (field == "args")
+        & (owner["kind"] == "FunctionDef")
+        & (owner["ord"] == F.col("parent") - 1)
+    )
+    own_line = F.when(named, F.col("lineno")).otherwise(F.col("stmt_line"))
+    return nodes.filter(target | alias | named | parameter).select(
         "file",
-        owner["ord"].alias("scope_id"),
-        "name",
-        F.lit("parameter").alias("kind"),
-        F.lit(None).cast("string").alias("inferred_type"),
-        owner["ord"].alias("ord"),
-        F.col("field_idx").alias("sub"),
-        F.col("stmt_line").alias("lineno"),
-        (F.col("depth") - 2).alias("def_depth"),
+        F.when(parameter, owner["ord"]).otherwise(scope_of(F.col("path"))).alias("scope_id"),
+        F.when(alias, bound_name()).otherwise(F.col("name")).alias("name"),
+        F.when(target, "variable")
+        .when(alias, "import")
+        .when(parameter, "parameter")
+        .when(node == "ClassDef", "class")
+        .otherwise("function")
+        .alias("kind"),
+        F.when(named, F.col("ord")).when(parameter, owner["ord"]).otherwise(F.col("parent")).alias("ord"),
+        F.when(named, 0).otherwise(F.col("field_idx")).alias("sub"),
+        own_line.alias("lineno"),
+        F.when(parameter, F.col("depth") - 2).alias("def_depth"),
     )
 
 
@@ -183,25 +145,30 @@ def builtin_definitions(nodes: DataFrame) -> DataFrame:
 
 
 def definitions(nodes: DataFrame, *, built_ins: bool = False) -> DataFrame:
-    """Define events (file, scope_id, name, kind, inferred_type, ord, sub, lineno).
-
-    `(ord, sub)` orders them in time; one statement may define several names.
-    """
+    """Define events with inferred types:
+    (file, scope_id, name, kind, inferred_type, ord, sub, lineno)."""
+    values = inferred_types(nodes).withColumnRenamed("assign_ord", "ord")
+    kind = F.col("kind")
     events = (
-        _assign_definitions(nodes)
-        .unionByName(_import_definitions(nodes))
-        .unionByName(_named_definitions(nodes))
-        .unionByName(parameters(nodes).select(*_EVENT))
+        define_events(nodes)
+        .join(values, ["file", "ord"], "left")
+        .withColumn(
+            "inferred_type",
+            F.when(kind == "import", "module")
+            .when(kind.isin("function", "class"), kind)
+            .when(kind == "variable", F.col("inferred_type")),
+        )
+        .select(*_EVENT)
     )
     return events.unionByName(builtin_definitions(nodes)) if built_ins else events
 
 
-def first_definitions(definitions: DataFrame) -> DataFrame:
+def first_definitions(events: DataFrame) -> DataFrame:
     """symbols(file, scope_id, name, kind, ord, sub, lineno): the first define wins.
 
     Built-in names of the module scope keep their line-0 definition.
     """
-    first = definitions.groupBy("file", "scope_id", "name").agg(
+    first = events.groupBy("file", "scope_id", "name").agg(
         F.min(F.struct("ord", "sub", "kind", "lineno")).alias("first")
     )
     builtin = is_builtin(F.col("scope_id"), F.col("name"))
@@ -236,11 +203,13 @@ def resolve(uses: DataFrame, symbols: DataFrame) -> DataFrame:
     known = symbols.select("file", "scope_id", "name", F.col("ord").alias("def_ord"))
     joined = candidates.join(known, ["file", "scope_id", "name"], "left")
     visible = (F.col("def_ord") < F.col("ord")) | is_builtin(F.col("scope_id"), F.col("name"))
-    best = F.max(F.when(visible, F.struct("level", "scope_id")))
+    # level and scope packed into one number: its maximum is the innermost
+    # visible scope, and a numeric buffer keeps this a hash aggregate
+    packed = F.col("level").cast("long") * _PACK + F.col("scope_id")
     return (
         joined.groupBy("file", "ord", "name", "lineno")
-        .agg(best.alias("best"))
-        .select("file", "ord", "name", "lineno", F.col("best.scope_id").alias("scope_id"))
+        .agg(F.max(F.when(visible, packed)).alias("best"))
+        .select("file", "ord", "name", "lineno", (F.col("best") % _PACK).cast("int").alias("scope_id"))
     )
 
 
@@ -320,7 +289,7 @@ _DUPLICATES = {
 }
 
 
-def duplicates(definitions: DataFrame) -> DataFrame:
+def duplicates(events: DataFrame) -> DataFrame:
     """Imports, functions and classes whose name the scope already holds.
 
     The first definition of any kind is the one cited.
@@ -329,8 +298,7 @@ def duplicates(definitions: DataFrame) -> DataFrame:
     builtin = is_builtin(F.col("scope_id"), F.col("name"))
     kind = F.col("kind")
     seen = (
-        definitions.filter(F.col("ord") >= 0)
-        .withColumn("nth", F.row_number().over(place))
+        events.withColumn("nth", F.row_number().over(place))
         .withColumn("first_line", F.when(builtin, 0).otherwise(F.first("lineno").over(place)))
         .filter(kind.isin(*_DUPLICATES) & ((F.col("nth") > 1) | builtin))
     )
@@ -354,7 +322,8 @@ def duplicates(definitions: DataFrame) -> DataFrame:
 def unused_parameters(nodes: DataFrame, resolved: DataFrame) -> DataFrame:
     """Parameters no use resolves to, reported when their function ends."""
     key = ["file", "scope_id", "name"]
-    unused = parameters(nodes).join(resolved.select(*key), key, "left_anti")
+    parameters = define_events(nodes).filter(F.col("kind") == "parameter")
+    unused = parameters.join(resolved.select(*key), key, "left_anti")
     ends = nodes.filter(F.col("node_type") == "FunctionDef").select("file", F.col("ord").alias("scope_id"), "end_ord")
     return unused.join(ends, ["file", "scope_id"]).select(
         "file",

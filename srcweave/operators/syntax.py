@@ -12,7 +12,7 @@ import warnings
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NODE_FIELDS = {
@@ -44,7 +44,13 @@ NODE_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in NODE_FIELDS.items())
 NODE_COLUMNS = [c for c in NODE_FIELDS if c != "error"]
 
 _INT_COLUMNS = {name for name, kind in NODE_FIELDS.items() if kind == "int"}
-_FLAT_COLUMNS = [name for name, kind in NODE_FIELDS.items() if kind in ("int", "string")]
+_POSITION = [
+    "file", "ord", "parent", "depth", "field", "field_idx", "parent_type", "node_type", "lineno", "col",
+    "stmt_ord", "stmt_line",
+]
+_ATTRIBUTES = ["op", "name", "dotted", "ctx", "asname", "module", "const_kind", "const_str"]
+_ROW = _POSITION + _ATTRIBUTES
+_NOTHING: dict = {}
 _PATH_TYPE = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("name", pa.string())])
 _ERROR_TYPE = pa.struct(
     [
@@ -121,81 +127,80 @@ def _attributes(node, parent) -> dict:
 
 
 class _Rows:
-    """Columns of node rows on their way to Arrow."""
+    """Node rows on their way to Arrow."""
 
     def __init__(self):
-        self.flat = {name: [] for name in _FLAT_COLUMNS}
+        self.rows = []
+        self.ends = []
         self.path_offsets = [0]
         self.path = ([], [], [])
         self.errors = []
 
     def __len__(self):
-        return len(self.errors)
-
-    def add(self, error, path, **values):
-        for name, column in self.flat.items():
-            column.append(values.get(name))
-        for column, part in zip(self.path, zip(*path)):
-            column.extend(part)
-        self.path_offsets.append(len(self.path[0]))
-        self.errors.append(error)
+        return len(self.rows)
 
     def add_tree(self, file, tree):
         first = len(self)
-        pending = [(tree, None, -1, 0, None, 0, (), -1, None)]
+        parents = []
+        paths = self.path
+        pending = [(tree, None, None, -1, 0, None, 0, (), -1, None)]
         order = 0
         while pending:
-            node, parent, parent_ord, depth, field, index, path, stmt_ord, stmt_line = pending.pop()
+            node, parent, above, parent_ord, depth, field, index, path, stmt_ord, stmt_line = pending.pop()
+            node_type = type(node).__name__
             line = getattr(node, "lineno", None)
             if isinstance(node, ast.stmt):
                 stmt_ord, stmt_line = order, line
-            self.add(
-                None,
-                path,
-                file=file,
-                ord=order,
-                parent=parent_ord,
-                end_ord=order,
-                depth=depth,
-                field=field,
-                field_idx=index,
-                parent_type=None if parent is None else type(parent).__name__,
-                node_type=type(node).__name__,
-                lineno=line,
-                col=getattr(node, "col_offset", None),
-                stmt_ord=stmt_ord,
-                stmt_line=stmt_line,
-                **{k: _clean(v) for k, v in _attributes(node, parent).items()},
-            )
+            values = _attributes(node, parent) if node._fields else _NOTHING
+            self.rows.append(
+                (file, order, parent_ord, depth, field, index, above, node_type, line,
+                 getattr(node, "col_offset", None), stmt_ord, stmt_line)
+                + tuple([_clean(values.get(name)) for name in _ATTRIBUTES])
+            )
+            parents.append(parent_ord)
+            if path:
+                for column, part in zip(paths, zip(*path)):
+                    column.extend(part)
+            self.path_offsets.append(len(paths[0]))
             if isinstance(node, _DEFINITIONS):
-                path = path + ((order, type(node).__name__, _clean(node.name)),)
+                path = path + ((order, node_type, _clean(node.name)),)
             inner = []
             for name in node._fields:
                 value = getattr(node, name, None)
-                for i, child in enumerate(value if isinstance(value, list) else [value]):
-                    if isinstance(child, ast.AST):
-                        inner.append((child, node, order, depth + 1, name, i, path, stmt_ord, stmt_line))
+                if isinstance(value, ast.AST):
+                    inner.append((value, node, node_type, order, depth + 1, name, 0, path, stmt_ord, stmt_line))
+                elif isinstance(value, list):
+                    for i, child in enumerate(value):
+                        if isinstance(child, ast.AST):
+                            inner.append((child, node, node_type, order, depth + 1, name, i, path, stmt_ord, stmt_line))
             pending.extend(reversed(inner))
             order += 1
-        ends, parents = self.flat["end_ord"], self.flat["parent"]
-        for i in range(len(self) - 1, first, -1):
-            above = first + parents[i]
+        ends = list(range(order))
+        for i in range(order - 1, 0, -1):
+            above = parents[i]
             if ends[above] < ends[i]:
                 ends[above] = ends[i]
+        self.ends.extend(ends)
+        self.errors.extend([None] * (len(self) - first))
 
     def add_error(self, file, kind, problem):
         line = getattr(problem, "lineno", None)
-        error = {
-            "kind": kind,
-            "message": _clean(getattr(problem, "msg", None) or str(problem)),
-            "full": _clean(str(problem)),
-            "line": line,
-            "offset": getattr(problem, "offset", None),
-            "text": _clean(getattr(problem, "text", None)),
-        }
-        self.add(error, (), file=file, ord=-1, lineno=line)
+        self.errors.append(
+            {
+                "kind": kind,
+                "message": _clean(getattr(problem, "msg", None) or str(problem)),
+                "full": _clean(str(problem)),
+                "line": line,
+                "offset": getattr(problem, "offset", None),
+                "text": _clean(getattr(problem, "text", None)),
+            }
+        )
+        self.rows.append((file, -1) + (None,) * (len(_ROW) - 2))
+        self.ends.append(None)
+        self.path_offsets.append(len(self.path[0]))
 
     def batch(self) -> pa.RecordBatch:
+        columns = dict(zip(_ROW, zip(*self.rows)), end_ord=self.ends)
         arrays = []
         for name in NODE_FIELDS:
             if name == "path":
@@ -206,7 +211,7 @@ class _Rows:
             elif name == "error":
                 arrays.append(pa.array(self.errors, _ERROR_TYPE))
             else:
-                arrays.append(pa.array(self.flat[name], pa.int32() if name in _INT_COLUMNS else pa.string()))
+                arrays.append(pa.array(columns[name], pa.int32() if name in _INT_COLUMNS else pa.string()))
         return pa.RecordBatch.from_arrays(arrays, names=list(NODE_FIELDS))
 
 
@@ -286,22 +291,22 @@ def syntax_stats(nodes: DataFrame) -> DataFrame:
     )
 
 
-def imports(nodes: DataFrame, *carried: str) -> DataFrame:
-    """imports(file, ord, alias_idx, module, bound, lineno), one row per binding."""
+def bound_name() -> Column:
+    """Name an alias row binds: its `as` name, else the (first part of the) imported name."""
     plain = F.col("parent_type") == "Import"
-    package = F.coalesce(F.col("module"), F.lit(""))
+    return F.coalesce("asname", F.when(plain, F.substring_index("name", ".", 1)).otherwise(F.col("name")))
+
+
+def imports(nodes: DataFrame) -> DataFrame:
+    """imports(file, ord, alias_idx, module, bound, lineno), one row per binding."""
+    package = F.when(F.col("parent_type") == "ImportFrom", F.coalesce("module", F.lit(""))).otherwise("")
     return nodes.filter(F.col("node_type") == "alias").select(
         "file",
         F.col("parent").alias("ord"),
         F.col("field_idx").alias("alias_idx"),
-        F.when(plain | (package == ""), F.col("name"))
-        .otherwise(F.concat_ws(".", package, "name"))
-        .alias("module"),
-        F.coalesce(
-            "asname", F.when(plain, F.substring_index("name", ".", 1)).otherwise(F.col("name"))
-        ).alias("bound"),
+        F.when(package == "", F.col("name")).otherwise(F.concat_ws(".", package, "name")).alias("module"),
+        bound_name().alias("bound"),
         F.col("stmt_line").alias("lineno"),
-        *carried,
     )
 
 

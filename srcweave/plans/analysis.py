@@ -101,12 +101,13 @@ class Analysis:
     # -- names -------------------------------------------------------------
 
     @cached_property
-    def definitions(self) -> DataFrame:
-        return symbols.definitions(self.nodes)
+    def define_events(self) -> DataFrame:
+        return symbols.define_events(self.nodes)
 
     @cached_property
     def first_definitions(self) -> DataFrame:
-        return symbols.first_definitions(self.definitions)
+        """First define of every user-code symbol, staged."""
+        return self._stage(symbols.first_definitions(self.define_events), "symbols")
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -140,9 +141,9 @@ class Analysis:
     def semantic_findings(self) -> DataFrame:
         return findings.union_findings(
             symbols.undefined_variables(self.resolved),
-            symbols.duplicates(self.definitions),
+            symbols.duplicates(self.define_events),
             symbols.unused_parameters(self.nodes, self.resolved),
-            flow.flow_findings(self.nodes),
+            flow.flow_findings(flow.complexity(self.nodes)),
         )
 
     @cached_property
