@@ -8,6 +8,7 @@ nothing; every check is a query over these rows.
 from __future__ import annotations
 
 import ast
+import gc
 import warnings
 from collections.abc import Iterator
 
@@ -50,7 +51,6 @@ _POSITION = [
 ]
 _ATTRIBUTES = ["op", "name", "dotted", "ctx", "asname", "module", "const_kind", "const_str"]
 _ROW = _POSITION + _ATTRIBUTES
-_NOTHING: dict = {}
 _PATH_TYPE = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("name", pa.string())])
 _ERROR_TYPE = pa.struct(
     [
@@ -87,43 +87,56 @@ def _const_kind(value) -> str:
     return repr(value) if value is None or value is True or value is False else type(value).__name__
 
 
-def _attributes(node, parent) -> dict:
-    """Literal attributes of one node; whatever it lacks stays null."""
-    if isinstance(node, ast.Name):
-        return {"name": node.id, "dotted": node.id, "ctx": type(node.ctx).__name__}
-    if isinstance(node, ast.Constant):
-        kind = _const_kind(node.value)
-        return {"const_kind": kind, "const_str": node.value if kind == "str" else None}
-    if isinstance(node, ast.Attribute):
-        chain = None if isinstance(parent, ast.Attribute) else _dotted(node)
-        return {"name": node.attr, "dotted": chain, "ctx": type(node.ctx).__name__}
-    if isinstance(node, ast.Call):
-        return {"name": getattr(node.func, "attr", getattr(node.func, "id", None)), "dotted": _dotted(node.func)}
-    if isinstance(node, ast.keyword):
-        # A keyword also carries its literal or called function.
-        row = {"name": node.arg}
-        if isinstance(node.value, ast.Constant):
-            row.update(_attributes(node.value, node))
-        elif isinstance(node.value, ast.Call):
-            row["dotted"] = _dotted(node.value.func)
-        return row
-    if isinstance(node, ast.alias):
-        return {"name": node.name, "asname": node.asname, "module": getattr(parent, "module", None)}
-    if isinstance(node, ast.arg):
-        return {"name": node.arg}
-    row = {}
-    name = getattr(node, "name", None)
-    if isinstance(name, str):
-        row["name"] = name
-    if isinstance(node, ast.ImportFrom):
-        row["module"] = node.module
-    op = getattr(node, "op", None)
-    if op is not None:
-        row["op"] = type(op).__name__
-    ctx = getattr(node, "ctx", None)
-    if ctx is not None:
-        row["ctx"] = type(ctx).__name__
-    return row
+def _values(op=None, name=None, dotted=None, ctx=None, asname=None, module=None, const_kind=None, const_str=None):
+    return (op, name, dotted, ctx, asname, module, const_kind, const_str)
+
+
+def _of_constant(node, parent, **more):
+    kind = _const_kind(node.value)
+    return _values(const_kind=kind, const_str=_clean(node.value) if kind == "str" else None, **more)
+
+
+def _of_attribute(node, parent):
+    chain = None if type(parent) is ast.Attribute else _dotted(node)
+    return _values(name=node.attr, dotted=chain, ctx=type(node.ctx).__name__)
+
+
+def _of_call(node, parent):
+    called = node.func
+    return _values(name=getattr(called, "attr", getattr(called, "id", None)), dotted=_dotted(called))
+
+
+def _of_keyword(node, parent):
+    # A keyword also carries its literal or called function.
+    if isinstance(node.value, ast.Constant):
+        return _of_constant(node.value, node, name=node.arg)
+    return _values(name=node.arg, dotted=_dotted(node.value.func) if isinstance(node.value, ast.Call) else None)
+
+
+def _of_other(node, parent):
+    op, ctx = getattr(node, "op", None), getattr(node, "ctx", None)
+    name, module = getattr(node, "name", None), getattr(node, "module", None)
+    return _values(
+        op=op and type(op).__name__,
+        ctx=ctx and type(ctx).__name__,
+        name=name if isinstance(name, str) else None,
+        module=module if isinstance(module, str) else None,
+    )
+
+
+# Literal attributes of a node, by its type; whatever it lacks stays null.
+_ATTRIBUTES_OF = {
+    ast.Name: lambda node, parent: _values(name=node.id, dotted=node.id, ctx=type(node.ctx).__name__),
+    ast.Constant: _of_constant,
+    ast.Attribute: _of_attribute,
+    ast.Call: _of_call,
+    ast.keyword: _of_keyword,
+    ast.alias: lambda node, parent: _values(
+        name=node.name, asname=node.asname, module=getattr(parent, "module", None)
+    ),
+    ast.arg: lambda node, parent: _values(name=node.arg),
+}
+_NOTHING = _values()
 
 
 class _Rows:
@@ -132,82 +145,82 @@ class _Rows:
     def __init__(self):
         self.rows = []
         self.ends = []
-        self.path_offsets = [0]
-        self.path = ([], [], [])
+        self.path_ids = []
+        self.paths = {(): 0}
         self.errors = []
 
     def __len__(self):
         return len(self.rows)
 
     def add_tree(self, file, tree):
-        first = len(self)
-        parents = []
-        paths = self.path
-        pending = [(tree, None, None, -1, 0, None, 0, (), -1, None)]
-        order = 0
+        rows, path_ids, parents, order = self.rows, self.path_ids, [], 0
+        # what siblings share: parent type, parent position, depth, path, path id, statement
+        pending = [(tree, None, None, 0, (None, -1, 0, (), 0, -1, None))]
         while pending:
-            node, parent, above, parent_ord, depth, field, index, path, stmt_ord, stmt_line = pending.pop()
-            node_type = type(node).__name__
-            line = getattr(node, "lineno", None)
-            if isinstance(node, ast.stmt):
-                stmt_ord, stmt_line = order, line
-            values = _attributes(node, parent) if node._fields else _NOTHING
-            self.rows.append(
-                (file, order, parent_ord, depth, field, index, above, node_type, line,
-                 getattr(node, "col_offset", None), stmt_ord, stmt_line)
-                + tuple([_clean(values.get(name)) for name in _ATTRIBUTES])
-            )
+            node, parent, field, index, shared = pending.pop()
+            above, parent_ord, depth, path, path_id, stmt_ord, stmt_line = shared
+            kind = type(node)
+            node_type = kind.__name__
+            line = column = None
+            values = _NOTHING
+            if kind._fields:  # operators and contexts carry nothing
+                line = getattr(node, "lineno", None)
+                column = getattr(node, "col_offset", None)
+                values = _ATTRIBUTES_OF.get(kind, _of_other)(node, parent)
+                if issubclass(kind, ast.stmt):
+                    stmt_ord, stmt_line = order, line
+                inner_path, inner_id = path, path_id
+                if issubclass(kind, _DEFINITIONS):
+                    inner_path = path + ((order, node_type, node.name),)
+                    inner_id = self.paths.setdefault(inner_path, len(self.paths))
+                shared = (node_type, order, depth + 1, inner_path, inner_id, stmt_ord, stmt_line)
+                inner = []
+                for name in kind._fields:
+                    value = getattr(node, name, None)
+                    if isinstance(value, ast.AST):
+                        inner.append((value, node, name, 0, shared))
+                    elif type(value) is list:
+                        inner += [(v, node, name, i, shared) for i, v in enumerate(value) if isinstance(v, ast.AST)]
+                inner.reverse()
+                pending += inner
+            rows.append(
+                (file, order, parent_ord, depth, field, index, above, node_type, line, column, stmt_ord, stmt_line)
+                + values
+            )
             parents.append(parent_ord)
-            if path:
-                for column, part in zip(paths, zip(*path)):
-                    column.extend(part)
-            self.path_offsets.append(len(paths[0]))
-            if isinstance(node, _DEFINITIONS):
-                path = path + ((order, node_type, _clean(node.name)),)
-            inner = []
-            for name in node._fields:
-                value = getattr(node, name, None)
-                if isinstance(value, ast.AST):
-                    inner.append((value, node, node_type, order, depth + 1, name, 0, path, stmt_ord, stmt_line))
-                elif isinstance(value, list):
-                    for i, child in enumerate(value):
-                        if isinstance(child, ast.AST):
-                            inner.append((child, node, node_type, order, depth + 1, name, i, path, stmt_ord, stmt_line))
-            pending.extend(reversed(inner))
+            path_ids.append(path_id)
             order += 1
         ends = list(range(order))
         for i in range(order - 1, 0, -1):
             above = parents[i]
             if ends[above] < ends[i]:
                 ends[above] = ends[i]
-        self.ends.extend(ends)
-        self.errors.extend([None] * (len(self) - first))
+        self.ends += ends
+        self.errors += [None] * order
 
     def add_error(self, file, kind, problem):
-        line = getattr(problem, "lineno", None)
         self.errors.append(
             {
                 "kind": kind,
                 "message": _clean(getattr(problem, "msg", None) or str(problem)),
                 "full": _clean(str(problem)),
-                "line": line,
+                "line": getattr(problem, "lineno", None),
                 "offset": getattr(problem, "offset", None),
                 "text": _clean(getattr(problem, "text", None)),
             }
         )
         self.rows.append((file, -1) + (None,) * (len(_ROW) - 2))
         self.ends.append(None)
-        self.path_offsets.append(len(self.path[0]))
+        self.path_ids.append(0)
 
     def batch(self) -> pa.RecordBatch:
         columns = dict(zip(_ROW, zip(*self.rows)), end_ord=self.ends)
         arrays = []
         for name in NODE_FIELDS:
             if name == "path":
-                parts = pa.StructArray.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(self.path, _PATH_TYPE)], fields=list(_PATH_TYPE)
-                )
-                arrays.append(pa.ListArray.from_arrays(pa.array(self.path_offsets, pa.int32()), parts))
+                steps = [[dict(zip(("ord", "kind", "name"), step)) for step in path] for path in self.paths]
+                distinct = pa.array(steps, pa.list_(_PATH_TYPE))
+                arrays.append(distinct.take(pa.array(self.path_ids, pa.int32())))
             elif name == "error":
                 arrays.append(pa.array(self.errors, _ERROR_TYPE))
             else:
@@ -217,22 +230,26 @@ class _Rows:
 
 def _shred_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     warnings.simplefilter("ignore", SyntaxWarning)
-    rows = _Rows()
-    for batch in batches:
-        for file, source in zip(batch["file"].to_pylist(), batch["source"].to_pylist()):
-            try:
-                tree = ast.parse(source, filename=file or _UNKNOWN)
-            except SyntaxError as problem:
-                rows.add_error(file, "syntax", problem)
-            except (ValueError, RecursionError, MemoryError) as problem:
-                rows.add_error(file, "other", problem)
-            else:
-                rows.add_tree(file, tree)
-            if len(rows) >= _BATCH_ROWS:
-                yield rows.batch()
-                rows = _Rows()
-    if len(rows):
-        yield rows.batch()
+    gc.disable()  # trees and rows hold no cycles; reference counts free them
+    try:
+        rows = _Rows()
+        for batch in batches:
+            for file, source in zip(batch["file"].to_pylist(), batch["source"].to_pylist()):
+                try:
+                    tree = ast.parse(source, filename=file or _UNKNOWN)
+                except SyntaxError as problem:
+                    rows.add_error(file, "syntax", problem)
+                except (ValueError, RecursionError, MemoryError) as problem:
+                    rows.add_error(file, "other", problem)
+                else:
+                    rows.add_tree(file, tree)
+                if len(rows) >= _BATCH_ROWS:
+                    yield rows.batch()
+                    rows = _Rows()
+        if len(rows):
+            yield rows.batch()
+    finally:
+        gc.enable()
 
 
 def shred(sources: DataFrame) -> DataFrame:
