@@ -121,14 +121,21 @@ N_TEMPLATES = len(TEMPLATES)
 N_SIZES = 10
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, spread over the cores when it holds fewer files than cores."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores)
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sources(file, source), one row per order."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
     key = F.col("o_orderkey")
     template = F.element_at(F.array(*[F.lit(TEMPLATES[t]) for t in range(N_TEMPLATES)]),
                             (key % N_TEMPLATES + 1).cast("int"))
-    size = (F.floor(key / N_TEMPLATES) % N_SIZES).cast("int")
+    size = F.expr(f"cast((o_orderkey div {N_TEMPLATES}) % {N_SIZES} as int)")
     text = F.replace(template, F.lit("{k8}"), F.lpad(key.cast("string"), 8, "0"))
     text = F.replace(text, F.lit("{k}"), key.cast("string"))
     text = F.replace(text, F.lit("{body}"), F.repeat(F.lit(BODY), size))
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     return orders.select(F.concat(F.lit("src/f"), key, F.lit(".py")).alias("file"), text.alias("source"))

@@ -30,7 +30,7 @@ _TOKEN_BRANCHES = [
     r'"(?>[^"\\]++|\\[\s\S])*+(?:"|\\?\z)',
     r"'(?>[^'\\]++|\\[\s\S])*+(?:'|\\?\z)",
     rf"(?:0(?:[bB][01_]*|[oO][0-7_]*|[xX](?:{_DIGIT}|[a-fA-F_])*|\.{_DIGIT}*)?"
-    rf"|(?!0){_DIGIT}(?:{_DIGIT}|_)*(?:\.{_DIGIT}*)?)(?:[eE][+-]?{_DIGIT}*)?[jJ]?",
+    rf"|{_DIGIT}(?:{_DIGIT}|_)*(?:\.{_DIGIT}*)?)(?:[eE][+-]?{_DIGIT}*)?[jJ]?",
     r"[\p{L}_][\p{L}\p{N}_]*+",
     r"\.\.\.|//=|\*\*=|<<=|>>=|==|!=|<=|>=|<<|>>|\*\*|//|[+\-*/%&|^@:]=|->",
     r"[^ \t\r]",
