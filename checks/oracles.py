@@ -728,4 +728,17 @@ FROM findings WHERE code <> 'SYNTAX_ERROR'"""
 , hits AS (SELECT file, 'ERROR' AS severity FROM lint WHERE message IS NOT NULL
   UNION ALL SELECT file, 'ERROR' FROM src WHERE regexp_matches(source, {secret}))
 SELECT file, {counts} FROM hits GROUP BY ROLLUP (file)"""
+
+    # files and streams
+    q["src1_scan_sources"] = CORPUS.replace(" SELECT file, source FROM corpus", """
+SELECT 'a/' || CASE WHEN k % 3 = 0 THEN '.hidden/d' || (k % 7)::VARCHAR || '/__init__' ELSE '' END || ks || '.py' AS file,
+  md5(source) AS md5, NULL::VARCHAR AS error FROM corpus JOIN files USING (file)""")
+    q["src5_stream_sources"] = q["src1_scan_sources"]
+    q["st1_stream_scan"] = q["p1_findings"]
+    q["st2_stream_counts"] = lint_sql(DOCUMENTS) + f"""
+, hits AS (SELECT 'ERROR' AS severity, 'SQL_SYNTAX_ERROR' AS type FROM lint WHERE message IS NOT NULL
+  UNION ALL SELECT 'ERROR', 'ASSIGN -> SECRET_PATTERN' FROM src WHERE regexp_matches(source, {secret})
+  UNION ALL SELECT 'ERROR', 'ASSIGN -> AWS_KEY' FROM src WHERE regexp_matches(source, '^{vocab.AWS_KEY_REGEX}')
+  UNION ALL SELECT 'WARNING', 'ASSIGN -> LONG_TOKEN' FROM src WHERE regexp_full_match(source, '{vocab.LONG_TOKEN_REGEX}'))
+SELECT severity, type, count(*) AS n FROM hits GROUP BY ALL"""
     return q

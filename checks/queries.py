@@ -657,3 +657,88 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY["p3_text_severity_counts"] = flagship
+
+
+# -- files and streams -------------------------------------------------------------
+
+
+def _scratch(spark, label):
+    import uuid
+
+    return f"{session.scratch_dir(spark)}/{label}_{uuid.uuid4().hex}"
+
+
+def _save_batches(folder):
+    """Write (file, source) rows as files below a folder, inside tasks."""
+
+    def save(batches):
+        import os
+
+        for batch in batches:
+            for file, source in zip(batch["file"].to_pylist(), batch["source"].to_pylist()):
+                path = os.path.join(folder, file)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "w", encoding="utf-8", newline="") as out:
+                    out.write(source)
+            yield batch.select(["file"])
+
+    return save
+
+
+def _corpus_folder(spark, sf_dir):
+    """The corpus as `.py` files, some hidden or underscored, in nested folders."""
+    folder = _scratch(spark, "files")
+    k = F.regexp_extract("file", r"(\d+)", 1).cast("long")
+    place = F.when(k % 3 == 0, F.concat(F.lit("a/.hidden/d"), (k % 7).cast("string"), F.lit("/__init__"), k)).otherwise(
+        F.concat(F.lit("a/"), k)
+    )
+    named = corpus(spark, sf_dir).select(F.concat(place, F.lit(".py")).alias("file"), "source")
+    named.mapInArrow(_save_batches(folder), "file string").agg(F.count(F.lit(1))).collect()
+    return folder
+
+
+@query("src1_scan_sources")
+def _(spark, sf_dir):
+    from srcweave.sources.files import scan_sources
+
+    folder = _corpus_folder(spark, sf_dir)
+    files = scan_sources(spark, folder)
+    return files.select(
+        F.substring("file", len(folder) + 2, 1000).alias("file"), F.md5("source").alias("md5"), "error"
+    )
+
+
+@query("src5_stream_sources")
+def _(spark, sf_dir):
+    from srcweave.sources.files import stream_sources
+
+    folder, out = _corpus_folder(spark, sf_dir), _scratch(spark, "streamed")
+    stream = stream_sources(spark, folder, settle=0).select(
+        F.substring("file", len(folder) + 2, 1000).alias("file"), F.md5("source").alias("md5"), "error"
+    )
+    started = stream.writeStream.format("parquet").option("checkpointLocation", out + "_progress").trigger(availableNow=True)
+    started.start(out).awaitTermination()
+    return spark.read.schema("file string, md5 string, error string").parquet(out)
+
+
+@query("st1_stream_scan")
+def _(spark, sf_dir):
+    """The corpus as a stream of files in several micro-batches; same findings as the batch."""
+    from srcweave.streaming.scan import parquet_sink, stream_scan
+
+    feed, out = _scratch(spark, "feed"), _scratch(spark, "found")
+    corpus(spark, sf_dir).repartition(6).write.parquet(feed)
+    stream = spark.readStream.schema("file string, source string").option("maxFilesPerTrigger", 3).parquet(feed)
+    stream_scan(stream, parquet_sink(out), out + "_progress").awaitTermination()
+    return _flat(spark.read.parquet(out))
+
+
+@query("st2_stream_counts")
+def _(spark, sf_dir):
+    from srcweave.streaming.scan import stream_counts
+
+    schema = table(spark, sf_dir, "documents").schema
+    out = _scratch(spark, "counts")
+    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    stream_counts(source_table(docs, "doc_id", "text"), out, out + "_progress").awaitTermination()
+    return spark.read.parquet(out)

@@ -41,15 +41,18 @@ def decode_sources(df: DataFrame, mode: str = "strict") -> DataFrame:
     content = F.col("content")
     text = content.cast("string")
     valid = F.is_valid_utf8(text)
-    missing = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    unread = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    bad = F.lit("'utf-8' codec can't decode bytes")
+    if "utf8_error" in df.columns:
+        bad = F.coalesce("utf8_error", bad)
     if mode == "strict":
         return df.select(
             "file",
             F.when(valid, F.regexp_replace(text, "\r\n?", "\n")).alias("source"),
-            F.coalesce(missing, F.when(~valid, "'utf-8' codec can't decode bytes")).alias("error"),
+            F.coalesce(unread, F.when(~valid, bad)).alias("error"),
         )
     if mode == "ignore":
         return df.select(
-            "file", F.when(valid, text).otherwise(drop_invalid_utf8(content)).alias("source"), missing.alias("error")
+            "file", F.when(valid, text).otherwise(drop_invalid_utf8(content)).alias("source"), unread.alias("error")
         )
     raise ValueError("mode is 'strict' or 'ignore'")
