@@ -373,6 +373,7 @@ ALL_TEXT = f"""
 SELECT 'd' || file AS file, source FROM ({DOCUMENTS}) UNION ALL
 SELECT 'p' || file, source FROM ({PAGES}) UNION ALL
 SELECT 'c' || file, source FROM ({TALKS}) UNION ALL
+SELECT 'k' || c_custkey::VARCHAR, 'insertinto' || c_name || ' values' FROM customer UNION ALL
 SELECT file, source FROM ({CORPUS})"""
 
 
@@ -726,7 +727,9 @@ SELECT rpad(severity, 7, ' ') || ' ' || file || ':' || lpad(lineno::VARCHAR, 4,
 FROM findings WHERE code <> 'SYNTAX_ERROR'"""
     q["p3_text_severity_counts"] = lint_sql(DOCUMENTS) + f"""
 , hits AS (SELECT file, 'ERROR' AS severity FROM lint WHERE message IS NOT NULL
-  UNION ALL SELECT file, 'ERROR' FROM src WHERE regexp_matches(source, {secret}))
+  UNION ALL SELECT file, 'ERROR' FROM src WHERE regexp_matches(source, {secret})
+  UNION ALL SELECT file, 'ERROR' FROM src WHERE regexp_matches(source, '^{vocab.AWS_KEY_REGEX}')
+  UNION ALL SELECT file, 'WARNING' FROM src WHERE regexp_full_match(source, '{vocab.LONG_TOKEN_REGEX}'))
 SELECT file, {counts} FROM hits GROUP BY ROLLUP (file)"""
 
     # files and streams

@@ -55,8 +55,12 @@ def all_text(spark, sf_dir):
     def tagged(prefix, df):
         return df.withColumn("file", F.concat(F.lit(prefix), "file"))
 
+    # customer names run into SQL words, so that every lint branch has texts to find
+    clients = table(spark, sf_dir, "customer")
+    run_on = source_table(clients, "c_custkey", F.concat(F.lit("insertinto"), F.col("c_name"), F.lit(" values")))
     return (
         tagged("d", documents(spark, sf_dir))
+        .unionByName(tagged("k", run_on))
         .unionByName(tagged("p", pages(spark, sf_dir)))
         .unionByName(tagged("c", talks(spark, sf_dir)))
         .unionByName(corpus(spark, sf_dir))
@@ -649,11 +653,9 @@ def _(spark, sf_dir):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity counts per file over SQL lint and secrets of all document text."""
-    session.tune(spark)
-    texts = documents(spark, sf_dir)
-    linted = sql_lint.sql_lint(texts, "source").select("file", F.lit("ERROR").alias("severity"))
-    secrets = texts.filter(text.secret_pattern(F.col("source"))).select("file", F.lit("ERROR").alias("severity"))
-    return report.severity_counts(linted.unionByName(secrets))
+    from srcweave.streaming.scan import text_findings
+
+    return report.severity_counts(text_findings(documents(session.tune(spark), sf_dir)))
 
 
 REGISTRY["p3_text_severity_counts"] = flagship

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,9 +14,27 @@ from srcweave.functions import vocab
 WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
+def any_word(words: Iterable[str]) -> str:
+    """Regular expression matching any of `words`, with common prefixes shared.
+
+    A plain alternation tries every word at every position of a text; sharing
+    prefixes leaves one test per distinct first letter.
+    """
+    tails: dict[str, list[str]] = {}
+    for word in dict.fromkeys(words):
+        tails.setdefault(word[:1], []).append(word[1:])
+    branches = [
+        re.escape(first) + (any_word(rest) if len(rest) > 1 else re.escape(rest[0]))
+        for first, rest in tails.items()
+        if first
+    ]
+    body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+    return f"(?:{body})?" if "" in tails else body
+
+
 def contains_any(text: Column, words: list[str]) -> Column:
     """True when any of `words` occurs in `text` as a substring."""
-    return text.rlike("|".join(re.escape(w) for w in words))
+    return text.rlike(any_word(words))
 
 
 def secret_pattern(text: Column) -> Column:

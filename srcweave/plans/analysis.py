@@ -11,21 +11,28 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from srcweave import session
 from srcweave.operators import findings, flow, report, rules, sql_lint, symbols, syntax, tokens
 from srcweave.plans import summary
+from srcweave.sources.files import scan_sources
+from srcweave.sources.tables import source_table
 
 
 class Analysis:
     """Lazily built relations of one corpus of sources(file, source).
 
+    `file` names a row: two rows must not share it.  A file is one row of the
+    input, so whatever is grouped per file is bounded by what one row holds.
+
     prescreen    only report on files holding a suspicious word
     typos, rules extra rows for the SQL word and rule tables
-    failures     (file, error) rows of files that could not be read
     partitions   hash partitions of the layout; by default from the input size
+    keep_sources write the sources down first, when reading them again is
+                 costly or may differ (directories, streams); rows with an
+                 `error` column set are reported instead of analysed
     """
 
     def __init__(
@@ -35,17 +42,23 @@ class Analysis:
         prescreen: bool = False,
         typos: DataFrame | None = None,
         rules: DataFrame | None = None,
-        failures: DataFrame | None = None,
         partitions: int | None = None,
+        keep_sources: bool = False,
     ):
         session.tune(sources.sparkSession)
+        self._staged: list[str] = []
+        if keep_sources:
+            sources, name = session.store(sources, "sources")
+            self._staged.append(name)
+        self.read_failures = None
+        if "error" in sources.columns:
+            self.read_failures = sources.filter(F.col("error").isNotNull()).select("file", "error")
+            sources = sources.filter(F.col("error").isNull())
         self.sources = sources.select("file", "source").filter(F.col("source").isNotNull())
         self.prescreen = prescreen
         self.extra_typos = typos
         self.extra_rules = rules
-        self.read_failures = failures
         self.partitions = partitions or session.partitions_for(sources)
-        self._staged: list[str] = []
 
     def _stage(self, df: DataFrame, label: str, *, shuffle: bool = True) -> DataFrame:
         table, name = session.stage(df, label, self.partitions, shuffle=shuffle)
@@ -152,7 +165,7 @@ class Analysis:
         broken = self.parse_failures.filter(F.col("kind") == "other").select("file", F.col("message").alias("error"))
         rows = findings.error_rows(broken)
         if self.read_failures is not None:
-            rows = rows.unionByName(findings.error_rows(self.read_failures.select("file", "error")))
+            rows = rows.unionByName(self.read_failures)
         return rows
 
     @cached_property
@@ -204,20 +217,12 @@ class Analysis:
 
 def analyze_table(df: DataFrame, file_col: str, text_col: str, **options) -> Analysis:
     """Text already in a table: no prescreen unless asked for."""
-    from srcweave.sources.tables import source_table
-
     return Analysis(source_table(df, file_col, text_col), **options)
 
 
-def scan(spark, path: str, *, prescreen: bool = True, decode: str = "strict", **options) -> Analysis:
-    """A directory (or one `.py` file), read as the command line does."""
-    from srcweave.sources.files import read_files
-    from srcweave.sources.tables import decode_sources
+def scan(spark: SparkSession, path: str, *, prescreen: bool = True, decode: str = "strict", **options) -> Analysis:
+    """A directory (or one `.py` file), read as the command line does.
 
-    decoded = decode_sources(read_files(spark, path), decode)
-    return Analysis(
-        decoded.filter(F.col("error").isNull()),
-        prescreen=prescreen,
-        failures=decoded.filter(F.col("error").isNotNull()).select("file", "error"),
-        **options,
-    )
+    With `prescreen=False, decode="ignore"`: as an upload is read.
+    """
+    return Analysis(scan_sources(spark, path, decode), prescreen=prescreen, keep_sources=True, **options)

@@ -10,10 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Source text per hash partition when the input size is known.
-TARGET_PARTITION_BYTES = 256 << 20
-# Spark's own ceiling on the buckets of one table.
-MAX_PARTITIONS = 100_000
+# Stored source text per hash partition when the input size is known.
+TARGET_PARTITION_BYTES = 128 << 20
 # Rows up to which a caller-supplied dimension table is broadcast.
 BROADCAST_ROW_LIMIT = 100_000
 
@@ -53,14 +51,17 @@ def partitions_for(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) ->
     """Hash partitions for a source table: its size over the target, within bounds.
 
     Uses the size Catalyst already knows from file listings, so nothing is
-    read.  Inputs of unknown size get `spark.sql.shuffle.partitions`.
+    read.  Inputs of unknown size get `spark.sql.shuffle.partitions`.  The
+    ceiling is Spark's own limit on the buckets of one table; raise
+    `spark.sql.sources.bucketing.maxBuckets` for more, smaller partitions.
     """
     spark = df.sparkSession
     floor = spark.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= 1 << 60:  # Catalyst's stand-in for "unknown"
         return max(floor, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return min(max(floor, math.ceil(size / target_bytes)), MAX_PARTITIONS)
+    ceiling = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(max(floor, math.ceil(size / target_bytes)), ceiling)
 
 
 def _scratch_database(spark: SparkSession) -> str:
@@ -86,6 +87,13 @@ def stage(df: DataFrame, label: str, partitions: int, *, shuffle: bool = True) -
     return spark.table(name), name
 
 
+def store(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Write a relation once, as it is laid out now; for inputs costly to read again."""
+    name = f"{_scratch_database(df.sparkSession)}.{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name), name
+
+
 def unstage(spark: SparkSession, name: str) -> None:
     """Drop a staged table and its files."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
