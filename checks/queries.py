@@ -483,7 +483,7 @@ _duplicates("y11_duplicate_classes", "DUPLICATE_CLASS")
 @query("y12_unused_parameters")
 def _(spark, sf_dir):
     a = analysis(spark, sf_dir)
-    found = symbols.unused_parameters(a.nodes, a.resolved)
+    found = symbols.unused_parameters(a.nodes, a.first_definitions, a.resolved)
     return found.select("file", "lineno", "code", "message", "severity")
 
 

@@ -89,8 +89,8 @@ _EVENT = ["file", "scope_id", "name", "kind", "inferred_type", "ord", "sub", "li
 
 
 def define_events(nodes: DataFrame) -> DataFrame:
-    """events(file, scope_id, name, kind, ord, sub, lineno, def_depth): every
-    define in user code, `(ord, sub)` ordering them in time.
+    """events(file, scope_id, name, kind, ord, sub, lineno): every define in
+    user code, `(ord, sub)` ordering them in time.
 
     Each event comes from one node row, so this is a filter and a projection:
     it keeps the layout of `nodes`, and windows over it need no exchange.
@@ -122,7 +122,6 @@ def define_events(nodes: DataFrame) -> DataFrame:
         F.when(named, F.col("ord")).when(parameter, owner["ord"]).otherwise(F.col("parent")).alias("ord"),
         F.when(named, 0).otherwise(F.col("field_idx")).alias("sub"),
         own_line.alias("lineno"),
-        F.when(parameter, F.col("depth") - 2).alias("def_depth"),
     )
 
 
@@ -319,19 +318,24 @@ def duplicates(events: DataFrame) -> DataFrame:
     )
 
 
-def unused_parameters(nodes: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Parameters no use resolves to, reported when their function ends."""
+def unused_parameters(nodes: DataFrame, symbols: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Parameters no use resolves to, reported when their function ends.
+
+    A parameter is always the first define of its name in its function's
+    scope, so the parameters are the symbols of that kind.
+    """
     key = ["file", "scope_id", "name"]
-    parameters = define_events(nodes).filter(F.col("kind") == "parameter")
-    unused = parameters.join(resolved.select(*key), key, "left_anti")
-    ends = nodes.filter(F.col("node_type") == "FunctionDef").select("file", F.col("ord").alias("scope_id"), "end_ord")
-    return unused.join(ends, ["file", "scope_id"]).select(
+    unused = symbols.filter(F.col("kind") == "parameter").join(resolved.select(*key), key, "left_anti")
+    spans = nodes.filter(F.col("node_type") == "FunctionDef").select(
+        "file", F.col("ord").alias("scope_id"), "end_ord", "depth"
+    )
+    return unused.join(spans, ["file", "scope_id"]).select(
         "file",
         "lineno",
         F.lit("UNUSED_PARAMETER").alias("code"),
         F.concat(F.lit("Parameter '"), "name", F.lit("' is never used")).alias("message"),
         F.lit("WARNING").alias("severity"),
-        emit_key(F.col("end_ord"), 1, -F.col("def_depth"), F.col("sub") + 2).alias("emit_key"),
+        emit_key(F.col("end_ord"), 1, -F.col("depth"), F.col("sub") + 2).alias("emit_key"),
     )
 
 

@@ -155,7 +155,7 @@ class Analysis:
         return findings.union_findings(
             symbols.undefined_variables(self.resolved),
             symbols.duplicates(self.define_events),
-            symbols.unused_parameters(self.nodes, self.resolved),
+            symbols.unused_parameters(self.nodes, self.first_definitions, self.resolved),
             flow.flow_findings(flow.complexity(self.nodes)),
         )
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from srcweave.functions import vocab
-from srcweave.operators import flow, symbols, syntax
+from srcweave.operators import flow, symbols
 
 SUMMARY_METRICS = [
     "total_findings", "vulnerability_findings", "semantic_findings", "undefined_variables",
@@ -30,8 +30,8 @@ def semantic_summary(
     """
 
     def part(df, **counts):
-        return df.select("file", *[F.lit(counts.get(m, 0)).cast("long").alias(m) if not hasattr(counts.get(m), "cast")
-                                   else counts[m].cast("long").alias(m) for m in SUMMARY_METRICS])
+        zero = F.lit(0)
+        return df.select("file", *[counts.get(m, zero).cast("long").alias(m) for m in SUMMARY_METRICS])
 
     code = F.col("code")
     semantic_codes = code.isNotNull() & (code != "SYNTAX_ERROR")
@@ -44,30 +44,32 @@ def semantic_summary(
         .select("file", "name")
         .distinct()
     )
+    one, kind = F.lit(1), F.col("node_type")
+    module = (kind == "Module").cast("long")
     parts = [
         part(
-            nodes.filter(F.col("node_type") == "Module"),
-            unused_variables=len(_VARIABLE_BUILTINS),
-            symbols_tracked=len(vocab.BUILTINS),
+            nodes.filter(kind.isin("Module", "FunctionDef", "ClassDef", "alias")),
+            unused_variables=module * len(_VARIABLE_BUILTINS),
+            symbols_tracked=module * len(vocab.BUILTINS),
+            scopes_created=kind != "alias",
+            imports=kind == "alias",
         ),
         part(
             findings.filter(semantic_codes),
-            total_findings=1,
+            total_findings=one,
             vulnerability_findings=code.startswith("GRAMMAR_"),
             semantic_findings=~code.startswith("GRAMMAR_"),
             undefined_variables=code == "UNDEFINED_VARIABLE",
             duplicate_definitions=code.startswith("DUPLICATE_"),
         ),
-        part(own_symbols, symbols_tracked=1),
-        part(unread, unused_variables=1),
-        part(read_builtins, unused_variables=-1),
+        part(own_symbols, symbols_tracked=one),
+        part(unread, unused_variables=one),
+        part(read_builtins, unused_variables=-one),
         part(
             flow.final_complexity(nodes),
-            functions_analyzed=1,
+            functions_analyzed=one,
             high_complexity_functions=F.col("complexity") >= vocab.COMPLEXITY_WARNING,
         ),
-        part(symbols.scopes(nodes), scopes_created=1),
-        part(syntax.imports(nodes), imports=1),
     ]
     return (
         reduce(DataFrame.unionByName, parts)
