@@ -90,7 +90,13 @@ class Analysis:
     @cached_property
     def shredded(self) -> DataFrame:
         laid_out = self.sources.repartition(self.partitions, "file")
-        return self._stage(syntax.shred(laid_out), "nodes", shuffle=False)
+        stored = self._stage(syntax.shred(laid_out), "nodes", shuffle=False)
+        # a file has one root row (or one failure row); two mean a shared name
+        roots = stored.filter(F.col("ord") <= 0).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+        shared = roots.filter(F.col("n") > 1).select("file").limit(1).collect()
+        if shared:
+            raise ValueError(f"rows of the source table share the file name {shared[0]['file']!r}")
+        return stored
 
     @cached_property
     def all_nodes(self) -> DataFrame:

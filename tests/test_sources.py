@@ -165,3 +165,11 @@ def _stats(work):
     from srcweave.operators import syntax
 
     return syntax.syntax_stats(work.nodes).collect()
+
+
+def test_shared_file_names_are_refused(spark):
+    import pytest
+
+    df = spark.createDataFrame([("a.py", "x = 1\n"), ("a.py", "y = 2\n")], "file string, source string")
+    with pytest.raises(ValueError, match="share the file name 'a.py'"):
+        Analysis(df).shredded
