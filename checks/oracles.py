@@ -137,13 +137,12 @@ def _walk(node, parent=None, field=None, index=0, depth=0, out=None):
 
 def _literals(node):
     constant = node.value if isinstance(node, ast.keyword) else node
-    kind = text = None
-    if isinstance(constant, ast.Constant):
-        kind = {None: "None", True: "True", False: "False"}.get(constant.value) if not isinstance(
-            constant.value, (int, float, complex, str, bytes)) or isinstance(constant.value, bool) else None
-        kind = kind or type(constant.value).__name__
-        text = constant.value if isinstance(constant.value, str) else None
-    return kind, text
+    if not isinstance(constant, ast.Constant):
+        return None, None
+    value = constant.value
+    if value is None or isinstance(value, bool):
+        return str(value), None
+    return type(value).__name__, value if isinstance(value, str) else None
 
 
 def _chain(node):
@@ -541,11 +540,10 @@ SELECT file, lineno, code, message, severity, pattern, tokens, parse_stack, prod
     q["r6_explain_match"] = found + """
 , g AS (SELECT *, len(string_split(tokens, ' ')) AS n FROM findings WHERE prod IS NOT NULL)
 SELECT file, lineno, tokens, pattern, repeat('SHIFT,', n) || 'REDUCE' AS actions, '0,' || states AS states,
-  list_aggregate(list_transform(range(n + 1, 0, -1), lambda x: x::VARCHAR), 'string_agg', ',')
+  list_aggregate(list_transform(range(n + 1, 1, -1), lambda x: x::VARCHAR), 'string_agg', ',')
     || ',1' AS remaining,
   'VULN -> ' || replace(pattern, ' -> ', ' ') AS production, tokens AS symbols_before,
   CASE WHEN bare = 0 THEN 200 END AS goto_state, parse_stack AS stack_after FROM g"""
-    q["r6_explain_match"] = q["r6_explain_match"].replace("range(n + 1, 0, -1)", "range(n + 1, 1, -1)")
     from checks.queries import EXTRA_RULE, EXTRA_TYPOS
 
     shown = "SELECT file, word_idx, word, message FROM lint WHERE message IS NOT NULL"
@@ -590,11 +588,9 @@ FROM (SELECT DISTINCT file FROM nodes) s LEFT JOIN defs d ON d.file = s.file GRO
 , every AS (
   SELECT file, scope_id, name, kind, lineno FROM syms WHERE NOT (scope_id = 0 AND name IN (SELECT name FROM builtins))
   UNION ALL SELECT f.file, 0, b.name, b.kind, 0 FROM (SELECT DISTINCT file FROM nodes) f, builtins b)
-SELECT file, scope_id, name, kind AS symbol_type, lineno AS declared_line, u.name IS NOT NULL AS is_used
-FROM every LEFT JOIN (SELECT DISTINCT file, scope_id, name FROM resolved WHERE scope_id IS NOT NULL) u
+SELECT file, scope_id, name, kind AS symbol_type, lineno AS declared_line, used IS NOT NULL AS is_used
+FROM every LEFT JOIN (SELECT DISTINCT file, scope_id, name, true AS used FROM resolved WHERE scope_id IS NOT NULL) u
 USING (file, scope_id, name)"""
-    q["y3_symbol_table"] = q["y3_symbol_table"].replace("u.name IS NOT NULL AS is_used", "u.used IS NOT NULL AS is_used").replace(
-        "SELECT DISTINCT file, scope_id, name FROM resolved", "SELECT DISTINCT file, scope_id, name, true AS used FROM resolved")
     q["y4_assignment_history"] = nodes + """
 SELECT file, scope_id, name, coalesce(string_agg(lineno::VARCHAR, ',' ORDER BY ord, sub) FILTER (kind = 'variable'), '') AS assignments,
   arg_max(t, (ord, sub)) FILTER (t IS NOT NULL AND (nth = 1 OR kind = 'variable')) AS inferred_type
@@ -621,9 +617,8 @@ WHERE scope_id IS NOT NULL GROUP BY ALL"""
     }.items():
         q[key] = found + plain + quote(code)
     q["y13_unused_variables"] = f"""
-WITH {FILES.strip()} SELECT file, 13 + CASE t WHEN 9 THEN 5 WHEN 12 THEN 1 WHEN 13 THEN 1 WHEN 16 THEN 1 ELSE 0 END AS unused_variables
+WITH {FILES.strip()} SELECT file, 13 + CASE t WHEN 9 THEN 5 WHEN 12 THEN 1 WHEN 13 THEN 1 WHEN 16 THEN 1 ELSE 0 END::BIGINT AS unused_variables
 FROM files WHERE t <> 15"""
-    q["y13_unused_variables"] = q["y13_unused_variables"].replace(" END AS unused", " END::BIGINT AS unused")
     q["y14_inferred_types"] = nodes + "SELECT file, ord AS assign_ord, inferred_type FROM types"
     from checks.queries import LABELS
 

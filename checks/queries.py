@@ -436,7 +436,7 @@ def _(spark, sf_dir):
 
 @query("y3_symbol_table")
 def _(spark, sf_dir):
-    return symbols.symbol_table(analysis(spark, sf_dir).nodes).select(
+    return analysis(spark, sf_dir).symbol_table().select(
         "file", "scope_id", "name", "symbol_type", "declared_line", "is_used"
     )
 
@@ -490,8 +490,7 @@ def _(spark, sf_dir):
 @query("y13_unused_variables")
 def _(spark, sf_dir):
     a = analysis(spark, sf_dir)
-    first = symbols.first_definitions(symbols.definitions(a.nodes, built_ins=True))
-    unused = symbols.unused_variables(first, a.resolved)
+    unused = symbols.unused_variables(a.nodes, a.first_definitions, a.resolved)
     return unused.groupBy("file").agg(F.count(F.lit(1)).alias("unused_variables"))
 
 

@@ -7,7 +7,7 @@ equi-join on `(file, scope_id, name)` with "defined before used" as residual.
 
 The 49 built-in names exist once per module scope.  They are answered by
 literal membership instead of being multiplied into 49 rows per file; only
-`definitions(..., built_ins=True)` and `symbol_table` spell them out.
+the queries that list symbols spell them out.
 """
 
 from __future__ import annotations
@@ -236,17 +236,17 @@ def usages(resolved: DataFrame) -> DataFrame:
 def assignment_history(definitions: DataFrame) -> DataFrame:
     """Lines assigning each symbol, and its last inferred type.
 
-    Takes definitions with built-ins.  The first define sets the type, and a
-    later assignment replaces it when it infers one; imports, functions and
-    classes that redefine a symbol change nothing.
+    The first define sets the type, and a later assignment replaces it when it
+    infers one; imports, functions and classes that redefine a symbol change
+    nothing.  A built-in name was defined before any of them, so its type is
+    null here unless an assignment infers one.
     """
     moment = F.struct("ord", "sub")
     place = Window.partitionBy("file", "scope_id", "name").orderBy("ord", "sub")
-    numbered = definitions.withColumn("nth", F.row_number().over(place))
+    numbered = definitions.filter(F.col("ord") >= 0).withColumn("nth", F.row_number().over(place))
     assigned = F.col("kind") == "variable"
-    in_code = assigned & (F.col("ord") >= 0)
-    tells = (F.col("nth") == 1) | assigned
-    lines = F.sort_array(F.collect_list(F.when(in_code, F.struct("ord", "sub", "lineno"))))
+    tells = assigned | ((F.col("nth") == 1) & ~is_builtin(F.col("scope_id"), F.col("name")))
+    lines = F.sort_array(F.collect_list(F.when(assigned, F.struct("ord", "sub", "lineno"))))
     return numbered.groupBy("file", "scope_id", "name").agg(
         F.transform(lines, lambda a: a["lineno"]).alias("assignments"),
         F.max_by(
@@ -255,30 +255,39 @@ def assignment_history(definitions: DataFrame) -> DataFrame:
     )
 
 
-def symbol_table(nodes: DataFrame) -> DataFrame:
+def symbol_table(
+    nodes: DataFrame, first: DataFrame | None = None, resolved: DataFrame | None = None
+) -> DataFrame:
     """The full symbol table, built-ins included.
 
     symbols(file, scope_id, name, symbol_type, inferred_type, declared_line,
-    is_used, assignments, usages)
+    is_used, assignments, usages).  Own and built-in symbols are completed
+    separately and put together last, so that every join keeps the layout.
     """
-    events = definitions(nodes, built_ins=True)
-    first = first_definitions(events)
-    used = usages(resolve(name_uses(nodes), first))
     key = ["file", "scope_id", "name"]
+    first = first_definitions(define_events(nodes)) if first is None else first
+    resolved = resolve(name_uses(nodes), first) if resolved is None else resolved
+    history, used = assignment_history(definitions(nodes)), usages(resolved)
+    builtin = is_builtin(F.col("scope_id"), F.col("name"))
     none = F.array().cast("array<int>")
-    return (
-        first.join(assignment_history(events), key)
-        .join(used, key, "left")
-        .select(
-            *key,
-            F.col("kind").alias("symbol_type"),
-            "inferred_type",
-            F.col("lineno").alias("declared_line"),
-            F.col("usages").isNotNull().alias("is_used"),
-            "assignments",
-            F.coalesce("usages", none).alias("usages"),
+
+    def complete(symbols, default_type):
+        return (
+            symbols.select(*key, "kind", "lineno")
+            .join(history, key, "left")
+            .join(used, key, "left")
+            .select(
+                *key,
+                F.col("kind").alias("symbol_type"),
+                F.coalesce("inferred_type", F.lit(default_type).cast("string")).alias("inferred_type"),
+                F.col("lineno").alias("declared_line"),
+                F.col("usages").isNotNull().alias("is_used"),
+                F.coalesce("assignments", none).alias("assignments"),
+                F.coalesce("usages", none).alias("usages"),
+            )
         )
-    )
+
+    return complete(first.filter(~builtin), None).unionByName(complete(builtin_definitions(nodes), "builtin"))
 
 
 _DUPLICATES = {
@@ -339,14 +348,16 @@ def unused_parameters(nodes: DataFrame, symbols: DataFrame, resolved: DataFrame)
     )
 
 
-def unused_variables(symbols: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Variable symbols never read, the built-ins counted as variables included.
-
-    `symbols` is `first_definitions` over definitions with built-ins.
-    """
+def unused_variables(nodes: DataFrame, symbols: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Variable symbols never read, the built-ins counted as variables included."""
     key = ["file", "scope_id", "name"]
-    variables = symbols.filter(F.col("kind") == "variable")
-    return variables.join(resolved.select(*key), key, "left_anti").select(*key, "lineno")
+    variable = F.col("kind") == "variable"
+    own = symbols.filter(variable & ~is_builtin(F.col("scope_id"), F.col("name")))
+
+    def unread(df):
+        return df.select(*key, "lineno").join(resolved.select(*key), key, "left_anti")
+
+    return unread(own).unionByName(unread(builtin_definitions(nodes).filter(variable)))
 
 
 def type_mismatches(pairs: DataFrame) -> DataFrame:

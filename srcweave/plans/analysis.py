@@ -133,6 +133,9 @@ class Analysis:
         """Every name use with the scope it resolves to, staged."""
         return self._stage(symbols.resolve(symbols.name_uses(self.nodes), self.first_definitions), "resolved")
 
+    def symbol_table(self) -> DataFrame:
+        return symbols.symbol_table(self.nodes, self.first_definitions, self.resolved)
+
     # -- findings ----------------------------------------------------------
 
     @cached_property
