@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 import pyarrow as pa
@@ -35,6 +37,15 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def worker_memory() -> dict:
+    """What a Python worker keeps from task to task.
+
+    Functions of this package are shipped by value and have globals of their
+    own in each task, so these don't last.
+    """
+    return sys.modules.setdefault("_srcweave_worker", types.ModuleType("_srcweave_worker")).__dict__
+
+
 def raw_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; a null counts as empty text."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

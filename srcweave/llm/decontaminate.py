@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from srcweave.llm.common import raw_bytes
+from srcweave.llm.common import raw_bytes, worker_memory
 
 # Characters of the windows of one automaton: a node for each, of some 50 bytes.
 PATTERN_BYTES = 4 << 20
@@ -72,19 +72,16 @@ def _pattern_groups(items: DataFrame, key: str, text: str, width: int):
         yield held
 
 
-_built: tuple[str, ahocorasick.Automaton] | None = None
-
-
 def _automaton(name: str, group) -> ahocorasick.Automaton:
     """The automaton of a broadcast group; a worker keeps the last one it built."""
-    global _built
-    if _built is None or _built[0] != name:
+    memory = worker_memory()
+    if memory.get("automaton", ("",))[0] != name:
         made = ahocorasick.Automaton()
         for pattern, value in group.value.items():
             made.add_word(pattern, value)
         made.make_automaton()
-        _built = (name, made)
-    return _built[1]
+        memory["automaton"] = (name, made)
+    return memory["automaton"][1]
 
 
 def _scan(automaton, joined: bytes) -> list[tuple[int, int, set[str]]]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from srcweave.llm import decontaminate, shards, token_files
+from srcweave.llm import decontaminate, html_text, langid, mixing, separators, shards, token_files, topk
 from srcweave.llm.common import Scratch
 
 
@@ -19,6 +19,32 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a mixture in which no source is repeated more than twice and none is left out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, mixing.count_words(F.col("text")), max_repeats=2.0)
+    return mixed.select("doc_id", "source", "mix.epoch", "mix.place", "mix.block", "mix.n_tokens")
+
+
+def held_out(key: str = "doc_id"):
+    """Whether a document is kept from training."""
+    return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of all documents, learnt from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~held_out()))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every fiftieth vector with all others."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", topk.quantised("embedding").alias("v"))
+    return topk.top_products(vectors, F.col("vec_id") % 50 == 0, 5, "vec_id", "v")
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, read back: place, count and checksum of each."""
     path = Scratch(spark, "token-files").path("documents")
@@ -26,6 +52,18 @@ def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_checksums(spark, path, key="doc_id")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents found in flat token files of all documents, and their token counts."""
+    path = Scratch(spark, "flat-tokens").path("documents")
+    separators.write_flat_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=49407)
+    return separators.count_tokens(spark, path, end_id=49407)
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark found in all documents."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,11 +86,66 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_temperature_mixing": op1_temperature_mixing,
+    "op2_language_id": op2_language_id,
+    "op3_exact_topk": op3_exact_topk,
     "op4_token_output": op4_token_output,
+    "op5_token_counts": op5_token_counts,
+    "op6_html_text": op6_html_text,
     "op7_decontamination": op7_decontamination,
     "op10_shards": op10_shards,
 }
 
+OP1_SQL = """
+with docs as (
+  select doc_id, source, coalesce(doc_id::varchar, '') as k,
+         coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as n from documents),
+totals as (select source, count(*) as n_docs, sum(n)::double as t from docs group by source),
+bounds as (select max(t) as hi, min(t) as lo from totals where t > 0),
+shares as (
+  select s.*, case when t > 0 then pow(t / hi, case when hi <= 2 * lo then 0 else 1 - ln(2) / ln(hi / lo) end) else 0 end as p
+  from totals s, bounds),
+budget as (select max(t / p) as b from shares where p > 0),
+passes as (
+  select source, n_docs, t, ceil(sqrt(n_docs))::bigint as blocks,
+         case when t > 0 then round(b * p)::bigint // t::bigint else 1 end as q,
+         case when t > 0 then round(b * p)::bigint % t::bigint else 0 end as rest
+  from shares, budget),
+known as (
+  select d.*, p.q, p.rest, ('0x' || substr(md5(k), 1, 8))::bigint % p.blocks as block
+  from docs d join passes p on d.source is not distinct from p.source),
+sums as (
+  select source, block, q, rest, sum(n) as cost, ('0x' || substr(md5(block || '/' || q), 1, 8))::bigint as place
+  from known group by source, block, q, rest),
+ends as (
+  select *, sum(cost) over (partition by source order by place, block) as upto from sums),
+inside as (
+  select k.source, k.k, sum(k.n) as cost, any_value(e.rest - e.upto + e.cost) as room,
+         ('0x' || substr(md5(k.k || '/' || k.q || '/d'), 1, 8))::bigint as o
+  from known k join ends e on k.source is not distinct from e.source and k.block = e.block
+  where e.upto > e.rest and e.rest - e.upto + e.cost > 0 group by k.source, k.k, k.q),
+fits as (
+  select source, k from (select *, sum(cost) over (partition by source order by o, k) as upto from inside) where upto <= room),
+counted as (
+  select k.*, k.q + case when e.upto <= e.rest and e.rest > 0 or f.k is not null then 1 else 0 end as epochs
+  from known k join ends e on k.source is not distinct from e.source and k.block = e.block
+  left join fits f on k.source is not distinct from f.source and k.k = f.k)
+select doc_id, source, epoch, ('0x' || substr(md5(block || '/' || epoch), 1, 8))::bigint as place, block, n::bigint as n_tokens
+from (select *, unnest(range(epochs)) as epoch from counted)
+"""
+
+OP3_SQL = """
+with valid as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+  where len(embedding) > 0 and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+pairs as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.v, c.v)::bigint as score
+  from valid q join valid c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+select query_id, rank::integer as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from pairs) where rank <= 5
+"""
+
 OP7_SQL = """
 with lowered as (
   select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -82,4 +175,4 @@ select l.doc_id, coalesce(len(l.words), 0)::bigint as n_words, coalesce(h.n_hit,
 from lowered l left join hit_words h on l.doc_id = h.doc_id left join hit_items t on l.doc_id = t.doc_id
 """
 
-ORACLES = {"op7_decontamination": OP7_SQL}
+ORACLES = {"op1_temperature_mixing": OP1_SQL, "op3_exact_topk": OP3_SQL, "op7_decontamination": OP7_SQL}

@@ -13,6 +13,8 @@ import os
 
 import numpy as np
 
+from srcweave.llm.common import worker_memory
+
 # Pieces a worker keeps; about 250 bytes each.
 KEPT = 300_000
 
@@ -43,18 +45,20 @@ class _Pieces(dict):
         return ids
 
 
-_loaded: tuple[str, _Pieces] | None = None
-
+def pieces(path: str, ordinary: bool = False) -> _Pieces:
+    """The table of a tokenizer file in this worker process.
 
-def pieces(path: str) -> _Pieces:
-    """The table of a tokenizer file in this worker process."""
-    global _loaded
-    if _loaded is None or _loaded[0] != path:
+    `ordinary` treats the strings of special tokens in a text as text.
+    """
+    memory, name = worker_memory(), f"pieces {ordinary} {path}"
+    if name not in memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _loaded = (path, _Pieces(Tokenizer.from_file(path)))
-    return _loaded[1]
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = ordinary
+        memory[name] = _Pieces(tokenizer)
+    return memory[name]
 
 
 def encode(raw: bytes, table: _Pieces, end: bytes = b"") -> bytes:
