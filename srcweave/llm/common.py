@@ -7,6 +7,7 @@ import types
 import uuid
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from srcweave.session import scratch_dir
@@ -53,11 +54,23 @@ def raw_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def slices(texts: list[bytes], limit: int = 4 << 20):
     """(first, last) index ranges of consecutive texts, about `limit` bytes each, one text at least."""
-    first, held = 0, 0
-    for i, text in enumerate(texts):
-        if i > first and held + len(text) > limit:
+    yield from sized_slices(map(len, texts), limit)
+
+
+def sized_slices(sizes, limit: int = 4 << 20):
+    """The same from the sizes of the texts."""
+    first, held, i = 0, 0, -1
+    for i, size in enumerate(sizes):
+        if i > first and held + size > limit:
             yield first, i
             first, held = i, 0
-        held += len(text)
-    if first < len(texts):
-        yield first, len(texts)
+        held += size
+    if i >= first:
+        yield first, i + 1
+
+
+def text_slices(column: pa.Array, limit: int = 4 << 20):
+    """(first, piece of the column) with about `limit` bytes in each piece."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for first, last in sized_slices(sizes, limit):
+        yield first, column.slice(first, last - first)

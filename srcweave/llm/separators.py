@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from srcweave.llm.common import Scratch, raw_bytes, slices
+from srcweave.llm.common import Scratch, text_slices
 from srcweave.llm.wordcache import encode, pieces
 
 # Ids of a block.
@@ -40,14 +40,12 @@ def write_flat_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pieces(tokenizer, ordinary=True)
         for batch in batches:
-            texts = raw_bytes(batch.column(0))
-            for a, b in slices(texts):
-                coded = [encode(raw, table) for raw in texts[a:b]]
-                ids = np.frombuffer(b"".join(coded), "<u4")
+            for _, texts in text_slices(batch.column(0)):
+                ids, sizes = encode(texts, table)
                 if len(ids) and int(ids.max()) >> (8 * width):
                     raise ValueError(f"a token id needs more than {width} bytes")
                 flat = ids.astype(kind).tobytes()
-                ends = np.cumsum([len(x) * width // 4 for x in coded]).tolist()
+                ends = (np.cumsum(sizes) * width).tolist()
                 rows = [flat[s:e] for s, e in zip([0, *ends], ends, strict=False)]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
 

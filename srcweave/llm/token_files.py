@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from srcweave.llm.common import raw_bytes, slices
+from srcweave.llm.common import text_slices
 from srcweave.llm.wordcache import encode, pieces
 
 LAYOUT = {
@@ -60,27 +60,22 @@ def write_token_files(
             T.StructField("ids", T.ArrayType(T.IntegerType())),
         ]
     )
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
         table = pieces(tokenizer)
         for batch in batches:
-            texts = raw_bytes(batch.column("text"))
-            for a, b in slices(texts):
-                coded = [encode(raw, table, end) for raw in texts[a:b]]
-                sizes = np.array([len(x) // 4 for x in coded], np.int64)
+            for first, texts in text_slices(batch.column("text")):
+                ids, sizes = encode(texts, table)
                 ends = np.cumsum(sizes)
-                ids = np.frombuffer(b"".join(coded), "<u4").astype(np.int32, copy=False)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids.view(np.int32))
-                )
+                ids = np.insert(ids, ends, end_id).view(np.int32)
+                sizes, ends = sizes + 1, ends + np.arange(1, len(texts) + 1)
                 columns = [
-                    pa.array(np.full(b - a, part), pa.int32()),
+                    pa.array(np.full(len(texts), part), pa.int32()),
                     pa.array(start + ends - sizes),
-                    batch.column("key").slice(a, b - a),
+                    batch.column("key").slice(first, len(texts)),
                     pa.array(sizes),
-                    lists,
+                    pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(ids)),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
                 start += int(ends[-1])

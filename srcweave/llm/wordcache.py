@@ -9,39 +9,74 @@ tokenizers library does for the whole text.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from srcweave.llm.common import worker_memory
 
-# Pieces a worker keeps; about 250 bytes each.
+# Pieces a worker keeps in each of two generations; about 250 bytes each.
 KEPT = 300_000
+# Letters that are their own composed form and whose lower case is one letter.
+_LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level pre-tokenizers write a byte as a printable character: itself, or the next one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(others)) for b in range(256)}
+
+
+def _words_whole(tokenizer) -> bool:
+    """Whether a run of letters is lowered, written as bytes, and handed to the model as one word."""
+    parts = json.loads(tokenizer.to_str())
+    normal = [n["type"] for n in (parts["normalizer"] or {}).get("normalizers", [])]
+    steps = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        normal == ["NFC", "Replace", "Lowercase"]
+        and [s["type"] for s in steps] == ["Split", "ByteLevel"]
+        and "|[\\p{L}]+|" in steps[0]["pattern"].get("Regex", "")
+        and steps[0]["invert"]
+        and not steps[1]["add_prefix_space"]
+        and not steps[1]["use_regex"]
+    )
 
 
 class _Pieces(dict):
-    """bytes of a piece -> its ids as little-endian unsigned 32-bit integers."""
+    """bytes of a piece -> its ids as unsigned 32-bit integers."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.model = tokenizer.model if _words_whole(tokenizer) else None
+        self.letters = _byte_letters()
+        self.older: dict[bytes, bytes] = {}
+
+    def _ids(self, piece: str) -> bytes:
+        if self.model is not None and _LATIN.fullmatch(piece):
+            word = piece.lower().encode().decode("latin-1").translate(self.letters)
+            ids = [token.id for token in self.model.tokenize(word)]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
     def __missing__(self, piece: bytes) -> bytes:
-        tail = b""
-        stem = piece
-        if len(piece) > 1 and piece[-1] in b".,":  # one ASCII mark is a piece of its own behind letters
-            letters = piece[:-1].decode()
-            if letters.isalpha():
-                stem, tail = piece[:-1], self[piece[-1:]]
-        if stem.isascii():
-            stem = stem.lower()
-        known = self.get(stem)
-        if known is None:
-            ids = self.tokenizer.encode(stem.decode(), add_special_tokens=False).ids
-            known = np.array(ids, "<u4").tobytes()
+        ids = self.older.get(piece)
+        if ids is None:
+            stem, tail = piece, b""
+            if self.model is not None and len(piece) > 1 and piece[-1] in b".,":
+                if _LATIN.fullmatch(piece[:-1].decode()):  # the mark behind a word is a piece of its own
+                    stem, tail = piece[:-1], self[piece[-1:]]
+            ids = self._ids(piece.decode()) if stem is piece else self[stem] + tail
         if len(self) >= KEPT:
+            self.older = dict(self)
             self.clear()
-        self[stem] = known
-        self[piece] = ids = known + tail
+        self[piece] = ids
         return ids
 
 
@@ -61,6 +96,22 @@ def pieces(path: str, ordinary: bool = False) -> _Pieces:
     return memory[name]
 
 
-def encode(raw: bytes, table: _Pieces, end: bytes = b"") -> bytes:
-    """Ids of a whole text as little-endian unsigned 32-bit integers."""
-    return b"".join(map(table.__getitem__, raw.split())) + end
+def encode(texts: pa.Array, table: _Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of whole texts one after the other, and the number of ids of each; a null is an empty text.
+
+    Words are told apart by Arrow, so that only the distinct ones of these
+    texts are looked up.
+    """
+    texts = texts.cast(pa.large_string()).fill_null("")
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts) if table.model is not None else texts)
+    named = words.flatten().dictionary_encode()
+    known = [table[w] for w in named.dictionary.cast(pa.large_binary()).to_pylist()]
+    flat = np.frombuffer(b"".join(known), np.uint32)
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    codes = named.indices.to_numpy()
+    each = sizes[codes]
+    ends = np.cumsum(each)
+    shift = (np.cumsum(sizes) - sizes)[codes] - (ends - each)
+    ids = flat[np.repeat(shift, each) + np.arange(len(shift) and ends[-1])]
+    upto = np.concatenate(([0], ends))[np.cumsum(words.value_lengths().to_numpy())]
+    return ids, np.diff(upto, prepend=0)
