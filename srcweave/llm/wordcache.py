@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from srcweave.llm.common import worker_memory
+from srcweave.llm.common import raw_bytes, worker_memory
 
 # Pieces a worker keeps in each of two generations; about 250 bytes each.
 KEPT = 300_000
@@ -102,8 +102,10 @@ def encode(texts: pa.Array, table: _Pieces) -> tuple[np.ndarray, np.ndarray]:
     Words are told apart by Arrow, so that only the distinct ones of these
     texts are looked up.
     """
-    texts = texts.cast(pa.large_string()).fill_null("")
-    words = pc.ascii_split_whitespace(pc.ascii_lower(texts) if table.model is not None else texts)
+    raw = raw_bytes(texts)
+    if table.model is not None:  # it lowers letters anyway
+        raw = [t.lower() for t in raw]
+    words = pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
     named = words.flatten().dictionary_encode()
     known = [table[w] for w in named.dictionary.cast(pa.large_binary()).to_pylist()]
     flat = np.frombuffer(b"".join(known), np.uint32)
