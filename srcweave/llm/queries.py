@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from srcweave.llm import decontaminate, html_text, langid, mixing, separators, shards, token_files, topk
+from srcweave.llm import decontaminate, html_text, jaccard, langid, mixing, separators, shards, token_files, topk
 from srcweave.llm.common import Scratch
 
 
@@ -79,6 +79,11 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by 90 % of their three-word shingles."""
+    return jaccard.similar_documents(_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards (2 regions of 3 racks of 4), and where each goes with one shard more."""
     placed = shards.assign_shards(_table(spark, sf_dir, "documents"), shards.tree(2, 3, 4))
@@ -93,6 +98,7 @@ REGISTRY = {
     "op5_token_counts": op5_token_counts,
     "op6_html_text": op6_html_text,
     "op7_decontamination": op7_decontamination,
+    "op8_jaccard_join": op8_jaccard_join,
     "op10_shards": op10_shards,
 }
 

@@ -47,24 +47,38 @@ def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, np.concatenate(([0], borders))))
 
 
-def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    """Sorted distinct shingles of `width` words of each text; all words of a shorter text are one; none without words."""
-    out: list[np.ndarray] = []
-    turn = [np.uint64(2 * i + 1) * np.uint64(0xA0761D6478BD642F) for i in range(width)]
+def shingle_sets(
+    texts: list[bytes], width: int, counts: np.ndarray | None = None, tally: np.ndarray | None = None
+) -> list[tuple[np.ndarray, np.ndarray | None]]:
+    """Of each text: sorted distinct shingles of `width` words, and how common each one's rarest word is.
+
+    All words of a shorter text are one shingle; a text without words has none.
+    `counts` are word counts by the low bits of the word's hash; without them
+    the second part is None.  `tally` is such an array to add these texts to.
+    """
+    out: list[tuple[np.ndarray, np.ndarray | None]] = []
+    turn = [np.uint64((2 * i + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF) for i in range(width)]
     for a, b in slices(texts):
-        words, counts = _word_hashes(texts[a:b])
+        words, sizes = _word_hashes(texts[a:b])
+        if tally is not None:
+            tally += np.bincount((words & np.uint64(len(tally) - 1)).astype(np.int64), minlength=len(tally))
+        common = None if counts is None else counts[(words & np.uint64(len(counts) - 1)).astype(np.int64)]
         joint = np.zeros(max(0, len(words) - width + 1), np.uint64)
         for i in range(width):
             joint += mixed(words[i : i + len(joint)] * turn[i])
         joint = mixed(joint, 3)
+        rarest = common
+        if common is not None and len(joint):
+            rarest = np.min([common[i : i + len(joint)] for i in range(width)], axis=0)
         at = 0
-        for n in counts.tolist():
+        for n in sizes.tolist():
             if n >= width:
-                out.append(np.unique(joint[at : at + n - width + 1]))
+                found, place = np.unique(joint[at : at + n - width + 1], return_index=True)
+                out.append((found, None if rarest is None else rarest[at + place]))
             elif n:
-                short = sum((mixed(w * t) for w, t in zip(words[at : at + n], turn, strict=False)), np.uint64(n))
-                out.append(mixed(np.array([short], np.uint64), 4))
+                short = sum((mixed(w[None] * t) for w, t in zip(words[at : at + n], turn, strict=False)), np.array([n], np.uint64))
+                out.append((mixed(short, 4), None if common is None else common[at : at + n].min()[None]))
             else:
-                out.append(np.zeros(0, np.uint64))
+                out.append((np.zeros(0, np.uint64), None if common is None else np.zeros(0, np.int64)))
             at += n
     return out
