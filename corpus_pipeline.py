@@ -3,10 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from srcweave.llm.common import Scratch
+from srcweave.llm import decontaminate, jaccard, langid, mixing, token_files
+from srcweave.llm.common import Scratch, restored, without
+from srcweave.llm.queries import held_out, tokenizer_path
 
-STAGES: list = []
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language can be told: those with a letter, and one language likelier than all others together."""
+    model = langid.train(docs.where(~held_out()))
+    found = langid.predict(without(docs, "lang_pred", "score"), model)
+    return restored(found.where("lang_pred <> 'und' and score > 0.5").drop("lang_pred", "score"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, that of the smallest id, of each group linked by 80 % of their five-word shingles.
+
+    Of rows that repeat an id one stays; rows without an id all stay.
+    """
+    classes = Scratch(spark, "classes").stage(jaccard.similar_documents(docs, width=5, num=4, den=5), "ids")
+    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("first"))
+    odd = ids.where("first <> doc_id or rows > 1")
+    single = docs.join(jaccard.few(odd.select("doc_id")), "doc_id", "left_anti")
+    repeated = docs.join(jaccard.few(odd.where("first = doc_id").select("doc_id")), "doc_id", "left_semi")
+    return single.unionByName(repeated.dropDuplicates(["doc_id"])).select(docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that hold no ten consecutive words of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.find_benchmark(without(docs, "found"), items, width=10)
+    return restored(found.where("found.n_hit = 0").drop("found"))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat documents so that sources come nearer to each other: all at least once, none more than twice."""
+    given = without(docs, "mix")
+    return restored(mixing.mix(given, mixing.count_words(F.col("text")), max_repeats=2.0).drop("mix"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write token files of the mixture and give each document's place, count and checksum in them."""
+    path = Scratch(spark, "token-files").path("documents")
+    token_files.write_token_files(docs, path, tokenizer_path(), end_id=2)
+    return token_files.token_checksums(spark, path, key="doc_id")
+
+
+STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("benchmark", benchmark),
+    ("mixture", mixture),
+    ("tokens", tokens),
+]
+# Language models and tokenizers can't be expressed in SQL; tests/llm/test_pipeline.py has a brute-force twin.
 ORACLE_SQL = None
 
 
