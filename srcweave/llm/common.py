@@ -38,6 +38,24 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_KEPT = "__given_"
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """`df` with its columns of these names, if any, put aside under another; `restored` brings them back."""
+    for column in df.columns:
+        if column.lower() in names:
+            df = df.withColumnRenamed(column, _KEPT + column)
+    return df
+
+
+def restored(df: DataFrame) -> DataFrame:
+    for column in df.columns:
+        if column.startswith(_KEPT):
+            df = df.withColumnRenamed(column, column.removeprefix(_KEPT))
+    return df
+
+
 def worker_memory() -> dict:
     """What a Python worker keeps from task to task.
 

@@ -56,7 +56,7 @@ def _prefix(keys: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.sort(np.partition(keys, size - 1)[:size]) if size < n else np.sort(keys)
 
 
-def _small(df: DataFrame) -> DataFrame:
+def few(df: DataFrame) -> DataFrame:
     """`df`, marked for broadcast if it has at most FEW rows."""
     n = df.limit(FEW + 1).agg(F.count(F.lit(1))).first()[0]
     return F.broadcast(df) if n <= FEW else df
@@ -106,7 +106,7 @@ class _Join:
         width, counts = self.width, self.counts
         docs = self.docs.where("key is not null")
         if filtered:
-            docs = docs.join(_small(wanted.select(F.col("rep").alias("key")).distinct()), "key", "left_semi")
+            docs = docs.join(few(wanted.select(F.col("rep").alias("key")).distinct()), "key", "left_semi")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common = counts.value

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from srcweave.llm import decontaminate, html_text, jaccard, langid, mixing, separators, shards, token_files, topk
+from srcweave.llm import decontaminate, html_text, jaccard, langid, mixing, repeats, separators, shards, token_files, topk
 from srcweave.llm.common import Scratch
 
 
@@ -84,6 +84,11 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(_table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents in strings of 50 that a smaller document holds as well."""
+    return repeats.digests(repeats.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards (2 regions of 3 racks of 4), and where each goes with one shard more."""
     placed = shards.assign_shards(_table(spark, sf_dir, "documents"), shards.tree(2, 3, 4))
@@ -99,6 +104,7 @@ REGISTRY = {
     "op6_html_text": op6_html_text,
     "op7_decontamination": op7_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_shards": op10_shards,
 }
 
