@@ -267,19 +267,20 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, raw = batch.column("key").to_pylist(), raw_bytes(batch.column("text"))
-            for k, t, asked_ in zip(keys, raw, batch.column("asked").to_pylist(), strict=True):
-                own = _contexts(t)
-                rows = []
-                for x in asked_:
-                    if own.get(x["place"]) == x["c"]:  # a row of the same key may have another text
-                        s = max(0, x["place"] - (LENGTH - GRAM))
-                        rows.append((x["g"], k, x["place"], x["c"], x["hot"], x["place"] - s, t[s : x["place"] + LENGTH]))
-                if rows:
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.binary())
-                    names = ["g", "key", "place", "c", "hot", "lead", "text"]
-                    columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+            raw = raw_bytes(batch.column("text"))
+            for first, last in sized_slices(map(len, raw), 2 << 20):
+                doc, ask = _listed(batch.column("asked").slice(first, last - first), ("place", "g", "c", "hot"))
+                known = _known(raw[first:last], doc, ask["place"], ask["c"])
+                doc, ask = doc[known], {name: x[known] for name, x in ask.items()}
+                lead = np.minimum(ask["place"], LENGTH - GRAM)
+                texts_ = [
+                    raw[first + d][p - n : p + LENGTH]
+                    for d, p, n in zip(doc.tolist(), ask["place"].tolist(), lead.tolist(), strict=True)
+                ]
+                keys = batch.column("key").slice(first, last - first).take(pa.array(doc))
+                columns = [pa.array(ask["g"]), keys, pa.array(ask["place"]), pa.array(ask["c"]), pa.array(ask["hot"])]
+                columns += [pa.array(lead.astype(np.int32)), pa.array(texts_, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["g", "key", "place", "c", "hot", "lead", "text"])
 
     contexts = scratch.stage(
         texts.join(asked.repartition(parts, "key"), "key").mapInArrow(
@@ -319,17 +320,18 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         for batch in batches:
             raw = raw_bytes(batch.column("text"))
             for first, last in sized_slices(map(len, raw), 2 << 20):
-                spans, kept = [], []
-                for t, masks_ in zip(raw[first:last], batch.column("masks").slice(first, last - first).to_pylist(), strict=True):
-                    gone = _gone(t, masks_ or [])
-                    spans.append([{"start": s, "end": e} for s, e in gone])
-                    at = [0, *(x for pair in gone for x in pair), len(t)]
+                own = raw[first:last]
+                doc, masks_ = _listed(batch.column("masks").slice(first, last - first), ("place", "c", "mask"))
+                gone = _gone(own, doc, masks_["place"], masks_["c"], masks_["mask"])
+                kept = []
+                for t, pairs in zip(own, gone, strict=True):
+                    at = [0, *(x for pair in pairs for x in pair), len(t)]
                     kept.append(b"".join(t[s:e] for s, e in zip(at[::2], at[1::2], strict=True)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").slice(first, last - first),
-                        pa.array([len(t) for t in raw[first:last]], pa.int64()),
-                        pa.array(spans, kind),
+                        pa.array([len(t) for t in own], pa.int64()),
+                        pa.array([[{"start": s, "end": e} for s, e in pairs] for pairs in gone], kind),
                         pa.array(kept, pa.binary()),
                     ],
                     names=["key", "n_bytes", "spans", "kept"],
@@ -346,32 +348,51 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return judged.unionByName(others).withColumnRenamed("key", key)
 
 
-def _contexts(text: bytes) -> dict[int, int]:
-    """Place of each anchor of a text -> hash of its context."""
-    _, c, _, place = anchors([text])
-    return dict(zip(place.tolist(), c.view(np.int64).tolist(), strict=True))
-
-
-def _gone(text: bytes, masks: list[dict]) -> list[tuple[int, int]]:
-    """Merged spans covered by the strings the masks name."""
-    if not masks:
-        return []
-    own = _contexts(text)
-    edge = np.zeros(len(text) + 1, np.int32)
-    for m in masks:
-        if own.get(m["place"]) == m["c"]:
-            bits = m["mask"]
-            base = m["place"] - (LENGTH - GRAM)
-            while bits:
-                i = (bits & -bits).bit_length() - 1
-                run = (~(bits >> i) & -~(bits >> i)).bit_length() - 1
-                first, last = max(0, base + i), min(base + i + run - 1, len(text) - LENGTH)
-                if first <= last:
-                    edge[first] += 1
-                    edge[last + LENGTH] -= 1
-                bits &= ~(((1 << run) - 1) << i)
-    turn = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(edge[:-1]) > 0, [0])).astype(np.int8)))
-    return list(zip(turn[::2].tolist(), turn[1::2].tolist(), strict=True))
+def _listed(column: pa.Array, names: tuple[str, ...]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Row number and fields of all structs in a list column; a null list has none."""
+    flat = column.flatten()
+    sizes = column.value_lengths().fill_null(0).to_numpy()
+    fields = {name: flat.field(name).to_numpy(zero_copy_only=False) for name in names}
+    return np.repeat(np.arange(len(column)), sizes), fields
+
+
+def _known(texts: list[bytes], doc: np.ndarray, place: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Whether the text has that context there; a row of the same key may have another text."""
+    _, c, of, at = anchors(texts)
+    if not len(at):
+        return np.zeros(len(doc), bool)
+    found = (of << 40) | at
+    wanted = (doc.astype(np.int64) << 40) | place
+    i = np.minimum(np.searchsorted(found, wanted), len(found) - 1)
+    return (found[i] == wanted) & (c[i].view(np.int64) == context)
+
+
+def _gone(
+    texts: list[bytes], doc: np.ndarray, place: np.ndarray, context: np.ndarray, mask: np.ndarray
+) -> list[list[tuple[int, int]]]:
+    """Merged spans of each text covered by the strings that the masks of its contexts name."""
+    known = _known(texts, doc, place, context)
+    doc, place, mask = doc[known], place[known].astype(np.int64), mask[known]
+    sizes = np.array([len(t) for t in texts], np.int64)
+    base = np.cumsum(sizes + 1) - sizes - 1  # a byte between texts keeps spans apart
+    edge = np.zeros(int((sizes + 1).sum()) + 1, np.int32)
+    whole = mask == (1 << _STARTS) - 1
+    first = np.maximum(place[whole] - (LENGTH - GRAM), 0) + base[doc[whole]]
+    last = np.minimum(place[whole], sizes[doc[whole]] - LENGTH) + base[doc[whole]] + LENGTH
+    np.add.at(edge, first, 1)
+    np.add.at(edge, last, -1)
+    start, bits = (place + base[doc] - (LENGTH - GRAM))[~whole], mask[~whole]
+    for i in range(_STARTS):
+        hit = start[(bits >> i) & 1 == 1] + i
+        np.add.at(edge, hit, 1)
+        np.add.at(edge, hit + LENGTH, -1)
+    turn = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(edge) > 0)).astype(np.int8)))
+    starts, ends = turn[::2], turn[1::2]
+    of = np.searchsorted(base, starts, side="right") - 1
+    spans: list[list[tuple[int, int]]] = [[] for _ in texts]
+    for d, s, e in zip(of.tolist(), (starts - base[of]).tolist(), (ends - base[of]).tolist(), strict=True):
+        spans[d].append((s, e))
+    return spans
 
 
 def digests(removed: DataFrame, key: str = "doc_id") -> DataFrame:
