@@ -189,18 +189,39 @@ def _template_nodes():
             )
 
 
+def per_file(inner: str, **named: str) -> str:
+    """A query over the template relations of `nodes_cte`, worked out per template and joined to the files at the end.
+
+    `inner` may begin with further CTEs; `named` are columns written anew with
+    the file's own key, where the template has a mark.
+    """
+    inner = "WITH " + inner.lstrip()[1:] if inner.lstrip().startswith(",") else inner
+    anew = "".join(f", {expression} AS {column}" for column, expression in named.items())
+    gone = [c for c in named if c != "col"] + ["col1", "colk"] * ("col" in named)
+    rest = "r.* EXCLUDE (" + ", ".join(["file", *gone]) + ")"
+    return f"{nodes_cte()}, result AS ({inner})\nSELECT f.file, {rest}{anew} FROM result r JOIN files f ON f.v = r.file"
+
+
+def own(column: str) -> str:
+    """A name or text of a template with the file's key in it."""
+    return f"replace(r.{column}, '{_MARK}', f.ks)"
+
+
+def own_text(column: str) -> str:
+    """A string literal of a template with the file's key in it."""
+    return f"CASE WHEN f.t = 9 THEN replace(r.{column}, 'xxxxxxxx', lpad(f.ks, 8, '0')) ELSE r.{column} END"
+
+
 def nodes_cte() -> str:
+    """Relations of the templates' nodes; `file` is the number of the template."""
     return f"""
 WITH {FILES.strip()},
 tpl(v, ord, parent, end_ord, depth, field, field_idx, parent_type, node_type, lineno, col1, colk, stmt_line,
     stmt_ord, op, name, dotted, ctx, asname, module, const_kind, const_str) AS (VALUES
 {values(_template_nodes())}),
 nodes AS (
-  SELECT file, k, t, ord, parent, end_ord, depth, field, field_idx, parent_type, node_type, lineno,
-    col1 + colk * (length(ks) - 1) AS col, stmt_line, stmt_ord, op, replace(name, '{_MARK}', ks) AS name,
-    replace(dotted, '{_MARK}', ks) AS dotted, ctx, asname, module, const_kind,
-    CASE WHEN t = 9 THEN replace(const_str, 'xxxxxxxx', lpad(ks, 8, '0')) ELSE const_str END AS const_str
-  FROM files JOIN tpl USING (v)),
+  SELECT v AS file, v // 100 AS t, ord, parent, end_ord, depth, field, field_idx, parent_type, node_type, lineno,
+    col1, colk, stmt_line, stmt_ord, op, name, dotted, ctx, asname, module, const_kind, const_str FROM tpl),
 scopes AS (
   SELECT s.file, s.ord AS scope_id, s.end_ord, s.node_type, s.name, s.depth FROM nodes s
   WHERE s.node_type IN ('Module', 'FunctionDef', 'ClassDef')),
@@ -415,36 +436,36 @@ SELECT file, count(*) AS total_tokens, count(*) FILTER (type = 'KEYWORD') AS key
     suspicious = f" WHERE value IN {in_list(vocab.SUSPICIOUS_WORDS)}"
     q["tok11_prescreen_hits"] = tokens_sql(ALL_TEXT) + "SELECT file, pos, value FROM tokens" + suspicious
     q["tok11_prescreen_words"] = found + "SELECT file, words, n::BIGINT AS suspicious_tokens FROM files JOIN hits USING (t)"
-    q["tok12_prescreen_gate"] = nodes + f"""
+    q["tok12_prescreen_gate"] = per_file(f"""
 SELECT file, CASE WHEN t IN ({", ".join(map(str, HITS))}) THEN 'kept' ELSE 'skipped' END AS gate, count(*) AS n_nodes
-FROM nodes GROUP BY ALL"""
+FROM nodes GROUP BY ALL""")
     q["tok12_gated_findings"] = found + f"""
 SELECT file, lineno, code, severity, prod FROM findings WHERE t IN ({", ".join(map(str, HITS))}) OR t = 15"""
 
     # syntax
-    q["ast1_shred"] = nodes + """
+    q["ast1_shred"] = per_file("""
 SELECT n.file, n.ord, n.parent, n.end_ord, n.depth, n.field, n.field_idx, n.parent_type, n.node_type, n.lineno,
-  n.col::INT AS col, n.stmt_ord, n.stmt_line, n.op, n.name, n.dotted, n.ctx, n.asname, n.module, n.const_kind, n.const_str,
+  n.col1, n.colk, n.stmt_ord, n.stmt_line, n.op, n.name, n.dotted, n.ctx, n.asname, n.module, n.const_kind, n.const_str,
   coalesce(string_agg(s.scope_id::VARCHAR, ',' ORDER BY s.scope_id), '0') AS scopes
-FROM nodes n LEFT JOIN scopes s ON s.file = n.file AND s.scope_id < n.ord AND n.ord <= s.end_ord GROUP BY ALL"""
+FROM nodes n LEFT JOIN scopes s ON s.file = n.file AND s.scope_id < n.ord AND n.ord <= s.end_ord GROUP BY ALL""", col="(r.col1 + r.colk * (length(f.ks) - 1))::INT", name=own("name"), dotted=own("dotted"), const_str=own_text("const_str"))
     q["ast2_syntax_errors"] = found + """
 SELECT file, lineno, code, severity, 'PHASE_2_SYNTAX' AS phase, lineno AS line, true AS has_error
 FROM findings WHERE code = 'SYNTAX_ERROR'"""
-    q["ast3_node_histogram"] = nodes + "SELECT file, node_type, count(*) AS n FROM nodes GROUP BY ALL"
-    q["ast3_node_type_map"] = nodes + """
+    q["ast3_node_histogram"] = per_file("SELECT file, node_type, count(*) AS n FROM nodes GROUP BY ALL")
+    q["ast3_node_type_map"] = per_file("""
 SELECT file, string_agg(node_type || ':' || n::VARCHAR, ',' ORDER BY node_type || ':' || n::VARCHAR) AS node_types
-FROM (SELECT file, node_type, count(*) AS n FROM nodes GROUP BY ALL) GROUP BY file"""
-    q["ast4_top_node_types"] = nodes + """
+FROM (SELECT file, node_type, count(*) AS n FROM nodes GROUP BY ALL) GROUP BY file""")
+    q["ast4_top_node_types"] = per_file("""
 , bfs AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY depth, ord) AS seen FROM nodes),
 counted AS (SELECT file, node_type, count(*) AS n, min(seen) AS first_seen FROM bfs GROUP BY ALL)
 SELECT file, (row_number() OVER (PARTITION BY file ORDER BY n DESC, first_seen))::INT AS rank, node_type, n FROM counted
-QUALIFY rank <= 10"""
-    q["ast5_syntax_stats"] = nodes + """
+QUALIFY rank <= 10""")
+    q["ast5_syntax_stats"] = per_file("""
 SELECT file, count(*) AS total_nodes, count(*) FILTER (node_type IN ('FunctionDef', 'AsyncFunctionDef')) AS functions,
   count(*) FILTER (node_type = 'ClassDef') AS classes, count(*) FILTER (node_type IN ('Import', 'ImportFrom')) AS imports,
   count(*) FILTER (node_type = 'Call') AS calls, count(*) FILTER (node_type IN ('Assign', 'AnnAssign')) AS assignments,
   count(*) FILTER (node_type = 'If') AS if_statements, count(*) FILTER (node_type IN ('For', 'While')) AS loops,
-  count(*) FILTER (node_type = 'Try') AS try_blocks FROM nodes GROUP BY file"""
+  count(*) FILTER (node_type = 'Try') AS try_blocks FROM nodes GROUP BY file""")
     q["ast6_imports"] = f"""
 WITH {FILES.strip()}, imports(t, ord, alias_idx, module, bound, lineno) AS (VALUES
   (4, 1, 0, 'base64', 'base64', 1), (5, 1, 0, 'subprocess', 'subprocess', 1), (6, 1, 0, 'os', 'os', 1),
@@ -452,17 +473,17 @@ WITH {FILES.strip()}, imports(t, ord, alias_idx, module, bound, lineno) AS (VALU
   (11, 1, 0, 'requests', 'requests', 1), (11, 1, 1, 'ssl', 'ssl', 1), (11, 1, 2, 'urllib.request', 'urllib', 1),
   (13, 1, 0, 'os', 'os', 1), (13, 3, 0, 'os', 'os', 2))
 SELECT file, ord, alias_idx, module, bound, lineno FROM files JOIN imports USING (t)"""
-    q["ast7_string_literals"] = nodes + """
-SELECT file, ord, lineno, const_str AS text FROM nodes WHERE node_type = 'Constant' AND const_kind = 'str'"""
-    q["ast8_calls"] = nodes + """
+    q["ast7_string_literals"] = per_file("""
+SELECT file, ord, lineno, const_str AS text FROM nodes WHERE node_type = 'Constant' AND const_kind = 'str'""", text=own_text("text"))
+    q["ast8_calls"] = per_file("""
 SELECT c.file, c.ord, c.lineno, f.dotted AS call_name FROM (
   SELECT file, ord, lineno FROM nodes WHERE node_type = 'Call') c
 JOIN (SELECT file, parent, coalesce(dotted, '<unknown>') AS dotted FROM nodes WHERE field = 'func') f
-ON f.file = c.file AND f.parent = c.ord"""
-    q["ast9_call_args"] = nodes + """
+ON f.file = c.file AND f.parent = c.ord""", call_name=own("call_name"))
+    q["ast9_call_args"] = per_file("""
 SELECT a.file, a.parent AS call_ord, a.ord, a.field AS arg_kind, a.field_idx AS arg_idx, a.node_type, a.name
 FROM nodes a JOIN nodes c ON c.file = a.file AND c.ord = a.parent
-WHERE c.node_type = 'Call' AND a.field IN ('args', 'keywords')"""
+WHERE c.node_type = 'Call' AND a.field IN ('args', 'keywords')""", name=own("name"))
 
     # features
     arg = """
@@ -501,7 +522,7 @@ SELECT file, ord, lineno FROM c WHERE """
         "f15_no_verify": some("kw", f"x.name = 'context' AND {is_call} AND contains({call}, 'unverified')"),
     }
     for key, test in tests.items():
-        q[key] = nodes + arg + test
+        q[key] = per_file(arg + test)
     secret = quote("(?i)" + vocab.SECRET_REGEX)
     q["f16_secret_pattern"] = f"""
 SELECT file, true AS secret_pattern FROM ({ALL_TEXT}) WHERE regexp_matches(source, {secret})"""
@@ -519,13 +540,13 @@ SELECT file, ord, lineno, s AS secret_pattern, a AS aws_key, l AS long_token FRO
 SELECT b.file, b.ord, b.lineno, {test} AS {alias}
 FROM (SELECT file, ord, lineno FROM nodes WHERE node_type = 'BinOp' AND op = 'Add') b
 JOIN nodes x ON x.file = b.file AND x.parent = b.ord AND x.field = '{side}'"""
-    q["f19_sql_left"] = nodes + sides.format(
+    q["f19_sql_left"] = per_file(sides.format(
         side="left", alias="sql_left",
-        test=f"coalesce({text_arg} AND {any_of('upper(x.const_str)', vocab.QUERY_WORDS)}, false)")
-    q["f20_input_right"] = nodes + sides.format(
+        test=f"coalesce({text_arg} AND {any_of('upper(x.const_str)', vocab.QUERY_WORDS)}, false)"))
+    q["f20_input_right"] = per_file(sides.format(
         side="right", alias="input_right",
         test=f"coalesce(({is_name} AND {any_of(name, ['input', 'user', 'data', 'request'])}) "
-             f"OR ({is_call} AND contains({call}, 'input')), false)")
+             f"OR ({is_call} AND contains({call}, 'input')), false)"))
 
     # rules
     matched = "SELECT file, lineno, tokens AS symbols FROM findings WHERE prod IS NOT NULL AND "
@@ -571,40 +592,40 @@ WITH {FILES.strip()}, e(i, word_idx, message) AS (VALUES {values(
 SELECT file, 1 AS lineno, 'SQL_SYNTAX_ERROR' AS code, message, 'ERROR' AS severity, word_idx FROM files, e WHERE t = 12"""
 
     # symbols
-    q["y1_scopes"] = nodes + """
+    q["y1_scopes"] = per_file("""
 SELECT s.file, s.scope_id, max(p.scope_id) AS parent_scope_id, coalesce(s.name, '<global>') AS name,
   CASE s.node_type WHEN 'Module' THEN 'global' WHEN 'ClassDef' THEN 'class' ELSE 'function' END AS scope_type,
   coalesce(string_agg(p.scope_id::VARCHAR, ',' ORDER BY p.scope_id) || ',', '') || s.scope_id::VARCHAR AS chain
 FROM scopes s LEFT JOIN scopes p ON p.file = s.file AND p.scope_id < s.scope_id AND s.scope_id <= p.end_ord
-GROUP BY s.file, s.scope_id, s.name, s.node_type"""
-    q["y2_definitions"] = nodes + """
+GROUP BY s.file, s.scope_id, s.name, s.node_type""", name=own("name"))
+    q["y2_definitions"] = per_file("""
 SELECT file, scope_id, name, kind, CASE kind WHEN 'import' THEN 'module' WHEN 'function' THEN 'function'
   WHEN 'class' THEN 'class' WHEN 'variable' THEN inferred_type END AS inferred_type, ord, sub, lineno
-FROM defs LEFT JOIN types USING (file, ord)"""
-    q["y2_definitions_with_builtins"] = nodes + f"""
+FROM defs LEFT JOIN types USING (file, ord)""", name=own("name"))
+    q["y2_definitions_with_builtins"] = per_file(f"""
 SELECT s.file, {len(vocab.BUILTINS)} + count(d.name) AS n_defines, {len(vocab.BUILTINS)}::BIGINT AS n_builtins
-FROM (SELECT DISTINCT file FROM nodes) s LEFT JOIN defs d ON d.file = s.file GROUP BY s.file"""
-    q["y3_symbol_table"] = nodes + """
+FROM (SELECT DISTINCT file FROM nodes) s LEFT JOIN defs d ON d.file = s.file GROUP BY s.file""")
+    q["y3_symbol_table"] = per_file("""
 , every AS (
   SELECT file, scope_id, name, kind, lineno FROM syms WHERE NOT (scope_id = 0 AND name IN (SELECT name FROM builtins))
   UNION ALL SELECT f.file, 0, b.name, b.kind, 0 FROM (SELECT DISTINCT file FROM nodes) f, builtins b)
 SELECT file, scope_id, name, kind AS symbol_type, lineno AS declared_line, used IS NOT NULL AS is_used
 FROM every LEFT JOIN (SELECT DISTINCT file, scope_id, name, true AS used FROM resolved WHERE scope_id IS NOT NULL) u
-USING (file, scope_id, name)"""
-    q["y4_assignment_history"] = nodes + """
+USING (file, scope_id, name)""", name=own("name"))
+    q["y4_assignment_history"] = per_file("""
 SELECT file, scope_id, name, coalesce(string_agg(lineno::VARCHAR, ',' ORDER BY ord, sub) FILTER (kind = 'variable'), '') AS assignments,
   arg_max(t, (ord, sub)) FILTER (t IS NOT NULL AND (nth = 1 OR kind = 'variable')) AS inferred_type
 FROM (SELECT d.*, row_number() OVER (PARTITION BY file, scope_id, name ORDER BY ord, sub) AS nth,
         CASE kind WHEN 'import' THEN 'module' WHEN 'function' THEN 'function' WHEN 'class' THEN 'class'
         WHEN 'variable' THEN inferred_type END AS t
-      FROM defs d LEFT JOIN types USING (file, ord)) GROUP BY file, scope_id, name"""
-    q["y5_name_uses"] = nodes + """
+      FROM defs d LEFT JOIN types USING (file, ord)) GROUP BY file, scope_id, name""", name=own("name"))
+    q["y5_name_uses"] = per_file("""
 SELECT u.file, u.ord, u.name, u.lineno, string_agg(s.scope_id::VARCHAR, ',' ORDER BY s.scope_id) AS chain
-FROM uses u JOIN scopes s ON s.file = u.file AND s.scope_id < u.ord AND u.ord <= s.end_ord GROUP BY ALL"""
-    q["y6_resolve"] = nodes + "SELECT * FROM resolved"
-    q["y8_usages"] = nodes + """
+FROM uses u JOIN scopes s ON s.file = u.file AND s.scope_id < u.ord AND u.ord <= s.end_ord GROUP BY ALL""", name=own("name"))
+    q["y6_resolve"] = per_file("SELECT * FROM resolved", name=own("name"))
+    q["y8_usages"] = per_file("""
 SELECT file, scope_id, name, string_agg(lineno::VARCHAR, ',' ORDER BY ord) AS usages FROM resolved
-WHERE scope_id IS NOT NULL GROUP BY ALL"""
+WHERE scope_id IS NOT NULL GROUP BY ALL""", name=own("name"))
     plain = "SELECT file, lineno, code, message, severity FROM findings WHERE code = "
     for key, code in {
         "y7_undefined": "UNDEFINED_VARIABLE",
@@ -619,7 +640,7 @@ WHERE scope_id IS NOT NULL GROUP BY ALL"""
     q["y13_unused_variables"] = f"""
 WITH {FILES.strip()} SELECT file, 13 + CASE t WHEN 9 THEN 5 WHEN 12 THEN 1 WHEN 13 THEN 1 WHEN 16 THEN 1 ELSE 0 END::BIGINT AS unused_variables
 FROM files WHERE t <> 15"""
-    q["y14_inferred_types"] = nodes + "SELECT file, ord AS assign_ord, inferred_type FROM types"
+    q["y14_inferred_types"] = per_file("SELECT file, ord AS assign_ord, inferred_type FROM types")
     from checks.queries import LABELS
 
     labels = "[" + ", ".join(quote(x) for x in LABELS) + "]"
@@ -634,14 +655,15 @@ SELECT file, lineno, 'TYPE_MISMATCH' AS code, 'Type mismatch in ' || context ||
   AS message, 'WARNING' AS severity FROM judged WHERE NOT compatible AND expected <> '' AND actual <> ''"""
 
     # flow: no template nests functions of one name, so spans suffice
-    spans = nodes + """
+    spans = """
 , f AS (SELECT file, ord, end_ord, name, lineno FROM nodes WHERE node_type = 'FunctionDef'),
 inside AS (SELECT f.file, f.name, f.lineno, f.ord, n.node_type FROM f LEFT JOIN nodes n
   ON n.file = f.file AND n.ord > f.ord AND n.ord <= f.end_ord)
 SELECT file, name, lineno, {what} FROM inside GROUP BY file, name, lineno, ord"""
-    q["c1_complexity"] = spans.replace(
-        "{what}", "(1 + count(*) FILTER (node_type IN ('If', 'For', 'While', 'With', 'Try', 'BoolOp')))::INT AS complexity")
-    q["c3_has_return"] = spans.replace("{what}", "count(*) FILTER (node_type = 'Return') > 0 AS has_return")
+    q["c1_complexity"] = per_file(spans.replace(
+        "{what}", "(1 + count(*) FILTER (node_type IN ('If', 'For', 'While', 'With', 'Try', 'BoolOp')))::INT AS complexity"), name=own("name"))
+    q["c3_has_return"] = per_file(
+        spans.replace("{what}", "count(*) FILTER (node_type = 'Return') > 0 AS has_return"), name=own("name"))
 
     # reports
     q["p1_findings"] = found + """
@@ -715,7 +737,7 @@ SELECT f.file AS filename, keywords, strings, total_nodes, calls, CASE WHEN f.t
   CASE WHEN f.t <> 15 AND h.n IS NULL THEN 'No suspicious tokens detected' END AS analysis_skipped,
   CASE WHEN f.t <> 15 THEN 0 END::BIGINT AS patterns_matched,
   CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN coalesce(g, 0) ELSE 0 END END AS grammar_rules_applied
-FROM files f JOIN lexical USING (file) LEFT JOIN parsed USING (file) LEFT JOIN hits h USING (t) LEFT JOIN counted USING (file)"""
+FROM files f JOIN lexical USING (file) LEFT JOIN parsed ON parsed.file = f.v LEFT JOIN hits h USING (t) LEFT JOIN counted USING (file)"""
     q["p10_report_lines"] = found + """
 SELECT rpad(severity, 7, ' ') || ' ' || file || ':' || lpad(lineno::VARCHAR, 4, ' ') || ' '
   || CASE WHEN length(code) < 20 THEN rpad(code, 20, ' ') ELSE code END || ' - ' || message AS line
