@@ -323,7 +323,7 @@ EXPECTED = [
     (13, 0, 9, 11, "UNUSED_PARAMETER", None, 0, None, "Parameter 'self' is never used"),
     (14, 4, 6, 1, "HIGH_COMPLEXITY", None, 0, "WARNING", "Function 'c__k__' complexity=__c__ (>= 8)"),
     (14, 7, 9, 1, "HIGH_COMPLEXITY", None, 0, "ERROR", "Function 'c__k__' complexity=__c__ (>= 15)"),
-    (15, 0, 9, 1, "SYNTAX_ERROR", None, 0, None, "Syntax error while parsing: "),
+    (15, 0, 9, 1, "SYNTAX_ERROR", None, 0, None, "Syntax error while parsing"),
 ]
 _WARNINGS = ("DUPLICATE_IMPORT", "UNUSED_PARAMETER", "MISSING_RETURN")
 # Suspicious words per template (with repeats, in order).
@@ -667,8 +667,7 @@ SELECT file, name, lineno, {what} FROM inside GROUP BY file, name, lineno, ord""
 
     # reports
     q["p1_findings"] = found + """
-SELECT file, lineno, code, CASE WHEN code = 'SYNTAX_ERROR' THEN 'Syntax error while parsing' ELSE message END AS message,
-  severity, pattern, tokens, parse_stack, prod, CASE WHEN code = 'SYNTAX_ERROR' THEN 'PHASE_2_SYNTAX' END AS phase,
+SELECT file, lineno, code, message, severity, pattern, tokens, parse_stack, prod, CASE WHEN code = 'SYNTAX_ERROR' THEN 'PHASE_2_SYNTAX' END AS phase,
   NULL::VARCHAR AS error FROM findings"""
     q["p2_sorted_report"] = found + """
 SELECT file, (row_number() OVER (PARTITION BY file ORDER BY CASE severity WHEN 'ERROR' THEN 1 ELSE 2 END, lineno, i))::INT AS nth,
@@ -689,7 +688,7 @@ SELECT file, lineno, count(*) AS n, CASE WHEN bool_or(severity = 'ERROR') THEN '
   string_agg(severity || ': ' || code || coalesce(' [' || pattern || ']', ''), ';' ORDER BY i) AS badges,
   string_agg('[' || severity || '] ' || code || ': ' || message || coalesce(chr(10) || '  → Pattern: ' || pattern, '')
     || coalesce(chr(10) || '  → Tokens: [' || replace(tokens, ' ', ', ') || ']', ''), chr(10) || chr(10) ORDER BY i) AS tooltip
-FROM findings WHERE code <> 'SYNTAX_ERROR' GROUP BY file, lineno"""
+FROM findings GROUP BY file, lineno"""
     q["p6_first_flagged_line"] = found + "SELECT file, min(lineno) AS first_line FROM findings GROUP BY file"
     q["p7_annotate_lines"] = found + f"""
 , {SOURCES.strip()},
@@ -741,7 +740,7 @@ FROM files f JOIN lexical USING (file) LEFT JOIN parsed ON parsed.file = f.v LEF
     q["p10_report_lines"] = found + """
 SELECT rpad(severity, 7, ' ') || ' ' || file || ':' || lpad(lineno::VARCHAR, 4, ' ') || ' '
   || CASE WHEN length(code) < 20 THEN rpad(code, 20, ' ') ELSE code END || ' - ' || message AS line
-FROM findings WHERE code <> 'SYNTAX_ERROR'"""
+FROM findings"""
     q["p3_text_severity_counts"] = lint_sql(DOCUMENTS) + f"""
 , hits AS (SELECT file, 'ERROR' AS severity FROM lint WHERE message IS NOT NULL
   UNION ALL SELECT file, 'ERROR' FROM src WHERE regexp_matches(source, {secret})

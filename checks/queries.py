@@ -558,11 +558,15 @@ def _(spark, sf_dir):
     return _flat(analysis(spark, sf_dir).findings)
 
 
-def _flat(df):
+def _plain_errors(df):
     # SYNTAX_ERROR texts depend on the Python version; only their stem is compared
-    message = F.when(F.col("code") == "SYNTAX_ERROR", F.substring_index("message", ": ", 1)).otherwise(F.col("message"))
-    return df.select(
-        "file", "lineno", "code", message.alias("message"), "severity", "pattern",
+    stem = F.substring_index("message", ": ", 1)
+    return df.withColumn("message", F.when(F.col("code") == "SYNTAX_ERROR", stem).otherwise(F.col("message")))
+
+
+def _flat(df):
+    return _plain_errors(df).select(
+        "file", "lineno", "code", "message", "severity", "pattern",
         joined(F.col("tokens"), " ").alias("tokens"), joined(F.col("parse_stack")).alias("parse_stack"),
         "prod", "phase", "error",
     )
@@ -604,8 +608,8 @@ def _(spark, sf_dir):
 
 @query("p6_findings_by_line")
 def _(spark, sf_dir):
-    lines = report.findings_by_line(analysis(spark, sf_dir).findings)
-    return lines.filter(~F.array_contains("types", "SYNTAX_ERROR")).select(
+    lines = report.findings_by_line(_plain_errors(analysis(spark, sf_dir).findings))
+    return lines.select(
         "file", "lineno", "n", "worst", joined(F.col("types"), ";").alias("types"),
         joined(F.col("badges"), ";").alias("badges"), "tooltip",
     )
@@ -646,8 +650,7 @@ def _(spark, sf_dir):
 
 @query("p10_report_lines")
 def _(spark, sf_dir):
-    parsed = analysis(spark, sf_dir).findings.filter(F.col("code") != "SYNTAX_ERROR")
-    return report.report_lines(parsed)
+    return report.report_lines(_plain_errors(analysis(spark, sf_dir).findings))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -705,7 +708,7 @@ def _(spark, sf_dir):
     folder = _corpus_folder(spark, sf_dir)
     files = scan_sources(spark, folder)
     return files.select(
-        F.substring("file", len(folder) + 2, 1000).alias("file"), F.md5("source").alias("md5"), "error"
+        F.expr(f"substring(file, {len(folder) + 2})").alias("file"), F.md5("source").alias("md5"), "error"
     )
 
 
@@ -715,7 +718,7 @@ def _(spark, sf_dir):
 
     folder, out = _corpus_folder(spark, sf_dir), _scratch(spark, "streamed")
     stream = stream_sources(spark, folder, settle=0).select(
-        F.substring("file", len(folder) + 2, 1000).alias("file"), F.md5("source").alias("md5"), "error"
+        F.expr(f"substring(file, {len(folder) + 2})").alias("file"), F.md5("source").alias("md5"), "error"
     )
     started = stream.writeStream.format("parquet").option("checkpointLocation", out + "_progress").trigger(availableNow=True)
     started.start(out).awaitTermination()

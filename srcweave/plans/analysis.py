@@ -234,4 +234,5 @@ def scan(spark: SparkSession, path: str, *, prescreen: bool = True, decode: str
 
     With `prescreen=False, decode="ignore"`: as an upload is read.
     """
-    return Analysis(scan_sources(spark, path, decode), prescreen=prescreen, keep_sources=True, **options)
+    sources = scan_sources(spark, path, decode, options.get("partitions"))
+    return Analysis(sources, prescreen=prescreen, keep_sources=True, **options)

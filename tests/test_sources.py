@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from srcweave import session
 from srcweave.operators import report
 from srcweave.plans.analysis import Analysis, scan
 from srcweave.sources import files, sinks
@@ -57,6 +58,44 @@ def test_tree_is_cut_without_overlap(tmp_path, monkeypatch):
         assert len(found) == len(set(found)) and set(found) == everything
 
 
+def test_listing_goes_level_by_level(spark, tmp_path):
+    for i in range(300):
+        folder = tmp_path / f"d{i}" / "e"
+        folder.mkdir(parents=True)
+        (folder / "f.py").write_text("x" * i)
+        (tmp_path / f"g{i}.py").write_text("")
+    (tmp_path / "loop").symlink_to(tmp_path)
+    (tmp_path / "broken.py").symlink_to(tmp_path / "nothing")
+    expected = {os.path.join(d, n): os.path.getsize(os.path.join(d, n)) if n != "broken.py" else 0
+                for d, _, names in os.walk(tmp_path) for n in names}
+    listing = files.list_files(spark, str(tmp_path))
+    assert {r["file"]: r["size"] for r in listing.collect()} == expected
+    by_uri = files.list_files(spark, f"file://{tmp_path}/d7")
+    assert [(r["file"], r["size"]) for r in by_uri.collect()] == [(f"file://{tmp_path}/d7/e/f.py", 7)]
+    assert [r["source"] for r in files.scan_sources(spark, f"file://{tmp_path}/d7").collect()] == ["x" * 7]
+
+
+def test_a_directory_that_cannot_be_listed_is_an_error_row(tmp_path):
+    (row,) = files._entries(str(tmp_path / "gone"))
+    assert row[:3] == (str(tmp_path / "gone"), False, 0) and "No such file" in row[3]
+
+
+def test_reading_tasks_follow_the_bytes(spark, monkeypatch):
+    listing = spark.createDataFrame([("a.py", 700, None), ("b.py", 401, None)], "file string, size long, error string")
+    monkeypatch.setattr(files, "READ_BYTES", 100)
+    assert files.reading_tasks(listing) == 12
+
+
+def test_partitions_are_measured_not_estimated(spark, monkeypatch):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id")
+    plain = docs.select(F.col("doc_id").cast("string").alias("file"), F.col("text").alias("source"))
+    joined = docs.join(labels, "doc_id", "left").join(labels, "doc_id", "left").select(*[F.col("text").alias("source")])
+    target = 20_000
+    assert session.partitions_for(plain, target) == session.partitions_for(joined, target) > 8
+
+
 def test_decode_ignore_drops_only_bad_bytes(spark):
     samples = [b"plain", "é€😀".encode(), b"\xffa\xe2\x82b\xf0\x9f\x98c\x80", b"\xed\xa0\x80x", b"\xc0\xafy", b"\xe2\x82\xac\xe2"]
     df = spark.createDataFrame([(str(i), bytearray(s)) for i, s in enumerate(samples)], "file string, content binary")
