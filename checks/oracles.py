@@ -409,8 +409,23 @@ SELECT doc_id::VARCHAR AS file, md5(text) AS ignored_md5, CASE WHEN doc_id % 3 <
 SELECT doc_id::VARCHAR AS file, NULL::VARCHAR AS code, NULL::VARCHAR AS severity, true AS has_error
 FROM documents WHERE doc_id % 5 = 0"""
     q["src4_source_table"] = CORPUS
-    q["snk1_findings_json"] = found + """
-SELECT file AS filename, count(*)::INT AS n, string_agg(code, ',' ORDER BY i) AS codes,
+    # each rule finding's trace as text
+    shown = """pattern || '|VULN|' || list_aggregate(list_transform(range(1, len(string_split(tokens, ' ')) + 1),
+    lambda i: 'SHIFT:' || string_split('0,' || states, ',')[i] || ':' || array_to_string(string_split(tokens, ' ')[i:], ' ') || ' $'),
+    'string_agg', '|') || '|REDUCE:' || string_split('0,' || states, ',')[len(string_split(tokens, ' ')) + 1] || ':$'"""
+    q["e2_upload_documents"] = found + f"""
+, {SOURCES.strip()},
+per AS (SELECT file, count(*)::INT AS n, coalesce(string_agg({shown}, ';' ORDER BY i) FILTER (prod IS NOT NULL), '') AS traces
+  FROM findings WHERE code <> 'SYNTAX_ERROR' GROUP BY file)
+SELECT string_split(c.file, '/')[-1] AS filename, CASE WHEN t <> 15 THEN md5(source) END AS content_md5,
+  CASE WHEN t <> 15 THEN coalesce(n, 0) END AS n, CASE WHEN t <> 15 THEN coalesce(traces, '') END AS traces,
+  CASE WHEN t = 15 THEN 'Syntax error in uploaded file' END AS error
+FROM corpus c JOIN files USING (file) LEFT JOIN per USING (file)"""
+    q["snk1_findings_json"] = found + f"""
+SELECT file AS filename, string_agg(message, ';' ORDER BY i) AS messages, string_agg(severity, ',' ORDER BY i) AS severities,
+  coalesce(string_agg(tokens, ';' ORDER BY i) FILTER (prod IS NOT NULL), '') AS tokens,
+  coalesce(string_agg(coalesce(parse_stack, ''), ';' ORDER BY i) FILTER (prod IS NOT NULL), '') AS stacks,
+  coalesce(string_agg({shown}, ';' ORDER BY i) FILTER (prod IS NOT NULL), '') AS traces, count(*)::INT AS n, string_agg(code, ',' ORDER BY i) AS codes,
   string_agg(lineno::VARCHAR, ',' ORDER BY i) AS lines, coalesce(string_agg(pattern, ';' ORDER BY i), '') AS patterns
 FROM findings GROUP BY file"""
 

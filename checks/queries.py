@@ -31,9 +31,14 @@ def query(name: str):
 
 
 def analysis(spark: SparkSession, sf_dir: str, *, prescreen: bool = False) -> Analysis:
-    """The analysis of the corpus, built once per session and table folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, prescreen)
+    """The analysis of the corpus, built once per session and table folder; those of other folders are dropped."""
+    app = spark.sparkContext.applicationId
+    key = (app, sf_dir, prescreen)
     if key not in _analyses:
+        for other in [k for k in _analyses if k[:2] != key[:2]]:
+            old = _analyses.pop(other)
+            if other[0] == app:
+                old.release()
         _analyses[key] = Analysis(corpus(spark, sf_dir), prescreen=prescreen)
     return _analyses[key]
 
@@ -111,6 +116,26 @@ def _(spark, sf_dir):
     return corpus(spark, sf_dir).select("file", "source")
 
 
+def _trace_text(t):
+    """A trace as text: its pattern and of each step action, state and what is left of the input."""
+    steps = F.transform(
+        t["steps"],
+        lambda s: F.concat_ws(":", s["action"], s["state"].cast("string"), F.array_join(s["input_remaining"], " ")),
+    )
+    return F.concat_ws("|", t["pattern"], t["vulnerability"], F.array_join(steps, "|"))
+
+
+@query("e2_upload_documents")
+def _(spark, sf_dir):
+    """The answer to an upload of every source of the corpus."""
+    answers = analysis(spark, sf_dir).upload_documents()
+    return answers.select(
+        "filename", F.md5("content").alias("content_md5"), F.size("findings").alias("n"),
+        joined(F.transform("parse_traces", _trace_text), ";").alias("traces"),
+        F.substring_index("error", ": ", 1).alias("error"),
+    )
+
+
 @query("snk1_findings_json")
 def _(spark, sf_dir):
     """Per-file JSON documents written out and read back."""
@@ -120,9 +145,23 @@ def _(spark, sf_dir):
 
     path = f"{session.scratch_dir(spark)}/findings_json_{uuid.uuid4().hex}"
     write_findings_json(analysis(spark, sf_dir).findings, path, per_file=True)
-    schema = "filename string, findings array<struct<lineno:int,code:string,severity:string,pattern:string>>"
-    return spark.read.schema(schema).json(path).select(
+    from srcweave.operators.rules import TRACE_TYPE
+
+    fields = "lineno:int,code:string,severity:string,message:string,pattern:string,tokens:array<string>,parse_stack:array<int>"
+    schema = f"filename string, findings array<struct<{fields},parse_trace:{TRACE_TYPE}>>"
+    read = spark.read.schema(schema).json(path)
+    plain = F.transform(
+        "findings",
+        lambda f: F.when(f["code"] == "SYNTAX_ERROR", F.substring_index(f["message"], ": ", 1)).otherwise(f["message"]),
+    )
+    rules_only = F.filter("findings", lambda f: f["parse_trace"].isNotNull())
+    return read.select(
         "filename",
+        joined(plain, ";").alias("messages"),
+        joined(F.col("findings.severity")).alias("severities"),
+        joined(F.transform(rules_only, lambda f: F.array_join(f["tokens"], " ")), ";").alias("tokens"),
+        joined(F.transform(rules_only, lambda f: F.array_join(F.transform(f["parse_stack"], lambda x: x.cast("string")), ",")), ";").alias("stacks"),
+        joined(F.transform(rules_only, lambda f: _trace_text(f["parse_trace"])), ";").alias("traces"),
         F.size("findings").alias("n"),
         joined(F.col("findings.code")).alias("codes"),
         joined(F.col("findings.lineno")).alias("lines"),

@@ -83,22 +83,42 @@ https certificate base64 b64decode decode Path join dirname
 
 # Misspelt SQL words and what they should be.
 SQL_TYPOS = {
-    bad: good.replace("_", " ")
-    for good, misspelt in {
-        "SELECT": "SELCT SLECT SELEC SELET SELEECT SELLECT SELECET SEELCT SLELECT",
-        "FROM": "FORM FRON FRUM FOM",
-        "WHERE": "WHER WHRE WERE WAERE",
-        "INSERT": "INSRT INSER INSET",
-        "INSERT_INTO": "INSERTINTO",
-        "UPDATE": "UPDTE UPDAE UPDAT",
-        "DELETE": "DELET DELLETE DELTE",
-        "ORDER_BY": "ORDERBY",
-        "ORDER": "ODER ORER",
-        "GROUP_BY": "GROUPBY",
-        "GROUP": "GROPU GRUP",
-        "JOIN": "JION JON JOJN",
-    }.items()
-    for bad in misspelt.split()
+    "SELCT": "SELECT",
+    "SLECT": "SELECT",
+    "SELEC": "SELECT",
+    "SELET": "SELECT",
+    "SELEECT": "SELECT",
+    "SELLECT": "SELECT",
+    "SELECET": "SELECT",
+    "SEELCT": "SELECT",
+    "SLELECT": "SELECT",
+    "FORM": "FROM",
+    "FRON": "FROM",
+    "FRUM": "FROM",
+    "FOM": "FROM",
+    "WHER": "WHERE",
+    "WHRE": "WHERE",
+    "WERE": "WHERE",
+    "WAERE": "WHERE",
+    "INSRT": "INSERT",
+    "INSER": "INSERT",
+    "INSET": "INSERT",
+    "INSERTINTO": "INSERT INTO",
+    "UPDTE": "UPDATE",
+    "UPDAE": "UPDATE",
+    "UPDAT": "UPDATE",
+    "DELET": "DELETE",
+    "DELLETE": "DELETE",
+    "DELTE": "DELETE",
+    "ORDERBY": "ORDER BY",
+    "ODER": "ORDER",
+    "ORER": "ORDER",
+    "GROUPBY": "GROUP BY",
+    "GROPU": "GROUP",
+    "GRUP": "GROUP",
+    "JION": "JOIN",
+    "JON": "JOIN",
+    "JOJN": "JOIN",
 }
 
 # A text holding any of these (as a substring) is linted as SQL.
@@ -141,10 +161,7 @@ COMPLEXITY_WARNING = 8
 COMPLEXITY_ERROR = 15
 
 # Secret shapes (regular expressions).
-SECRET_REGEX = (
-    r"(?:api[_-]?key|secret[_-]?key|password|passwd|token)"
-    r"\s*[:=]\s*['\"]?([A-Za-z0-9\-_+=/]{8,})"
-)
+SECRET_REGEX = r"(?:api[_-]?key|secret[_-]?key|password|passwd|token)\s*[:=]\s*['\"]?([A-Za-z0-9\-_+=/]{8,})"
 AWS_KEY_REGEX = r"AKIA[0-9A-Z]{16}"
 LONG_TOKEN_REGEX = r"[A-Za-z0-9+/=]{20,}"
 
@@ -221,3 +238,11 @@ ACCEPTED = [
     ("urllib", 23, [110]),
     ("urllib no_verify", 23, [110, 111]),
 ]
+
+# Words that make the name of a call, argument or operand telling.
+DECODING_CALLS = ["b64decode", "base64"]
+INPUT_CALLS = ["input", "read", "get", "request", "argv"]
+INPUT_NAMES = ["input", "user", "request", "data"]
+UNTRUSTED_CALLS = ["open", "read", "request", "recv", "socket"]
+WEAK_ALGORITHMS = ["md5", "sha1"]
+INPUT_OPERANDS = ["input", "user", "data", "request"]

@@ -100,23 +100,23 @@ def sites(nodes: DataFrame) -> DataFrame:
             )
         ).alias("has_format"),
         has(arg & (kind == "JoinedStr")).alias("has_fstring"),
-        has(arg & is_call & text.contains_any(call, ["b64decode", "base64"])).alias("has_b64decode"),
+        has(arg & is_call & text.contains_any(call, vocab.DECODING_CALLS)).alias("has_b64decode"),
         has(arg & (kind != "Constant")).alias("is_dynamic"),
         has(
             arg
             & (
-                (is_call & text.contains_any(lower_call, ["input", "read", "get", "request", "argv"]))
-                | (is_name & text.contains_any(lower_name, ["input", "user", "request", "data"]))
+                (is_call & text.contains_any(lower_call, vocab.INPUT_CALLS))
+                | (is_name & text.contains_any(lower_name, vocab.INPUT_NAMES))
             )
         ).alias("has_user_input"),
         has(keyword & (name == "shell") & (F.col("const_kind") == "True")).alias("shell_true"),
         has(
-            arg & is_call & text.contains_any(lower_call, ["open", "read", "request", "recv", "socket"])
+            arg & is_call & text.contains_any(lower_call, vocab.UNTRUSTED_CALLS)
         ).alias("untrusted_source"),
         has(arg & string & literal.contains("..")).alias("has_dotdot"),
         has(
-            (own & is_call & text.contains_any(lower_call, ["md5", "sha1"]))
-            | (arg & string & F.lower(literal).isin("md5", "sha1"))
+            (own & is_call & text.contains_any(lower_call, vocab.WEAK_ALGORITHMS))
+            | (arg & string & F.lower(literal).isin(*vocab.WEAK_ALGORITHMS))
         ).alias("weak_algo"),
         has(own & is_call & lower_call.contains("random")).alias("token_gen"),
         has(own & is_call & lower_call.contains("random") & lower_call.contains("seed")).alias("has_seed"),
@@ -131,7 +131,7 @@ def sites(nodes: DataFrame) -> DataFrame:
         has(
             right
             & (
-                (is_name & text.contains_any(lower_name, ["input", "user", "data", "request"]))
+                (is_name & text.contains_any(lower_name, vocab.INPUT_OPERANDS))
                 | (is_call & lower_call.contains("input"))
             )
         ).alias("input_right"),

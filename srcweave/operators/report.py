@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from srcweave.functions.text import ascii_only, severity_rank
+from srcweave.operators.rules import with_traces
 
 _LEVELS = {"ERROR": "errors", "WARNING": "warnings", "INFO": "infos"}
 
@@ -62,6 +63,7 @@ def filter_findings(
     return findings
 
 
+# The labels and line breaks of tooltips, badges and details are fixed values.
 def _tooltip(f: Column) -> Column:
     ruled = f["pattern"].isNotNull() & (f["pattern"] != "")
     return F.concat(
@@ -167,13 +169,41 @@ def report_totals(findings: DataFrame) -> DataFrame:
     return findings.agg(F.count(F.lit(1)).alias("total"), *_level_counts())
 
 
-def file_reports(findings: DataFrame) -> DataFrame:
-    """reports(filename, findings): each file's findings as one ordered array."""
-    shown = F.struct(
-        "emit_key", "lineno", "code", "message", "severity", "pattern", "tokens", "parse_stack", "phase", "error"
-    )
-    keep = ("lineno", "code", "message", "severity", "pattern", "tokens", "parse_stack", "phase", "error")
-    grouped = findings.groupBy(F.col("file").alias("filename")).agg(F.sort_array(F.collect_list(shown)).alias("f"))
+_REPORTED = ("lineno", "code", "message", "severity", "pattern", "tokens", "parse_stack", "parse_trace", "phase", "error")
+
+
+def file_reports(findings: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """reports(filename, findings): each file's findings as one ordered array, rule findings with their trace.
+
+    `rules` are the caller's own, if the findings were made with some.
+    """
+    traced = with_traces(findings, rules)
+    shown = F.struct("emit_key", *_REPORTED)
+    grouped = traced.groupBy(F.col("file").alias("filename")).agg(F.collect_list(shown).alias("f"))
+    ordered = F.array_sort("f", lambda a, b: F.when(a["emit_key"] < b["emit_key"], -1).when(a["emit_key"] > b["emit_key"], 1).otherwise(0))
     return grouped.select(
-        "filename", F.transform("f", lambda f: F.struct(*[f[k].alias(k) for k in keep])).alias("findings")
+        "filename", F.transform(ordered, lambda f: F.struct(*[f[k].alias(k) for k in _REPORTED])).alias("findings")
+    )
+
+
+def upload_documents(sources: DataFrame, findings: DataFrame, failures: DataFrame, rules: DataFrame | None = None) -> DataFrame:
+    """documents(filename, content, findings, parse_traces, error): the answer to an upload of each source.
+
+    A file that does not parse has only its name and the error.
+    """
+    why = F.when(F.col("kind") == "syntax", F.concat(F.lit("Syntax error in uploaded file: "), "full")).otherwise(
+        F.concat(F.lit("Error analyzing file: "), "message")
+    )
+    failed = failures.select("file", why.alias("error"))
+    reports = file_reports(findings, rules).withColumnRenamed("filename", "file")
+    answered = sources.select("file", "source").join(reports, "file", "left").join(failed, "file", "left")
+    fine, kind = F.col("error").isNull(), dict(reports.dtypes)["findings"]
+    found = F.coalesce("findings", F.array().cast(kind))
+    traces = F.transform(F.filter(found, lambda f: f["parse_trace"].isNotNull()), lambda f: f["parse_trace"])
+    return answered.select(
+        F.element_at(F.split("file", "/"), -1).alias("filename"),
+        F.when(fine, F.col("source")).alias("content"),
+        F.when(fine, found).alias("findings"),
+        F.when(fine, traces).alias("parse_traces"),
+        "error",
     )

@@ -28,13 +28,10 @@ def rule_table(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame
     return broadcast_if_small(kept.unionByName(wanted))
 
 
-def symbols(site: dict[str, Column] | None = None) -> Column:
+def symbols() -> Column:
     """The symbol sequence of a site row, as an array; null when it has none."""
     flag = F.col
 
-    def word(condition, symbol):
-        return F.when(condition, F.array(F.lit(symbol)))
-
     def first(*pairs):
         chain = F.when(flag(pairs[0][0]), F.array(F.lit(pairs[0][1])))
         for name, symbol in pairs[1:]:
@@ -133,13 +130,18 @@ STEP_TYPE = (
 )
 
 
-def explain_match(matches: DataFrame) -> DataFrame:
-    """Ordered trace of each match: one SHIFT per symbol, then one REDUCE.
+TRACE_TYPE = (
+    "struct<filename:string,lineno:int,tokens:array<string>,steps:array<" + STEP_TYPE + ">,"
+    "vulnerability:string,pattern:string,severity:string,message:string>"
+)
+
+
+def steps(symbols: Column, states: Column, rhs: Column, prod: Column) -> Column:
+    """Ordered trace of a match: one SHIFT per symbol, then one REDUCE.
 
     A function of the sequence alone, written as array expressions over the
     states stored with the rule.
     """
-    symbols, states, rhs = F.col("symbols"), F.col("states"), F.col("rhs")
     stack = F.concat(F.array(F.lit(0)), states)
     n = F.size(symbols)
     none = F.lit(None)
@@ -168,7 +170,7 @@ def explain_match(matches: DataFrame) -> DataFrame:
         action=F.lit("REDUCE"),
         state=F.get(stack, n),
         production=F.concat(F.lit("VULN -> "), F.array_join(rhs, " ")),
-        production_num=F.col("prod"),
+        production_num=prod,
         stack_before=stack,
         symbols_before=symbols,
         input_remaining=F.array(F.lit("$")),
@@ -176,6 +178,12 @@ def explain_match(matches: DataFrame) -> DataFrame:
         stack_after=F.when(full, F.array(F.lit(0), F.lit(200))).otherwise(F.array().cast("array<int>")),
         symbols_after=F.when(full, F.array(F.lit("VULN"))).otherwise(F.array().cast("array<string>")),
     )
+    return F.concat(shifts, F.array(reduced))
+
+
+def explain_match(matches: DataFrame) -> DataFrame:
+    """traces(file, lineno, ord, tokens, vulnerability, pattern, severity, message, steps) of rule matches."""
+    symbols, states, rhs = F.col("symbols"), F.col("states"), F.col("rhs")
     return matches.filter(states.isNotNull()).select(
         "file",
         "lineno",
@@ -185,5 +193,28 @@ def explain_match(matches: DataFrame) -> DataFrame:
         F.array_join(rhs, " -> ").alias("pattern"),
         "severity",
         "message",
-        F.concat(shifts, F.array(reduced)).alias("steps"),
+        steps(symbols, states, rhs, F.col("prod")).alias("steps"),
+    )
+
+
+def with_traces(findings: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """Findings with `parse_trace`: the trace of a rule finding, null for others.
+
+    Worked out from the tokens and the small rule table where a report asks
+    for it, so that staged findings stay narrow.
+    """
+    rules = rule_table(findings.sparkSession, extra).select(
+        F.col("sequence").alias("_sequence"), F.col("rhs").alias("_rhs"), F.col("states").alias("_states"),
+        F.col("message").alias("_message"),
+    )
+    sequence = F.when(F.col("prod").isNotNull(), F.array_join("tokens", " "))
+    trace = F.struct(
+        F.col("file").alias("filename"), "lineno", "tokens",
+        steps(F.col("tokens"), F.col("_states"), F.col("_rhs"), F.col("prod")).alias("steps"),
+        F.lit("VULN").alias("vulnerability"), F.array_join("_rhs", " -> ").alias("pattern"), "severity",
+        F.col("_message").alias("message"),
+    ).cast(TRACE_TYPE)
+    joined = findings.join(rules, sequence == F.col("_sequence"), "left")
+    return joined.withColumn("parse_trace", F.when(F.col("_states").isNotNull(), trace)).drop(
+        "_sequence", "_rhs", "_states", "_message"
     )

@@ -203,6 +203,9 @@ class Analysis:
     def annotated_lines(self) -> DataFrame:
         return report.annotate_lines(self.sources, self.by_line(), self.partitions)
 
+    def upload_documents(self) -> DataFrame:
+        return report.upload_documents(self.sources, self.findings, self.parse_failures, self.extra_rules)
+
     def phase_report(self) -> DataFrame:
         code = F.col("code")
         found = self.findings.filter(code.isNotNull() & (code != "SYNTAX_ERROR"))

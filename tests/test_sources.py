@@ -127,6 +127,21 @@ def test_json_sinks(spark, sources_of, tmp_path):
     assert [(x["file"], x["lineno"]) for x in flat] == [("one.py", 1), ("one.py", 2)]
     document = json.loads(sinks.findings_json(work.findings).first()["json"])
     assert document["filename"] == "one.py" and [f["lineno"] for f in document["findings"]] == [1, 2]
+    assert "prod" not in flat[0]
+    work.release()
+
+
+def test_upload_documents_and_traces(spark, sources_of):
+    work = Analysis(sources_of({"in/one.py": "x = eval(input())\n", "two.py": "d = 1\n", "bad.py": "def f(:\n"}))
+    found = {r["filename"]: r for r in work.upload_documents().collect()}
+    one = found["one.py"]
+    assert one["content"] == "x = eval(input())\n" and one["error"] is None
+    (trace,) = one["parse_traces"]
+    (finding,) = [f for f in one["findings"] if f["code"] == "GRAMMAR_VULN"]
+    assert finding["parse_trace"] == trace and trace["filename"] == "in/one.py" and trace["lineno"] == 1
+    assert [s["action"] for s in trace["steps"]] == ["SHIFT"] * len(trace["tokens"]) + ["REDUCE"]
+    assert found["two.py"]["findings"] == [] and found["two.py"]["parse_traces"] == []
+    assert found["bad.py"]["content"] is None and found["bad.py"]["error"].startswith("Syntax error in uploaded file: ")
     work.release()
 
 
