@@ -76,6 +76,7 @@ def main() -> None:
         seconds[name] = round(time.perf_counter() - started, 3)
     seconds.pop("release")
     files = corpus(spark, sf_dir).count()
+    n_tokens = tokens.tokenize(queries.documents(spark, sf_dir)).count()
     end_to_end = ("shred_to_nodes", "symbols", "resolve_names", "all_findings")
     print(
         json.dumps(
@@ -86,6 +87,7 @@ def main() -> None:
                 "queries": seconds,
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
                 "files": files,
+                "tokens_per_sec_documents": round(n_tokens / seconds["tokenize_documents"], 1),
                 "files_per_sec_source_to_findings": round(files / sum(seconds[q] for q in end_to_end), 1),
             }
         )
