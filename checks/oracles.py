@@ -617,30 +617,37 @@ GROUP BY s.file, s.scope_id, s.name, s.node_type""", name=own("name"))
 SELECT file, scope_id, name, kind, CASE kind WHEN 'import' THEN 'module' WHEN 'function' THEN 'function'
   WHEN 'class' THEN 'class' WHEN 'variable' THEN inferred_type END AS inferred_type, ord, sub, lineno
 FROM defs LEFT JOIN types USING (file, ord)""", name=own("name"))
-    q["y2_definitions_with_builtins"] = per_file(f"""
-SELECT s.file, {len(vocab.BUILTINS)} + count(d.name) AS n_defines, {len(vocab.BUILTINS)}::BIGINT AS n_builtins
-FROM (SELECT DISTINCT file FROM nodes) s LEFT JOIN defs d ON d.file = s.file GROUP BY s.file""")
-    q["y3_symbol_table"] = per_file("""
-, every AS (
-  SELECT file, scope_id, name, kind, lineno FROM syms WHERE NOT (scope_id = 0 AND name IN (SELECT name FROM builtins))
-  UNION ALL SELECT f.file, 0, b.name, b.kind, 0 FROM (SELECT DISTINCT file FROM nodes) f, builtins b)
-SELECT file, scope_id, name, kind AS symbol_type, lineno AS declared_line, used IS NOT NULL AS is_used
-FROM every LEFT JOIN (SELECT DISTINCT file, scope_id, name, true AS used FROM resolved WHERE scope_id IS NOT NULL) u
-USING (file, scope_id, name)""", name=own("name"))
-    q["y4_assignment_history"] = per_file("""
+    q["y2_definitions_with_builtins"] = per_file("""
+SELECT file, scope_id, name, kind, CASE kind WHEN 'import' THEN 'module' WHEN 'function' THEN 'function'
+  WHEN 'class' THEN 'class' WHEN 'variable' THEN inferred_type END AS inferred_type, ord, sub, lineno
+FROM defs LEFT JOIN types USING (file, ord)
+UNION ALL SELECT f.file, 0, b.name, b.kind, 'builtin', -1, b.sub, 0 FROM (SELECT DISTINCT file FROM nodes) f, builtins b""",
+        name=own("name"))
+    history = """
 SELECT file, scope_id, name, coalesce(string_agg(lineno::VARCHAR, ',' ORDER BY ord, sub) FILTER (kind = 'variable'), '') AS assignments,
   arg_max(t, (ord, sub)) FILTER (t IS NOT NULL AND (nth = 1 OR kind = 'variable')) AS inferred_type
 FROM (SELECT d.*, row_number() OVER (PARTITION BY file, scope_id, name ORDER BY ord, sub) AS nth,
         CASE kind WHEN 'import' THEN 'module' WHEN 'function' THEN 'function' WHEN 'class' THEN 'class'
         WHEN 'variable' THEN inferred_type END AS t
-      FROM defs d LEFT JOIN types USING (file, ord)) GROUP BY file, scope_id, name""", name=own("name"))
+      FROM defs d LEFT JOIN types USING (file, ord)) GROUP BY file, scope_id, name"""
+    used = """
+SELECT file, scope_id, name, string_agg(lineno::VARCHAR, ',' ORDER BY ord) AS usages FROM resolved
+WHERE scope_id IS NOT NULL GROUP BY ALL"""
+    q["y3_symbol_table"] = per_file(f"""
+, history AS ({history}), used AS ({used}),
+every AS (
+  SELECT file, scope_id, name, kind, lineno, NULL AS given FROM syms
+  WHERE NOT (scope_id = 0 AND name IN (SELECT name FROM builtins))
+  UNION ALL SELECT f.file, 0, b.name, b.kind, 0, 'builtin' FROM (SELECT DISTINCT file FROM nodes) f, builtins b)
+SELECT file, scope_id, name, kind AS symbol_type, coalesce(inferred_type, given) AS inferred_type, lineno AS declared_line,
+  usages IS NOT NULL AS is_used, coalesce(assignments, '') AS assignments, coalesce(usages, '') AS usages
+FROM every LEFT JOIN history USING (file, scope_id, name) LEFT JOIN used USING (file, scope_id, name)""", name=own("name"))
+    q["y4_assignment_history"] = per_file(history, name=own("name"))
     q["y5_name_uses"] = per_file("""
 SELECT u.file, u.ord, u.name, u.lineno, string_agg(s.scope_id::VARCHAR, ',' ORDER BY s.scope_id) AS chain
 FROM uses u JOIN scopes s ON s.file = u.file AND s.scope_id < u.ord AND u.ord <= s.end_ord GROUP BY ALL""", name=own("name"))
     q["y6_resolve"] = per_file("SELECT * FROM resolved", name=own("name"))
-    q["y8_usages"] = per_file("""
-SELECT file, scope_id, name, string_agg(lineno::VARCHAR, ',' ORDER BY ord) AS usages FROM resolved
-WHERE scope_id IS NOT NULL GROUP BY ALL""", name=own("name"))
+    q["y8_usages"] = per_file(used, name=own("name"))
     plain = "SELECT file, lineno, code, message, severity FROM findings WHERE code = "
     for key, code in {
         "y7_undefined": "UNDEFINED_VARIABLE",

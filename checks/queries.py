@@ -467,17 +467,13 @@ def _(spark, sf_dir):
 
 @query("y2_definitions_with_builtins")
 def _(spark, sf_dir):
-    events = symbols.definitions(analysis(spark, sf_dir).nodes, built_ins=True)
-    return events.groupBy("file").agg(
-        F.count(F.lit(1)).alias("n_defines"), F.count_if(F.col("ord") == -1).alias("n_builtins")
-    )
+    return symbols.definitions(analysis(spark, sf_dir).nodes, built_ins=True)
 
 
 @query("y3_symbol_table")
 def _(spark, sf_dir):
-    return analysis(spark, sf_dir).symbol_table().select(
-        "file", "scope_id", "name", "symbol_type", "declared_line", "is_used"
-    )
+    every = analysis(spark, sf_dir).symbol_table()
+    return every.withColumns({c: joined(F.col(c)) for c in ("assignments", "usages")})
 
 
 @query("y4_assignment_history")
