@@ -749,14 +749,17 @@ def _(spark, sf_dir):
 
 @query("src5_stream_sources")
 def _(spark, sf_dir):
-    from srcweave.sources.files import stream_sources
+    from srcweave.sources.files import stream_files
 
     folder, out = _corpus_folder(spark, sf_dir), _scratch(spark, "streamed")
-    stream = stream_sources(spark, folder, settle=0).select(
-        F.expr(f"substring(file, {len(folder) + 2})").alias("file"), F.md5("source").alias("md5"), "error"
-    )
-    started = stream.writeStream.format("parquet").option("checkpointLocation", out + "_progress").trigger(availableNow=True)
-    started.start(out).awaitTermination()
+
+    def save(sources, batch_id):
+        named = sources.select(
+            F.expr(f"substring(file, {len(folder) + 2})").alias("file"), F.md5("source").alias("md5"), "error"
+        )
+        named.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    stream_files(spark, folder, save, out + "_progress", settle=0).awaitTermination()
     return spark.read.schema("file string, md5 string, error string").parquet(out)
 
 
