@@ -19,8 +19,9 @@ work is cut down first, without losing a string:
 
 Contexts of an anchor with very many of them (text repeated everywhere with
 different neighbours) would make one large group: within a task more than HOT
-contexts of an anchor are spread by their hash in step 1, and in step 2 their
-strings are compared by hash with an ordinary aggregation.
+contexts of an anchor are spread by their hash in step 1, and in step 2 the
+strings of these, and of anchors with more than GROUP contexts, are compared by
+64-bit hash with an ordinary aggregation.
 """
 
 from __future__ import annotations
@@ -41,13 +42,19 @@ LENGTH = 50
 GRAM = 20
 HOT = 2000
 SPREAD = 64
-# Anchors of a task before they are packed and sent; text of one suffix sort; packed bytes of one bucket.
-FLUSH = 1_500_000
-SORTED_BYTES = 1_500_000
+# Contexts of one anchor that are still sorted together.
+GROUP = 10_000
+# Anchors of a task before they are packed and sent; text of one suffix sort, small enough for
+# a processor's cache; packed bytes of one bucket.
+FLUSH = 1_000_000
+SORTED_BYTES = 250_000
 BUCKET_BYTES = 12 << 20
 _STARTS = LENGTH - GRAM + 1  # strings that hold an anchor
 
 
+_SHORT = np.uint64(16)  # 48 bits of each of the two hashes are sent
+
+
 def _slide(x: np.ndarray, width: int, take) -> np.ndarray:
     """`take` over every `width` consecutive values."""
     y, have = x, 1
@@ -81,7 +88,7 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     doc = of[at]
     s, e = np.maximum(at - (LENGTH - GRAM), starts[doc]), np.minimum(at + LENGTH, ends[doc])
     place = ((at - s) * 64 + (e - at)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return h[at], mixed((sums[e] - sums[s]) * down[s] + place, 8), doc, at - starts[doc]
+    return h[at] >> _SHORT, mixed((sums[e] - sums[s]) * down[s] + place, 8) >> _SHORT, doc, at - starts[doc]
 
 
 def _first(*columns: np.ndarray) -> np.ndarray:
@@ -98,6 +105,11 @@ def _spans(new: np.ndarray) -> np.ndarray:
     return np.cumsum(new) - 1
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as planes of bytes, first bytes first, so that empty high bytes compress."""
+    return x.view(np.uint8).reshape(len(x), x.itemsize).T.tobytes()
+
+
 _ENTRY = "bucket int, kind int, n long, data binary"
 
 
@@ -108,7 +120,7 @@ def _pack(kind: int, bucket: np.ndarray, *columns: np.ndarray) -> Iterator[pa.Re
     edges = np.flatnonzero(_first(bucket)).tolist() + [len(bucket)]
     columns = [c[order] for c in columns]
     for a, b in zip(edges, edges[1:], strict=False):
-        data = b"".join(c[a:b].tobytes() for c in columns)
+        data = b"".join(_planes(c[a:b]) for c in columns)
         yield pa.RecordBatch.from_arrays(
             [pa.array([int(bucket[a])], pa.int32()), pa.array([kind], pa.int32()), pa.array([b - a]), pa.array([data])],
             names=["bucket", "kind", "n", "data"],
@@ -123,7 +135,8 @@ def _entries(rows: list[dict]) -> list[np.ndarray]:
         at = 0
         for part, kind in zip(found, kinds, strict=True):
             size = r["n"] * np.dtype(kind).itemsize
-            part.append(np.frombuffer(r["data"][at : at + size], kind))
+            planes = np.frombuffer(r["data"], np.uint8, size, at).reshape(-1, r["n"])
+            part.append(np.ascontiguousarray(planes.T).view(kind)[:, 0])
             at += size
     return [np.concatenate(p) if p else np.zeros(0, k) for p, k in zip(found, kinds, strict=True)]
 
@@ -153,7 +166,8 @@ def _settled(table: pa.Table) -> pa.Table:
         if kind == 0:
             low, high = (f.reduceat(key, np.flatnonzero(new_g)) for f in (np.minimum, np.maximum))
             several = (contexts > 1) & (low != high)[anchor]
-        state = np.where(later, COVERED, np.where(several, OPEN_HOT if kind == 2 else OPEN, 0))
+        many = OPEN_HOT if kind == 2 else np.where(contexts > GROUP, OPEN_HOT, OPEN)
+        state = np.where(later, COVERED, np.where(several, many, 0))
         kept = state > 0
         out.append((g[kept], c[kept], key[kept], place[kept], state[kept]))
     g, c, key, place, state = (np.concatenate(x) for x in zip(*out, strict=True))
@@ -197,7 +211,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     null text is empty; one below LENGTH bytes loses nothing.  `key` is an
     integer.  Rows with equal keys don't remove from each other; a row with a
     null key loses nothing and removes nothing.  An empty table gives no rows;
-    other columns are ignored.  Anchors and contexts are told apart by 64-bit
+    other columns are ignored.  Contexts are told apart by 96 bits of
     hashes, strings inside a suffix sort by their bytes.
     """
     spark = docs.sparkSession
