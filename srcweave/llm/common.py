@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -38,6 +39,18 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Hand Python at most `rows` rows at a time, for rows of many kilobytes; holds for what is run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _KEPT = "__given_"
 
 
@@ -70,12 +83,12 @@ def raw_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(texts: list[bytes], limit: int = 4 << 20):
+def slices(texts: list[bytes], limit: int = 1 << 20):
     """(first, last) index ranges of consecutive texts, about `limit` bytes each, one text at least."""
     yield from sized_slices(map(len, texts), limit)
 
 
-def sized_slices(sizes, limit: int = 4 << 20):
+def sized_slices(sizes, limit: int = 1 << 20):
     """The same from the sizes of the texts."""
     first, held, i = 0, 0, -1
     for i, size in enumerate(sizes):
@@ -87,7 +100,7 @@ def sized_slices(sizes, limit: int = 4 << 20):
         yield first, i + 1
 
 
-def text_slices(column: pa.Array, limit: int = 4 << 20):
+def text_slices(column: pa.Array, limit: int = 1 << 20):
     """(first, piece of the column) with about `limit` bytes in each piece."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     for first, last in sized_slices(sizes, limit):

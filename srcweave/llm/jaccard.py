@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from srcweave.llm.common import Scratch, raw_bytes
+from srcweave.llm.common import Scratch, raw_bytes, small_batches
 from srcweave.llm.components import components
 from srcweave.llm.shingles import mixed, shingle_sets
 
@@ -94,9 +94,9 @@ class _Join:
         schema = f"key {self.docs.schema['key'].dataType.simpleString()}, n long, node long, bucket long, words long"
         both = self.scratch.stage(self.docs.mapInArrow(run, schema), "profile")
         rows = both.where("bucket is null").select("key", "n", "node")
-        sums = both.where("bucket is not null").groupBy("bucket").agg(F.sum("words").alias("words")).toPandas()
+        sums = both.where("bucket is not null").groupBy("bucket").agg(F.sum("words").alias("words")).toArrow()
         counts = np.zeros(BUCKETS, np.int64)
-        counts[sums["bucket"].to_numpy(np.int64)] = sums["words"].to_numpy(np.int64)
+        counts[sums["bucket"].to_numpy()] = sums["words"].to_numpy()
         self.counts = self.spark.sparkContext.broadcast(counts)
         classes = rows.where("n > 0 and key is not null").groupBy("node").agg(F.min("key").alias("rep"), F.max("n").alias("n"))
         return rows, self.scratch.stage(classes, "classes")
@@ -177,9 +177,10 @@ class _Join:
             others = [_prefix(_ordered(tokens, common, i), num, den) for i in range(1, orders)]
             return tokens.tobytes(), [x.tobytes() for x in others]
 
-        sets = self.scratch.stage(
-            self._sets(wanted, make, "tokens binary, others array<binary>", filtered=True), f"{name}-sets"
-        )
+        with small_batches(self.spark, 2000):
+            sets = self.scratch.stage(
+                self._sets(wanted, make, "tokens binary, others array<binary>", filtered=True), f"{name}-sets"
+            )
         one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"), F.col("others").alias("oa"))
         two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"), F.col("others").alias("ob"))
         both = pairs.join(one, "a").join(two, "b")
@@ -194,10 +195,12 @@ class _Join:
 
             for batch in batches:
                 out = []
-                for i, row in enumerate(batch.select(["ta", "tb", "oa", "ob"]).to_pylist()):
-                    if every or all(shared(x, y) for x, y in zip(row["oa"], row["ob"], strict=True)):
-                        n = shared(row["ta"], row["tb"])
-                        out.append((i, n, (len(row["ta"]) + len(row["tb"])) // 8 - n))
+                ta, tb, oa, ob = (batch.column(c) for c in ("ta", "tb", "oa", "ob"))
+                for i in range(batch.num_rows):
+                    if every or all(shared(x, y) for x, y in zip(oa[i].as_py(), ob[i].as_py(), strict=True)):
+                        x, y = ta[i].as_py(), tb[i].as_py()
+                        n = shared(x, y)
+                        out.append((i, n, (len(x) + len(y)) // 8 - n))
                 if out:
                     at, inter, union = zip(*out, strict=True)
                     at = pa.array(at)
@@ -206,7 +209,10 @@ class _Join:
                         names=["a", "b", "shared", "united"],
                     )
 
-        found = self.scratch.stage(both.mapInArrow(run, "a long, b long, shared long, united long"), f"{name}-verified")
+        with small_batches(self.spark, 200):  # a row holds two whole sets
+            found = self.scratch.stage(
+                both.mapInArrow(run, "a long, b long, shared long, united long"), f"{name}-verified"
+            )
         self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets")
         return found
 

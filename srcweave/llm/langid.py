@@ -93,8 +93,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     chosen = F.lit(False)
     for name, n in sizes.items():
         chosen |= (F.col(lang) == name) & (drawn < int(steps * min(1.0, sample / n)))
-    counts = count_grams(rows.where(chosen).select(lang, text).distinct(), text, lang).toPandas()
-    return build(counts["lang"].to_numpy(), counts["gram"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
+    counts = count_grams(rows.where(chosen).select(lang, text).distinct(), text, lang).toArrow()
+    return build(counts["lang"].to_numpy().astype(str), counts["gram"].to_numpy(), counts["n"].to_numpy())
 
 
 def build(langs: np.ndarray, grams: np.ndarray, n: np.ndarray) -> Model:
@@ -199,7 +199,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         for batch in batches:
             texts = raw_bytes(batch.column(text))
             names, scores = [], []
-            for a, b in slices(texts, 2 << 20):
+            for a, b in slices(texts):
                 lettered = [bool(own.languages) and _LETTER.search(t.decode()) is not None for t in texts[a:b]]
                 if not any(lettered):
                     names += [UNDETERMINED] * (b - a)
