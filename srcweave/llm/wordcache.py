@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from srcweave.llm.common import raw_bytes, worker_memory
 
 # Pieces a worker keeps in each of two generations; about 250 bytes each.
-KEPT = 300_000
+KEPT = 120_000
 # Letters that are their own composed form and whose lower case is one letter.
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
