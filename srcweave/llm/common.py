@@ -69,13 +69,16 @@ def restored(df: DataFrame) -> DataFrame:
     return df
 
 
-def worker_memory() -> dict:
-    """What a Python worker keeps from task to task.
+def worker_memory(owner: str) -> dict:
+    """What an operator keeps in a Python worker from task to task, until another operator needs the room.
 
     Functions of this package are shipped by value and have globals of their
     own in each task, so these don't last.
     """
-    return sys.modules.setdefault("_srcweave_worker", types.ModuleType("_srcweave_worker")).__dict__
+    place = sys.modules.setdefault("_srcweave_worker", types.ModuleType("_srcweave_worker"))
+    if getattr(place, "owner", None) != owner:
+        place.owner, place.held = owner, {}
+    return place.held
 
 
 def raw_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

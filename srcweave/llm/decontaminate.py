@@ -74,7 +74,7 @@ def _pattern_groups(items: DataFrame, key: str, text: str, width: int):
 
 def _automaton(name: str, group) -> ahocorasick.Automaton:
     """The automaton of a broadcast group; a worker keeps the last one it built."""
-    memory = worker_memory()
+    memory = worker_memory("automaton")
     if memory.get("automaton", ("",))[0] != name:
         made = ahocorasick.Automaton()
         for pattern, value in group.value.items():

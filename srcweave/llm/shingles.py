@@ -21,7 +21,7 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """_STEP to the powers 0 to n - 1 and to their negatives, modulo 2^64."""
-    memory = worker_memory()
+    memory = worker_memory("hashes")
     held = memory.get("powers")
     if held is None or len(held[0]) < n:
         size = max(n, 1 << 20)

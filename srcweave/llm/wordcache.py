@@ -85,7 +85,7 @@ def pieces(path: str, ordinary: bool = False) -> _Pieces:
 
     `ordinary` treats the strings of special tokens in a text as text.
     """
-    memory, name = worker_memory(), f"pieces {ordinary} {path}"
+    memory, name = worker_memory("words"), f"pieces {ordinary} {path}"
     if name not in memory:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
