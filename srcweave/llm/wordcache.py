@@ -56,6 +56,21 @@ class _Pieces(dict):
         self.model = tokenizer.model if _words_whole(tokenizer) else None
         self.letters = _byte_letters()
         self.older: dict[bytes, bytes] = {}
+        added = tokenizer.get_added_tokens_decoder().values()
+        self.added = [a.content.encode().lower() for a in added]
+
+    def lowered(self, text: bytes) -> bytes:
+        """The text with A-Z lowered if that leaves its ids as they are, else the text as given.
+
+        The tokenizer lowers last.  Added tokens are matched before, so a text
+        that holds one, in whatever case, stays; and letters are composed
+        before.  All marks that compose with A-Z are in U+0300-U+037F (their
+        first byte is CC or CD), so a text that holds one of these stays too.
+        """
+        low = text.lower()
+        if low == text or self.model is None or b"\xcc" in text or b"\xcd" in text or any(a in low for a in self.added):
+            return text
+        return low
 
     def _ids(self, piece: str) -> bytes:
         if self.model is not None and _LATIN.fullmatch(piece):
@@ -68,11 +83,16 @@ class _Pieces(dict):
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            stem, tail = piece, b""
-            if self.model is not None and len(piece) > 1 and piece[-1] in b".,":
+            low, stem, tail = self.lowered(piece), piece, b""
+            if low is piece and self.model is not None and len(piece) > 1 and piece[-1] in b".,":
                 if _LATIN.fullmatch(piece[:-1].decode()):  # the mark behind a word is a piece of its own
                     stem, tail = piece[:-1], self[piece[-1:]]
-            ids = self._ids(piece.decode()) if stem is piece else self[stem] + tail
+            if low is not piece:
+                ids = self[low]
+            elif stem is piece:
+                ids = self._ids(piece.decode())
+            else:
+                ids = self[stem] + tail
         if len(self) >= KEPT:
             self.older = dict(self)
             self.clear()
@@ -102,9 +122,7 @@ def encode(texts: pa.Array, table: _Pieces) -> tuple[np.ndarray, np.ndarray]:
     Words are told apart by Arrow, so that only the distinct ones of these
     texts are looked up.
     """
-    raw = raw_bytes(texts)
-    if table.model is not None:  # it lowers letters anyway
-        raw = [t.lower() for t in raw]
+    raw = [table.lowered(t) for t in raw_bytes(texts)]  # fewer distinct words
     words = pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
     named = words.flatten().dictionary_encode()
     known = [table[w] for w in named.dictionary.cast(pa.large_binary()).to_pylist()]

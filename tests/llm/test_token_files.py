@@ -1,11 +1,14 @@
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from srcweave.llm import token_files
+from srcweave.llm import token_files, wordcache
 from srcweave.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001/documents.parquet"
@@ -67,3 +70,33 @@ def test_key_range_and_metadata_reads_are_selective(spark, tmp_path):
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(key,10)" in plan
     assert "ids" not in token_files.token_index(spark, out)._jdf.queryExecution().executedPlan().toString()
+
+
+# The tokenizer matches added tokens on the text as given, composes, and lowers last.
+LOWERED_LAST = [
+    "J\u030can H\u0331amza T\u0308 W\u030a Y\u030a j\u030can",
+    "plain WORDS and Cafe\u0301, E\u0301TE\u0301. J\u0323\u030c J\u0591\u030c J\u0344",
+    "<|ENDOFTEXT|> <|endoftext|> a<|EndOfText|>B, <|STARTOFTEXT|>. <|OTHER|>",
+    "\u0372 Z\u0327. ÜBER Straße K\u212a",
+]
+
+
+@pytest.mark.parametrize("ordinary", [False, True])
+def test_letters_are_not_lowered_before_they_are_composed(ordinary):
+    library = Tokenizer.from_file(tokenizer_path())
+    library.encode_special_tokens = ordinary
+    table = wordcache._Pieces(library)
+    for texts in ([t] for t in LOWERED_LAST), ([w] for t in LOWERED_LAST for w in t.split()), (LOWERED_LAST,):
+        for some in texts:
+            ids, sizes = wordcache.encode(pa.array(some), table)
+            given = [library.encode(t, add_special_tokens=False).ids for t in some]
+            assert ids.tolist() == sum(given, [])
+            assert sizes.tolist() == [len(g) for g in given]
+
+
+def test_marks_that_compose_with_ascii_letters_have_two_first_bytes():
+    for c in map(chr, range(128, sys.maxunicode + 1)):
+        if unicodedata.combining(c) or unicodedata.decomposition(c):
+            for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if not "\ud800" <= c <= "\udfff" else "":
+                if not unicodedata.normalize("NFC", letter + c).startswith(letter):
+                    assert c.encode()[0] in (0xCC, 0xCD)
