@@ -4,7 +4,8 @@ Markup is stripped to lines, one per block-level element; text inside menus,
 scripts, forms and the like leaves an empty line.  The text lengths of BLOCK
 consecutive lines are summed over a sliding window.  Where the sum surges the
 main text begins, where it dives to nothing it ends, and the lines between are
-kept.  A page that marks its article has its text nowhere else: other lines
+kept, with the lines before that are joined to them (a heading, a byline, a
+short lead).  A page that marks its article has its text nowhere else: other lines
 count as empty, and every line from the first surge to the last dive is kept.
 """
 
@@ -118,16 +119,19 @@ def lines_of(page: str) -> tuple[list[str], list[bool], bool]:
 
 
 def _zones(lengths: list[int], surge: int) -> list[tuple[int, int]]:
-    """(first, last + 1) line of each stretch between a surge and the next dive."""
+    """(first, last + 1) line of each stretch with a surge, from the dive before it to the next one."""
     sums = [sum(lengths[i : i + BLOCK]) for i in range(len(lengths))]
     found, i = [], 0
+    dive = 0  # line behind the last dive
     while i < len(lengths):
+        if not sums[i]:
+            dive = i + 1
         if sums[i] > surge and lengths[i]:
             j = i
             while j < len(lengths) and sums[j]:
                 j += 1
-            found.append((i, j))
-            i = j
+            found.append((next(k for k in range(dive, j) if lengths[k]), j))
+            i = dive = j
         i += 1
     return found
 

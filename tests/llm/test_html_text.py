@@ -35,6 +35,21 @@ def test_unmarked_page_keeps_the_text_between_surge_and_dive():
     assert main_text(page) == f"{long}{long}end"
 
 
+@pytest.mark.parametrize(
+    "lead", ["<h1>Title</h1><p>By A. Nother</p><p>A short lead.</p>", "<p>one verse<br>two verse<br>three</p>", "<ul><li>a<li>b</ul>"]
+)
+def test_unmarked_page_keeps_what_leads_up_to_the_surge(lead):
+    long = "word " * 30
+    noise = "<div>menu</div><div></div><div></div><div></div>"
+    body = f"{lead}<p>{long}</p><p>{long}</p>"
+    words = re.sub("<[^>]*>", " ", body).split()
+    page = f"<html><body>{noise}{body}<div></div><div></div>{noise}{body}<div></div><div></div>{noise}</body></html>"
+    found = main_text(page).split()
+    assert found[: len(words)] == words
+    assert found[-len(words) :] == words
+    assert found.count("menu") == 1  # between two stretches; neither before nor behind them
+
+
 def test_pages_of_the_table(spark):
     """Every page of the table has one article; its blocks, taken plainly, are the text."""
     pages = spark.read.parquet(PAGES)
