@@ -75,8 +75,13 @@ def _rotations(rows: DataFrame) -> dict[int, np.ndarray]:
     return {d: np.linalg.eigh(gram)[1][:, ::-1].copy() for d, gram in found.items()}
 
 
-def _packed(rows: DataFrame, size: int, copies: int | None) -> DataFrame:
-    """Blocks of rows in the order they come; of equal vectors next to each other only the first `copies` stay."""
+def _packed(rows: DataFrame, size: int, best: int | None) -> DataFrame:
+    """Blocks of rows in the order they come.
+
+    Of equal vectors next to each other only those of the first `best` + 1 ids
+    stay, up to `best` rows of each id: among them are the first `best` rows
+    by id that don't have the id of a query, whichever that is.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -87,10 +92,13 @@ def _packed(rows: DataFrame, size: int, copies: int | None) -> DataFrame:
                     n = min(size, b - s)
                     ids = batch.column("id").slice(s, n).to_numpy()
                     v = _matrix(batch.column("v").slice(s, n))
-                    if copies is not None:
+                    if best is not None:
                         new = np.concatenate(([True], (v[1:] != v[:-1]).any(1)))
-                        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-                        kept = np.arange(n) - first < copies
+                        other = new | np.concatenate(([True], ids[1:] != ids[:-1]))
+                        number = np.cumsum(other)
+                        id_place = number - number[np.flatnonzero(new)[np.cumsum(new) - 1]]
+                        row_place = np.arange(n) - np.flatnonzero(other)[number - 1]
+                        kept = (id_place <= best) & (row_place < best)
                         ids, v = ids[kept], v[kept]
                     longest = float(np.sqrt((v.astype(np.float64) ** 2).sum(1)).max())
                     kind = next(k for k in (np.int16, np.int32, np.int64) if np.abs(v).max() <= np.iinfo(k).max)
@@ -183,8 +191,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int, key: str, ints: s
     no part, and vectors of different length don't meet.  Ties go to the
     smaller id; fewer than k candidates give fewer rows.  A row doesn't meet
     rows of its own id.  If an id occurs in several rows, each query row and
-    each candidate row counts by itself, except equal vectors, of which the
-    k + 1 first by id decide.  Scores have to fit 64 bits.  An empty table
+    each candidate row counts by itself.  Scores have to fit 64 bits.  An empty table
     gives no rows.
     """
     spark = vectors.sparkSession
@@ -197,7 +204,7 @@ def top_products(vectors: DataFrame, is_query: Column, k: int, key: str, ints: s
     rotation = spark.sparkContext.broadcast(_rotations(rows))
     order = ["dim", F.col("norm2").desc(), F.xxhash64("v"), "id"]
     sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    blocks = scratch.stage(_packed(sorted_rows, BLOCK, k + 1), "blocks")
+    blocks = scratch.stage(_packed(sorted_rows, BLOCK, k), "blocks")
     asked = rows.where("asks").repartitionByRange(*order).sortWithinPartitions(*order)
     queries = scratch.stage(_packed(asked, QUERY_BLOCK, None), "queries")
     scratch.drop("rows")

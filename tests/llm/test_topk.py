@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -57,3 +58,27 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<double>, id int, v int")
     assert found(df) == brute(rows, 3)
     assert found(df.limit(0)) == set()
+
+
+@pytest.mark.parametrize("block", [4, 16, 2048])
+def test_repeated_rows_count_each(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    few = np.round(rng.normal(size=(4, 6)) * 2)
+    rows = [(i, few[0].tolist()) for i in (50, 51, 52) for _ in range(3)]
+    rows += [(int(i), few[j].tolist()) for i, j in zip(rng.integers(0, 40, 150), rng.integers(0, 4, 150), strict=True)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    vectors = df.select("vec_id", topk.quantised("embedding").alias("v"))
+    got = topk.top_products(vectors, F.col("vec_id") % 5 == 0, 5, "vec_id", "v").collect()
+    wanted = Counter()
+    for q, v in rows:
+        if q % 5 == 0:
+            others = [r for r in rows if r[0] != q]
+            wanted.update(brute_row(q, v, others, 5))
+    assert Counter(map(tuple, got)) == wanted
+
+
+def brute_row(q, v, others, k):
+    """What one query row finds; repeated rows are told apart."""
+    scores = sorted((-sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(v, w, strict=True)), i) for i, w in others)
+    return [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
