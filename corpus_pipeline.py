@@ -11,7 +11,10 @@ from srcweave.llm.queries import held_out, tokenizer_path
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language can be told: those with a letter, and one language likelier than all others together."""
+    """Keep documents with a letter and one learnt language likelier than all others together.
+
+    Only learnt languages are compared, so a longer text passes in any language.
+    """
     model = langid.train(docs.where(~held_out()))
     found = langid.predict(without(docs, "lang_pred", "score"), model)
     return restored(found.where("lang_pred <> 'und' and score > 0.5").drop("lang_pred", "score"))
