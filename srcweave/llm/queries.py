@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from srcweave.llm import decontaminate, html_text, jaccard, langid, mixing, repeats, separators, shards, token_files, topk
+from srcweave.llm import (
+    decontaminate,
+    divergence,
+    exact_dedup,
+    filter_audit,
+    html_text,
+    jaccard,
+    langid,
+    mixing,
+    repeats,
+    separators,
+    shards,
+    token_files,
+    topk,
+)
 from srcweave.llm.common import Scratch
 
 
@@ -95,6 +109,24 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from all documents in each of their 120 orders, by language."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    fails = filter_audit.text_failures(F.col("text"))
+    cells = filter_audit.masks(docs, labels, list(fails.values()), key="doc_id", text="text", part="lang")
+    return filter_audit.audit(cells, [*fails, "E"])
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of documents equal but for the case of A-Z, the one of the largest id stays."""
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ from each other, and the terms that set each apart."""
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 REGISTRY = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_language_id": op2_language_id,
@@ -106,6 +138,9 @@ REGISTRY = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_shards": op10_shards,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 OP1_SQL = """
@@ -187,4 +222,91 @@ select l.doc_id, coalesce(len(l.words), 0)::bigint as n_words, coalesce(h.n_hit,
 from lowered l left join hit_words h on l.doc_id = h.doc_id left join hit_items t on l.doc_id = t.doc_id
 """
 
-ORACLES = {"op1_temperature_mixing": OP1_SQL, "op3_exact_topk": OP3_SQL, "op7_decontamination": OP7_SQL}
+OP11_SQL = """
+with words as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents),
+fails as (
+  select d.doc_id, part,
+         [len(w) < 100,
+          100 * len(list_distinct(w)) < 80 * len(w),
+          100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+          regexp_matches(text, '[#$%&*|]'),
+          coalesce(d.doc_id > min(d.doc_id) over (partition by text), false)] as f,
+         coalesce(l.good, 0) as good, coalesce(l.toxic, 0) as toxic
+  from words d left join (
+    select doc_id, max(coalesce((quality = 1)::int, 0)) as good, max(coalesce((toxic = 1)::int, 0)) as toxic
+    from labels group by doc_id) l on d.doc_id = l.doc_id),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as l),
+orders as (
+  select a.l || b.l || c.l || d.l || e.l as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where a.l not in (b.l, c.l, d.l, e.l) and b.l not in (c.l, d.l, e.l) and c.l not in (d.l, e.l) and d.l <> e.l),
+steps as (
+  select filter_order, step, substr(filter_order, step, 1) as filter
+  from orders, (select unnest([1, 2, 3, 4, 5]) as step)),
+first_hit as (
+  select d.*, o.filter_order,
+         list_min(list_filter([1, 2, 3, 4, 5], lambda i: f[ascii(substr(filter_order, i, 1)) - 64])) as hit
+  from fails d, orders o),
+counts as (
+  select part, s.filter_order, s.step, s.filter,
+         count(*) filter (coalesce(hit > s.step, true))::bigint as kept,
+         count(*) filter (hit = s.step)::bigint as removed,
+         count(*) filter (hit < s.step and f[ascii(s.filter) - 64])::bigint as redundant,
+         count(*) filter (f[ascii(s.filter) - 64] and len(list_filter(f, lambda x: x)) = 1)::bigint as unique_fails,
+         coalesce(sum(good) filter (hit = s.step), 0)::bigint as good_lost,
+         coalesce(sum(toxic) filter (hit = s.step), 0)::bigint as toxic_lost
+  from first_hit h join steps s on h.filter_order = s.filter_order group by all)
+select *, (sum(removed) over (partition by part, filter))::bigint as shapley from counts
+"""
+
+OP12_SQL = """
+with folded as (
+  select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents)
+select doc_id, max(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+       row_number() over (partition by t order by doc_id desc nulls last) = 1 as kept, sha256(t) as text_sha256
+from folded
+"""
+
+OP13_SQL = """
+with docs as (
+  select row_number() over () as d, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms from documents),
+uses as (select d, lang, source, unnest(terms) as term from docs),
+kept as (select lang, term from uses group by all having count(distinct d) >= 3),
+sources as (select distinct lang, source from docs),
+counts as (
+  select s.lang, s.source, k.term, count(u.d) as n
+  from sources s join kept k on s.lang = k.lang
+  left join uses u on u.lang = s.lang and u.source = s.source and u.term = k.term group by all),
+probs as (
+  select *, 1 + (1000000000::hugeint * (n + 1)) // (sum(n) over (partition by lang, source) + count(*) over (partition by lang, source)) as p
+  from counts),
+lang_counts as (select lang, term, sum(n) as n from counts group by all),
+lang_probs as (
+  select *, 1 + (1000000000::hugeint * (n + 1)) // (sum(n) over (partition by lang) + count(*) over (partition by lang)) as q
+  from lang_counts),
+found as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::bigint as value
+  from sources a join sources b on a.lang = b.lang and a.source <> b.source
+  left join probs x on x.lang = a.lang and x.source = a.source
+  left join probs y on y.lang = b.lang and y.source = b.source and y.term = x.term
+  group by all
+  union all
+  select g.lang, g.source, 'term', g.term, ((g.p - q) * (g.p - q) // q)::bigint
+  from probs g join lang_probs l on g.lang = l.lang and g.term = l.term where g.n > 0 and g.p > q)
+select * from (
+  select *, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from found)
+where part = 'pair' or rank <= 200
+"""
+
+ORACLES = {
+    "op1_temperature_mixing": OP1_SQL,
+    "op3_exact_topk": OP3_SQL,
+    "op7_decontamination": OP7_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_exact_dedup": OP12_SQL,
+    "op13_source_divergence": OP13_SQL,
+}
