@@ -32,7 +32,7 @@ from srcweave.llm.term_counts import count_batches
 SCALE = 10**9
 # Sources in a block of pairs, counts in a block of terms, terms compared at once.
 BLOCK_SOURCES = 64
-BLOCK_COUNTS = 100_000
+BLOCK_COUNTS = 20_000
 _CHUNK = 1 << 13
 
 
