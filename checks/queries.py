@@ -749,7 +749,7 @@ def _(spark, sf_dir):
 
 @query("src5_stream_sources")
 def _(spark, sf_dir):
-    from srcweave.sources.files import stream_files
+    from srcweave.sources.arrivals import stream_files
 
     folder, out = _corpus_folder(spark, sf_dir), _scratch(spark, "streamed")
 
@@ -760,7 +760,7 @@ def _(spark, sf_dir):
         named.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     stream_files(spark, folder, save, out + "_progress", settle=0).awaitTermination()
-    return spark.read.schema("file string, md5 string, error string").parquet(out)
+    return spark.read.parquet(out).select("file", "md5", "error")
 
 
 @query("st1_stream_scan")

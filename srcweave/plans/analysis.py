@@ -237,5 +237,9 @@ def scan(spark: SparkSession, path: str, *, prescreen: bool = True, decode: str
 
     With `prescreen=False, decode="ignore"`: as an upload is read.
     """
-    sources = scan_sources(spark, path, decode, options.get("partitions"))
-    return Analysis(sources, prescreen=prescreen, keep_sources=True, **options)
+    listing: list[str] = []
+    sources = scan_sources(spark, path, decode, options.get("partitions"), listing)
+    work = Analysis(sources, prescreen=prescreen, keep_sources=True, **options)
+    for name in listing:
+        session.unstage(spark, name)
+    return work
