@@ -2,9 +2,10 @@
 
 One grouped aggregate serves them all.  Each node row is routed to the sites
 it speaks for (itself, and the call / assignment / addition it is a direct
-operand of), and the sites are aggregated by `(file, ord)`.  The aggregation
-buffer holds only numbers and booleans, so it stays a hash aggregate, and on
-a node table laid out by `file` it needs no exchange.
+operand of), and the sites are aggregated by `(file, ord)`.  A row's flags are
+bits of one number and a site's the bits of all its rows, so the aggregation
+buffer holds four numbers and it stays a hash aggregate; on a node table laid
+out by `file` it needs no exchange.
 """
 
 from __future__ import annotations
@@ -44,9 +45,12 @@ def _head(call: Column) -> Column:
     return number
 
 
-def sites(nodes: DataFrame) -> DataFrame:
-    """sites(file, ord, lineno, node_type, head, F1…F20 flags), one row per
-    call, assignment and `+`; flags that do not apply to a site are false."""
+# What a routed row is to its site: the site itself, or an operand of it.
+OWN, OPERAND = 1, 2
+
+
+def site_roles() -> dict[int, Column]:
+    """By role, the position of the site a node row speaks for in that role; null where it has no such role."""
     kind, field, above = F.col("node_type"), F.col("field"), F.col("parent_type")
     is_site = kind.isin("Call", "Assign") | ((kind == "BinOp") & (F.col("op") == "Add"))
     is_operand = (
@@ -54,103 +58,126 @@ def sites(nodes: DataFrame) -> DataFrame:
         | ((above == "Assign") & (field == "value"))
         | ((above == "BinOp") & field.isin("left", "right"))
     )
-    routed = (
-        nodes.filter(is_site | is_operand)
-        .withColumn(
-            "route",
-            F.explode(
-                F.array_compact(
-                    F.array(
-                        F.when(is_site, F.struct(F.col("ord").alias("site"), F.lit(True).alias("own"))),
-                        F.when(is_operand, F.struct(F.col("parent").alias("site"), F.lit(False).alias("own"))),
-                    )
-                )
-            ),
-        )
-        .withColumn("own", F.col("route.own"))
-    )
-    own = F.col("own")
-    arg = ~own & (above == "Call") & (field == "args")
-    keyword = ~own & (above == "Call") & (field == "keywords")
-    value = ~own & (above == "Assign") & (kind == "Constant") & (F.col("const_kind") == "str")
-    left = ~own & (above == "BinOp") & (field == "left")
-    right = ~own & (above == "BinOp") & (field == "right")
+    return {OWN: F.when(is_site, F.col("ord")), OPERAND: F.when(is_operand, F.col("parent"))}
+
+
+def routed(nodes: DataFrame, roles: dict[int, Column]) -> DataFrame:
+    """Every node row once for each role it has, with `role` and `site`."""
+    spoken = [at.isNotNull() for at in roles.values()]
+    any_role = spoken[0]
+    for one in spoken[1:]:
+        any_role = any_role | one
+    routes = [F.when(at.isNotNull(), F.struct(F.lit(r).alias("role"), at.alias("site"))) for r, at in roles.items()]
+    return nodes.filter(any_role).select("*", F.inline(F.array_compact(F.array(*routes))))
+
+
+FLAGS = [
+    "has_concat", "has_format", "has_fstring", "has_b64decode", "is_dynamic", "has_user_input", "shell_true",
+    "untrusted_source", "has_dotdot", "weak_algo", "token_gen", "has_seed", "predictable_seed", "verify_false",
+    "no_verify", "assigns_string", "secret_pattern", "aws_key", "long_token", "sql_left", "input_right",
+]
+
+
+def flag_bits() -> Column:
+    """What a routed row says about its site, one bit a flag.
+
+    The cases part the rows, so a row is tested only for the flags its place can set.
+    """
+    kind, field, above = F.col("node_type"), F.col("field"), F.col("parent_type")
     call, name, literal = F.col("dotted"), F.col("name"), F.col("const_str")
     lower_call, lower_name = F.lower(call), F.lower(name)
     is_call, is_name = kind == "Call", kind == "Name"
     string = (kind == "Constant") & (F.col("const_kind") == "str")
+    truth = F.col("const_kind")
+    own = {
+        "weak_algo": text.contains_any(lower_call, vocab.WEAK_ALGORITHMS),
+        "token_gen": lower_call.contains("random"),
+        "has_seed": lower_call.contains("random") & lower_call.contains("seed"),
+    }
+    argument = {
+        "has_concat": (kind == "BinOp") & (F.col("op") == "Add"),
+        # `name` is the attribute; a plain name equals its own dotted form
+        "has_format": (is_call & (name == "format") & (call != "format")) | ((kind == "BinOp") & (F.col("op") == "Mod")),
+        "has_fstring": kind == "JoinedStr",
+        "has_b64decode": is_call & text.contains_any(call, vocab.DECODING_CALLS),
+        "is_dynamic": kind != "Constant",
+        "has_user_input": (is_call & text.contains_any(lower_call, vocab.INPUT_CALLS))
+        | (is_name & text.contains_any(lower_name, vocab.INPUT_NAMES)),
+        "untrusted_source": is_call & text.contains_any(lower_call, vocab.UNTRUSTED_CALLS),
+        "has_dotdot": string & literal.contains(".."),
+        "weak_algo": string & F.lower(literal).isin(*vocab.WEAK_ALGORITHMS),
+        "predictable_seed": (kind == "Constant") | (is_call & lower_call.contains("time")),
+    }
+    keyword = {
+        "shell_true": (name == "shell") & (truth == "True"),
+        "verify_false": (name == "verify") & (truth == "False"),
+        "no_verify": (name == "context") & lower_call.contains("unverified"),
+    }
+    value = {
+        "assigns_string": F.lit(True),
+        "secret_pattern": text.secret_pattern(literal),
+        "aws_key": text.aws_key(literal),
+        "long_token": text.long_token(literal),
+    }
+    left = {"sql_left": string & text.contains_any(F.upper(literal), vocab.QUERY_WORDS)}
+    right = {
+        "input_right": (is_name & text.contains_any(lower_name, vocab.INPUT_OPERANDS))
+        | (is_call & lower_call.contains("input"))
+    }
+
+    def bits(tests):
+        total = None
+        for flag, test in tests.items():
+            bit = F.when(test, F.lit(1 << FLAGS.index(flag))).otherwise(F.lit(0))
+            total = bit if total is None else total.bitwiseOR(bit)
+        return total
+
+    operand = (
+        F.when((above == "Call") & (field == "args"), bits(argument))
+        .when(above == "Call", bits(keyword))
+        .when((above == "Assign") & string, bits(value))
+        .when((above == "BinOp") & (field == "left"), bits(left))
+        .when((above == "BinOp") & (field == "right"), bits(right))
+    )
+    return F.when((F.col("role") == OWN) & is_call, bits(own)).when(F.col("role") == OPERAND, operand)
 
-    def has(test):
-        return F.coalesce(F.bool_or(test), F.lit(False))
+
+def site_flags() -> list[Column]:
+    """Aggregates over the routed rows of a site, with their `bits` (`flag_bits`); the buffer holds four numbers."""
+    kind, own = F.col("node_type"), F.col("role") == OWN
 
     def of_own(column):
         return F.max(F.when(own, column))
 
-    grouped = routed.groupBy("file", F.col("route.site").alias("ord")).agg(
+    return [
         of_own(F.col("lineno")).alias("lineno"),
-        of_own(F.when(is_call, 1).when(kind == "Assign", 2).otherwise(3)).alias("site_kind"),
-        of_own(F.when(is_call, _head(call))).alias("head"),
-        has(arg & (kind == "BinOp") & (F.col("op") == "Add")).alias("has_concat"),
-        has(
-            arg
-            & (
-                # `name` is the attribute; a plain name equals its own dotted form
-                (is_call & (name == "format") & (call != "format"))
-                | ((kind == "BinOp") & (F.col("op") == "Mod"))
-            )
-        ).alias("has_format"),
-        has(arg & (kind == "JoinedStr")).alias("has_fstring"),
-        has(arg & is_call & text.contains_any(call, vocab.DECODING_CALLS)).alias("has_b64decode"),
-        has(arg & (kind != "Constant")).alias("is_dynamic"),
-        has(
-            arg
-            & (
-                (is_call & text.contains_any(lower_call, vocab.INPUT_CALLS))
-                | (is_name & text.contains_any(lower_name, vocab.INPUT_NAMES))
-            )
-        ).alias("has_user_input"),
-        has(keyword & (name == "shell") & (F.col("const_kind") == "True")).alias("shell_true"),
-        has(
-            arg & is_call & text.contains_any(lower_call, vocab.UNTRUSTED_CALLS)
-        ).alias("untrusted_source"),
-        has(arg & string & literal.contains("..")).alias("has_dotdot"),
-        has(
-            (own & is_call & text.contains_any(lower_call, vocab.WEAK_ALGORITHMS))
-            | (arg & string & F.lower(literal).isin(*vocab.WEAK_ALGORITHMS))
-        ).alias("weak_algo"),
-        has(own & is_call & lower_call.contains("random")).alias("token_gen"),
-        has(own & is_call & lower_call.contains("random") & lower_call.contains("seed")).alias("has_seed"),
-        has(arg & ((kind == "Constant") | (is_call & lower_call.contains("time")))).alias("predictable_seed"),
-        has(keyword & (name == "verify") & (F.col("const_kind") == "False")).alias("verify_false"),
-        has(keyword & (name == "context") & lower_call.contains("unverified")).alias("no_verify"),
-        has(value).alias("assigns_string"),
-        has(value & text.secret_pattern(literal)).alias("secret_pattern"),
-        has(value & text.aws_key(literal)).alias("aws_key"),
-        has(value & text.long_token(literal)).alias("long_token"),
-        has(left & string & text.contains_any(F.upper(literal), vocab.QUERY_WORDS)).alias("sql_left"),
-        has(
-            right
-            & (
-                (is_name & text.contains_any(lower_name, vocab.INPUT_OPERANDS))
-                | (is_call & lower_call.contains("input"))
-            )
-        ).alias("input_right"),
-    )
+        of_own(F.when(kind == "Call", 1).when(kind == "Assign", 2).otherwise(3)).alias("site_kind"),
+        of_own(F.when(kind == "Call", _head(F.col("dotted")))).alias("head"),
+        # named here, not in a projection above: filters on flags then meet plain columns
+        *[(F.coalesce(F.bit_or("bits"), F.lit(0)).bitwiseAND(1 << i) != 0).alias(flag) for i, flag in enumerate(FLAGS)],
+    ]
+
+
+def named_sites(grouped: DataFrame) -> DataFrame:
+    """Numbers of site kinds and heads back to their names."""
     kinds = F.array(*[F.lit(k) for k in ("Call", "Assign", "BinOp")])
     heads = F.array(*[F.lit(h) for h in HEADS])
     return (
-        grouped.filter(F.col("site_kind").isNotNull())
-        .withColumn("node_type", F.get(kinds, F.col("site_kind") - 1))
+        grouped.withColumn("node_type", F.get(kinds, F.col("site_kind") - 1))
         .withColumn("head", F.get(heads, F.col("head") - 1))
         .drop("site_kind")
     )
 
 
-CALL_FEATURES = [
-    "has_concat", "has_format", "has_fstring", "has_b64decode", "is_dynamic", "has_user_input",
-    "shell_true", "untrusted_source", "has_dotdot", "weak_algo", "token_gen", "has_seed",
-    "predictable_seed", "verify_false", "no_verify",
-]
+def sites(nodes: DataFrame) -> DataFrame:
+    """sites(file, ord, lineno, node_type, head, F1…F20 flags), one row per
+    call, assignment and `+`; flags that do not apply to a site are false."""
+    rows = routed(nodes, site_roles()).withColumn("bits", flag_bits())
+    grouped = rows.groupBy("file", F.col("site").alias("ord")).agg(*site_flags())
+    return named_sites(grouped.filter(F.col("site_kind").isNotNull()))
+
+
+CALL_FEATURES = FLAGS[:15]
 
 
 def call_features(nodes: DataFrame) -> DataFrame:

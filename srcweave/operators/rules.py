@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,10 @@ def rule_table(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame
     optional) add rules or replace the rule of a sequence."""
     productions = {n: (rhs.split(), severity, message) for n, rhs, severity, message in vocab.PRODUCTIONS}
     rows = [(seq, prod, *productions[prod], states) for seq, prod, states in vocab.ACCEPTED]
-    built_in = spark.createDataFrame(rows, RULE_SCHEMA)
+    names = ("sequence", "prod", "rhs", "severity", "message", "states")
+    # from Arrow it is a local relation, which is broadcast without a job
+    columns = {name: pa.array(column) for name, column in zip(names, zip(*rows, strict=True), strict=True)}
+    built_in = spark.createDataFrame(pa.table(columns), RULE_SCHEMA)
     if extra is None:
         return F.broadcast(built_in)
     wanted = extra.select("sequence", "prod", "rhs", "severity", "message")

@@ -88,14 +88,12 @@ def inferred_types(nodes: DataFrame) -> DataFrame:
 _EVENT = ["file", "scope_id", "name", "kind", "inferred_type", "ord", "sub", "lineno"]
 
 
-def define_events(nodes: DataFrame) -> DataFrame:
-    """events(file, scope_id, name, kind, ord, sub, lineno): every define in
-    user code, `(ord, sub)` ordering them in time.
+def define_event() -> tuple[Column, dict[str, Column]]:
+    """Whether a node row defines a name, and what: scope_id, name, kind, ord, sub, lineno.
 
-    Each event comes from one node row, so this is a filter and a projection:
-    it keeps the layout of `nodes`, and windows over it need no exchange.
-    `arguments` directly follows its function in visit order, which tells a
-    function's parameters from those of a lambda inside it.
+    `(ord, sub)` orders the defines of a file in time.  `arguments` directly
+    follows its function in visit order, which tells a function's parameters
+    from those of a lambda inside it.
     """
     node, above, field = F.col("node_type"), F.col("parent_type"), F.col("field")
     owner = F.get(F.col("path"), F.size("path") - 1)
@@ -108,21 +106,28 @@ def define_events(nodes: DataFrame) -> DataFrame:
         & (owner["kind"] == "FunctionDef")
         & (owner["ord"] == F.col("parent") - 1)
     )
-    own_line = F.when(named, F.col("lineno")).otherwise(F.col("stmt_line"))
-    return nodes.filter(target | alias | named | parameter).select(
-        "file",
-        F.when(parameter, owner["ord"]).otherwise(scope_of(F.col("path"))).alias("scope_id"),
-        F.when(alias, bound_name()).otherwise(F.col("name")).alias("name"),
-        F.when(target, "variable")
+    return target | alias | named | parameter, {
+        "scope_id": F.when(parameter, owner["ord"]).otherwise(scope_of(F.col("path"))),
+        "name": F.when(alias, bound_name()).otherwise(F.col("name")),
+        "kind": F.when(target, "variable")
         .when(alias, "import")
         .when(parameter, "parameter")
         .when(node == "ClassDef", "class")
-        .otherwise("function")
-        .alias("kind"),
-        F.when(named, F.col("ord")).when(parameter, owner["ord"]).otherwise(F.col("parent")).alias("ord"),
-        F.when(named, 0).otherwise(F.col("field_idx")).alias("sub"),
-        own_line.alias("lineno"),
-    )
+        .otherwise("function"),
+        "ord": F.when(named, F.col("ord")).when(parameter, owner["ord"]).otherwise(F.col("parent")),
+        "sub": F.when(named, 0).otherwise(F.col("field_idx")),
+        "lineno": F.when(named, F.col("lineno")).otherwise(F.col("stmt_line")),
+    }
+
+
+def define_events(nodes: DataFrame) -> DataFrame:
+    """events(file, scope_id, name, kind, ord, sub, lineno): every define in user code.
+
+    Each event comes from one node row, so this is a filter and a projection:
+    it keeps the layout of `nodes`, and windows over it need no exchange.
+    """
+    defines, what = define_event()
+    return nodes.filter(defines).select("file", *[column.alias(name) for name, column in what.items()])
 
 
 def builtin_definitions(nodes: DataFrame) -> DataFrame:
@@ -185,10 +190,13 @@ def first_definitions(events: DataFrame) -> DataFrame:
     )
 
 
+def reads_name() -> Column:
+    return (F.col("node_type") == "Name") & (F.col("ctx") == "Load")
+
+
 def name_uses(nodes: DataFrame) -> DataFrame:
     """uses(file, ord, name, lineno, chain): names read, with their scope chain."""
-    read = (F.col("node_type") == "Name") & (F.col("ctx") == "Load")
-    return nodes.filter(read).select("file", "ord", "name", "lineno", scope_chain(F.col("path")).alias("chain"))
+    return nodes.filter(reads_name()).select("file", "ord", "name", "lineno", scope_chain(F.col("path")).alias("chain"))
 
 
 def resolve(uses: DataFrame, symbols: DataFrame) -> DataFrame:
@@ -311,22 +319,27 @@ def duplicates(events: DataFrame) -> DataFrame:
         .filter(kind.isin(*_DUPLICATES) & ((F.col("nth") > 1) | builtin))
     )
 
-    def by_kind(i):
-        chain = None
-        for name, labels in _DUPLICATES.items():
-            chain = (F if chain is None else chain).when(kind == name, labels[i])
-        return chain
-
     return seen.select(
         "file",
         "lineno",
-        by_kind(0).alias("code"),
-        F.concat(by_kind(1), F.lit(" '"), "name", F.lit("' already defined at line "), "first_line").alias("message"),
-        by_kind(2).alias("severity"),
+        *[column.alias(name) for name, column in duplicate_texts(F.col("first_line")).items()],
         emit_key(F.col("ord"), sub=F.col("sub")).alias("emit_key"),
     )
 
 
+def duplicate_texts(first_line: Column) -> dict[str, Column]:
+    """code, message and severity of a define whose scope holds the name since `first_line`."""
+
+    def by_kind(i):
+        chain = None
+        for name, labels in _DUPLICATES.items():
+            chain = (F if chain is None else chain).when(F.col("kind") == name, labels[i])
+        return chain
+
+    message = F.concat(by_kind(1), F.lit(" '"), "name", F.lit("' already defined at line "), first_line)
+    return {"code": by_kind(0), "message": message, "severity": by_kind(2)}
+
+
 def unused_parameters(nodes: DataFrame, symbols: DataFrame, resolved: DataFrame) -> DataFrame:
     """Parameters no use resolves to, reported when their function ends.
 

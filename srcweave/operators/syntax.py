@@ -22,7 +22,8 @@ NODE_FIELDS = {
     "parent": "int",
     "end_ord": "int",  # last position inside this node's subtree
     "depth": "int",
-    "path": "array<struct<ord:int,kind:string,name:string>>",  # enclosing definitions, outermost first
+    # enclosing definitions, outermost first
+    "path": "array<struct<ord:int,kind:string,name:string,end_ord:int,depth:int>>",
     "field": "string",
     "field_idx": "int",
     "parent_type": "string",
@@ -51,7 +52,9 @@ _POSITION = [
 ]
 _ATTRIBUTES = ["op", "name", "dotted", "ctx", "asname", "module", "const_kind", "const_str"]
 _ROW = _POSITION + _ATTRIBUTES
-_PATH_TYPE = pa.struct([("ord", pa.int32()), ("kind", pa.string()), ("name", pa.string())])
+_PATH_TYPE = pa.struct(
+    [("ord", pa.int32()), ("kind", pa.string()), ("name", pa.string()), ("end_ord", pa.int32()), ("depth", pa.int32())]
+)
 _ERROR_TYPE = pa.struct(
     [
         ("kind", pa.string()),
@@ -146,14 +149,14 @@ class _Rows:
         self.rows = []
         self.ends = []
         self.path_ids = []
-        self.paths = {(): 0}
+        self.paths = [()]
         self.errors = []
 
     def __len__(self):
         return len(self.rows)
 
     def add_tree(self, file, tree):
-        rows, path_ids, parents, order = self.rows, self.path_ids, [], 0
+        rows, path_ids, parents, order, opened = self.rows, self.path_ids, [], 0, []
         # what siblings share: parent type, parent position, depth, path, path id, statement
         pending = [(tree, None, None, 0, (None, -1, 0, (), 0, -1, None))]
         while pending:
@@ -171,8 +174,10 @@ class _Rows:
                     stmt_ord, stmt_line = order, line
                 inner_path, inner_id = path, path_id
                 if issubclass(kind, _DEFINITIONS):
-                    inner_path = path + ((order, node_type, node.name),)
-                    inner_id = self.paths.setdefault(inner_path, len(self.paths))
+                    step = {"ord": order, "kind": node_type, "name": node.name, "depth": depth}
+                    opened.append(step)
+                    inner_path, inner_id = (*path, step), len(self.paths)
+                    self.paths.append(inner_path)
                 shared = (node_type, order, depth + 1, inner_path, inner_id, stmt_ord, stmt_line)
                 inner = []
                 for name in kind._fields:
@@ -195,6 +200,8 @@ class _Rows:
             above = parents[i]
             if ends[above] < ends[i]:
                 ends[above] = ends[i]
+        for step in opened:
+            step["end_ord"] = ends[step["ord"]]
         self.ends += ends
         self.errors += [None] * order
 
@@ -218,8 +225,7 @@ class _Rows:
         arrays = []
         for name in NODE_FIELDS:
             if name == "path":
-                steps = [[dict(zip(("ord", "kind", "name"), step)) for step in path] for path in self.paths]
-                distinct = pa.array(steps, pa.list_(_PATH_TYPE))
+                distinct = pa.array(self.paths, pa.list_(_PATH_TYPE))
                 arrays.append(distinct.take(pa.array(self.path_ids, pa.int32())))
             elif name == "error":
                 arrays.append(pa.array(self.errors, _ERROR_TYPE))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from srcweave import session
-from srcweave.operators import findings, flow, report, rules, sql_lint, symbols, syntax, tokens
+from srcweave.operators import findings, flow, report, rules, sql_lint, sweeps, symbols, syntax, tokens
 from srcweave.plans import summary
 from srcweave.sources.files import scan_sources
 from srcweave.sources.tables import source_table
@@ -33,6 +33,10 @@ class Analysis:
     keep_sources write the sources down first, when reading them again is
                  costly or may differ (directories, streams); rows with an
                  `error` column set are reported instead of analysed
+    staged       False keeps the sources and nodes of a small corpus (one
+                 micro-batch) in executor memory and on their disks instead
+                 of tables, and leaves findings to the one job that writes
+                 them; what an executor loses is parsed again
     """
 
     def __init__(
@@ -44,10 +48,16 @@ class Analysis:
         rules: DataFrame | None = None,
         partitions: int | None = None,
         keep_sources: bool = False,
+        staged: bool = True,
     ):
         session.tune(sources.sparkSession)
         self._staged: list[str] = []
-        if keep_sources:
+        self._kept: list[DataFrame] = []
+        self.staged = staged
+        if keep_sources and not staged:
+            sources = sources.persist()
+            self._kept.append(sources)
+        elif keep_sources:
             sources, name = session.store(sources, "sources")
             self._staged.append(name)
         self.read_failures = None
@@ -58,9 +68,15 @@ class Analysis:
         self.prescreen = prescreen
         self.extra_typos = typos
         self.extra_rules = rules
+        if not staged:
+            partitions = partitions or sources.sparkSession.sparkContext.defaultParallelism
         self.partitions = partitions or session.partitions_for(sources)
 
     def _stage(self, df: DataFrame, label: str, *, shuffle: bool = True) -> DataFrame:
+        if not self.staged:
+            kept = (df.repartition(self.partitions, "file") if shuffle else df).persist()
+            self._kept.append(kept)
+            return kept
         table, name = session.stage(df, label, self.partitions, shuffle=shuffle)
         self._staged.append(name)
         return table
@@ -69,6 +85,8 @@ class Analysis:
         """Drop the staged tables. Relations of this analysis are unusable afterwards."""
         while self._staged:
             session.unstage(self.sources.sparkSession, self._staged.pop())
+        while self._kept:
+            self._kept.pop().unpersist()
 
     # -- tokens ------------------------------------------------------------
 
@@ -93,9 +111,9 @@ class Analysis:
         stored = self._stage(syntax.shred(laid_out), "nodes", shuffle=False)
         # a file has one root row (or one failure row); two mean a shared name
         roots = stored.filter(F.col("ord") <= 0).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-        shared = roots.filter(F.col("n") > 1).select("file").limit(1).collect()
-        if shared:
-            raise ValueError(f"rows of the source table share the file name {shared[0]['file']!r}")
+        shared = roots.filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("n"), F.min("file").alias("file")).first()
+        if shared["n"]:
+            raise ValueError(f"rows of the source table share the file name {shared['file']!r}")
         return stored
 
     @cached_property
@@ -177,17 +195,23 @@ class Analysis:
             rows = rows.unionByName(self.read_failures)
         return rows
 
+    def swept_findings(self) -> DataFrame:
+        """All findings of the corpus by three scans of the nodes, not staged."""
+        parts = [sweeps.site_and_flow_findings(self.nodes, self.extra_rules), sweeps.name_findings(self.nodes)]
+        if self.prescreen or self.extra_typos is not None:
+            # syntax errors are reported for skipped files too, and own words are joined
+            parts += [self.sql_findings, findings.syntax_errors(self.parse_failures), self.error_rows]
+        else:
+            parts.append(sweeps.literal_and_failure_findings(self.shredded))
+            if self.read_failures is not None:
+                parts.append(self.read_failures)
+        return findings.union_findings(*parts)
+
     @cached_property
     def findings(self) -> DataFrame:
-        """All findings of the corpus, staged."""
-        everything = findings.union_findings(
-            findings.syntax_errors(self.parse_failures),
-            self.grammar_findings,
-            self.sql_findings,
-            self.semantic_findings,
-            self.error_rows,
-        )
-        return self._stage(everything, "findings")
+        """All findings of the corpus, staged (or, kept in memory, as they are worked out)."""
+        swept = self.swept_findings()
+        return self._stage(swept, "findings") if self.staged else swept
 
     # -- reports -----------------------------------------------------------
 

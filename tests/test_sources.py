@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from srcweave import session
 from srcweave.operators import report
+from srcweave.operators.findings import syntax_errors, union_findings
 from srcweave.plans.analysis import Analysis, scan
 from srcweave.sources import arrivals, files, sinks
 from srcweave.sources.tables import decode_sources
@@ -283,6 +284,36 @@ def test_per_file_queries_do_not_shuffle(spark, sources_of):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_all_findings_take_three_scans_and_no_exchange(spark, sources_of):
+    work = Analysis(sources_of({"f.py": "import a\nimport a\ndef f(x):\n    return eval(input(b))\n", "bad.py": "def f(:\n"}), partitions=4)
+    swept = work.swept_findings()
+    plan = swept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and "Exchange hashpartitioning" not in plan
+    apart = union_findings(
+        syntax_errors(work.parse_failures), work.grammar_findings, work.sql_findings, work.semantic_findings, work.error_rows
+    )
+    assert sorted(map(str, swept.collect())) == sorted(map(str, apart.collect()))
+    assert {r["code"] for r in swept.collect()} >= {"SYNTAX_ERROR", "GRAMMAR_VULN", "DUPLICATE_IMPORT", "UNUSED_PARAMETER"}
+    work.release()
+
+
+def test_a_micro_batch_is_one_parse_and_one_write(spark, tmp_path):
+    files = [(f"{i}.py", f"def f(a, b):\n    return eval(a + c{i})\n") for i in range(40)]
+    df = spark.createDataFrame(files, "file string, source string")
+    df.repartition(2).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    before = _staged_names(spark)
+    query = streaming.stream_scan(stream, streaming.parquet_sink(str(tmp_path / "out")), str(tmp_path / "progress"), partitions=4)
+    query.awaitTermination()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(query.runId)
+    assert len(jobs) <= 6, sorted(jobs)  # two batches: names checked, rules broadcast, findings written
+    assert _staged_names(spark) == before
+    work = Analysis(df, partitions=4)
+    got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    assert sorted(map(str, got.collect())) == sorted(map(str, work.findings.collect()))
+    work.release()
+
+
 def test_huge_expression_is_analysed(spark, sources_of):
     deep = "x = " + " + ".join(["1"] * 600) + "\n"
     work = Analysis(sources_of({"deep.py": deep, "wide.py": "x = [" + "1, " * 20_000 + "]\n"}))
