@@ -189,8 +189,10 @@ def file_reports(findings: DataFrame, rules: DataFrame | None = None) -> DataFra
 def upload_documents(sources: DataFrame, findings: DataFrame, failures: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     """documents(filename, content, findings, parse_traces, error): the answer to an upload of each source.
 
-    A file that does not parse has only its name and the error.
+    A file that does not parse has only its name and the error.  An upload goes
+    by the last part of its path, in its traces as well.
     """
+    short = F.element_at(F.split("file", "/"), -1)
     why = F.when(F.col("kind") == "syntax", F.concat(F.lit("Syntax error in uploaded file: "), "full")).otherwise(
         F.concat(F.lit("Error analyzing file: "), "message")
     )
@@ -198,10 +200,15 @@ def upload_documents(sources: DataFrame, findings: DataFrame, failures: DataFram
     reports = file_reports(findings, rules).withColumnRenamed("filename", "file")
     answered = sources.select("file", "source").join(reports, "file", "left").join(failed, "file", "left")
     fine, kind = F.col("error").isNull(), dict(reports.dtypes)["findings"]
-    found = F.coalesce("findings", F.array().cast(kind))
+    found = F.transform(
+        F.coalesce("findings", F.array().cast(kind)),
+        lambda f: F.when(
+            f["parse_trace"].isNotNull(), f.withField("parse_trace", f["parse_trace"].withField("filename", short))
+        ).otherwise(f),
+    )
     traces = F.transform(F.filter(found, lambda f: f["parse_trace"].isNotNull()), lambda f: f["parse_trace"])
     return answered.select(
-        F.element_at(F.split("file", "/"), -1).alias("filename"),
+        short.alias("filename"),
         F.when(fine, F.col("source")).alias("content"),
         F.when(fine, found).alias("findings"),
         F.when(fine, traces).alias("parse_traces"),

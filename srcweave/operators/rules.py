@@ -26,8 +26,12 @@ def rule_table(spark: SparkSession, extra: DataFrame | None = None) -> DataFrame
     built_in = spark.createDataFrame(pa.table(columns), RULE_SCHEMA)
     if extra is None:
         return F.broadcast(built_in)
-    wanted = extra.select("sequence", "prod", "rhs", "severity", "message")
-    wanted = wanted.withColumn("states", F.lit(None).cast("array<int>"))
+    wanted = extra.select(
+        "sequence", "prod", "rhs", "severity", "message",
+        # states of a rule's own are numbered on from its symbols; the built-in tables hold none for it
+        F.coalesce(F.col("states") if "states" in extra.columns else F.lit(None).cast("array<int>"),
+                   F.sequence(F.lit(1), F.size(F.split("sequence", " ")))).alias("states"),
+    )
     kept = built_in.join(wanted.select("sequence"), "sequence", "left_anti")
     return broadcast_if_small(kept.unionByName(wanted))
 

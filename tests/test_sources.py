@@ -118,6 +118,18 @@ def test_json_sinks(spark, sources_of, tmp_path):
     work.release()
 
 
+def test_json_sinks_trace_rules_of_the_caller(spark, sources_of):
+    own = spark.createDataFrame(
+        [("assign long_token", 90, ["OWN", "TOKEN"], "INFO", "mine")],
+        "sequence string, prod int, rhs array<string>, severity string, message string",
+    )
+    work = Analysis(sources_of({"one.py": "x = 'abcdefghijklmnopqrstuvwxyz'\n"}), rules=own)
+    (finding,) = json.loads(sinks.findings_json(work.findings, own).first()["json"])["findings"]
+    assert finding["message"] == "Grammar-based detection: mine" and finding["parse_trace"]["pattern"] == "OWN -> TOKEN"
+    assert [s["action"] for s in finding["parse_trace"]["steps"]] == ["SHIFT", "SHIFT", "REDUCE"]
+    work.release()
+
+
 def test_upload_documents_and_traces(spark, sources_of):
     work = Analysis(sources_of({"in/one.py": "x = eval(input())\n", "two.py": "d = 1\n", "bad.py": "def f(:\n"}))
     found = {r["filename"]: r for r in work.upload_documents().collect()}
@@ -125,7 +137,7 @@ def test_upload_documents_and_traces(spark, sources_of):
     assert one["content"] == "x = eval(input())\n" and one["error"] is None
     (trace,) = one["parse_traces"]
     (finding,) = [f for f in one["findings"] if f["code"] == "GRAMMAR_VULN"]
-    assert finding["parse_trace"] == trace and trace["filename"] == "in/one.py" and trace["lineno"] == 1
+    assert finding["parse_trace"] == trace and trace["filename"] == "one.py" and trace["lineno"] == 1
     assert [s["action"] for s in trace["steps"]] == ["SHIFT"] * len(trace["tokens"]) + ["REDUCE"]
     assert found["two.py"]["findings"] == [] and found["two.py"]["parse_traces"] == []
     assert found["bad.py"]["content"] is None and found["bad.py"]["error"].startswith("Syntax error in uploaded file: ")
