@@ -23,14 +23,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document, that of the smallest id, of each group linked by 80 % of their five-word shingles.
 
-    Of rows that repeat an id one stays; rows without an id all stay.
+    A row is known by its id and text: rows that repeat an id with other texts
+    are judged each by its own text, and of rows that repeat both one stays.
+    Rows without an id all stay.
     """
-    classes = Scratch(spark, "classes").stage(jaccard.similar_documents(docs, width=5, num=4, den=5), "ids")
-    ids = classes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("first"))
-    odd = ids.where("first <> doc_id or rows > 1")
-    single = docs.join(jaccard.few(odd.select("doc_id")), "doc_id", "left_anti")
-    repeated = docs.join(jaccard.few(odd.where("first = doc_id").select("doc_id")), "doc_id", "left_semi")
-    return single.unionByName(repeated.dropDuplicates(["doc_id"])).select(docs.columns)
+    found = jaccard.similar_documents(docs, width=5, num=4, den=5, digests=True)
+    rows = Scratch(spark, "classes").stage(found, "rows").where("doc_id is not null")
+    texts = rows.groupBy("doc_id", "text_sha256", "component_id", "group_id").agg(F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("rows"))
+    # of several texts of the smallest id in one group, that of the smallest digest stays
+    first = texts.where("n > 0 and doc_id = component_id").groupBy("group_id").agg(F.min("text_sha256").alias("first"))
+    judged = texts.join(first, "group_id", "left").withColumn(
+        "stays", (F.col("n") == 0) | ((F.col("doc_id") == F.col("component_id")) & (F.col("text_sha256") == F.col("first")))
+    )
+    key = ["doc_id", "__digest"]
+    odd = judged.where("not stays or rows > 1").select("doc_id", F.col("text_sha256").alias("__digest"), "stays")
+    marked = docs.withColumn("__digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    single = marked.join(jaccard.few(odd.select(*key)), key, "left_anti")
+    repeated = marked.join(jaccard.few(odd.where("stays").select(*key)), key, "left_semi")
+    return single.unionByName(repeated.dropDuplicates(key)).select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
