@@ -14,9 +14,8 @@ and need no comparison with each other; members beyond 2e cannot link with
 those, and go on as a list of their own with another centre; those between are
 compared with the near ones they may still reach, |d(x,c) - d(y,c)| <= e, unless
 already in their component.  Lists of SHORT members or fewer give their pairs.
-A list that is still long after ROUNDS centres gives its pairs too: exact, at
-the cost of the square of a list of mutually different documents whose rarest
-words all agree.
+A list that is still long after ROUNDS centres is dealt by the prefix tokens of
+a second order: members of it meet only where they share one of these as well.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from srcweave.llm.common import Scratch, raw_bytes, small_batches
+from srcweave.llm.common import Scratch, raw_bytes, small_batches, text_slices
 from srcweave.llm.components import components
 from srcweave.llm.shingles import mixed, shingle_sets
 
@@ -63,37 +62,43 @@ def few(df: DataFrame) -> DataFrame:
 
 
 class _Join:
-    def __init__(self, docs: DataFrame, width: int, num: int, den: int, key: str, text: str):
+    def __init__(self, docs: DataFrame, width: int, num: int, den: int, key: str, text: str, digests: bool):
         self.docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-        self.width, self.num, self.den = width, num, den
+        self.width, self.num, self.den, self.digests = width, num, den, digests
         self.spark = docs.sparkSession
         self.scratch = Scratch(self.spark, "jaccard")
 
     def profile(self) -> tuple[DataFrame, DataFrame]:
-        """(key, n, node) of every document, node naming its set; and classes (node, rep)."""
+        """(key, digest, n, node) of every document, node naming its set; and classes (node, rep)."""
         width = self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            names, tally, kind = ["key", "n", "node", "bucket", "words"], np.zeros(BUCKETS, np.int64), None
+            names, tally, kind = ["key", "digest", "n", "node", "bucket", "words"], np.zeros(BUCKETS, np.int64), None
             for batch in batches:
-                sets = shingle_sets(raw_bytes(batch.column("text")), width, tally=tally)
                 kind = batch.column("key").type
-                node = np.array([mixed(s, 5).sum(dtype=np.uint64) if len(s) else 0 for s, _ in sets], np.uint64)
-                empty = pa.nulls(len(sets), pa.int64())
-                n = pa.array([len(s) for s, _ in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), n, pa.array(node.view(np.int64)), empty, empty], names=names
-                )
+                # sets of one slice at a time: what a worker once held it keeps
+                for first, piece in text_slices(batch.column("text")):
+                    sets = shingle_sets(raw_bytes(piece), width, tally=tally)
+                    node = np.array([mixed(s, 5).sum(dtype=np.uint64) if len(s) else 0 for s, _ in sets], np.uint64)
+                    empty = pa.nulls(len(sets), pa.int64())
+                    n = pa.array([len(s) for s, _ in sets], pa.int64())
+                    key, digest = (batch.column(c).slice(first, len(sets)) for c in ("key", "digest"))
+                    yield pa.RecordBatch.from_arrays(
+                        [key, digest, n, pa.array(node.view(np.int64)), empty, empty], names=names
+                    )
             used = np.flatnonzero(tally)
             if len(used):
                 empty = pa.nulls(len(used), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(used), kind), empty, empty, pa.array(used), pa.array(tally[used])], names=names
+                    [pa.nulls(len(used), kind), pa.nulls(len(used), pa.string()), empty, empty, pa.array(used), pa.array(tally[used])],
+                    names=names,
                 )
 
-        schema = f"key {self.docs.schema['key'].dataType.simpleString()}, n long, node long, bucket long, words long"
-        both = self.scratch.stage(self.docs.mapInArrow(run, schema), "profile")
-        rows = both.where("bucket is null").select("key", "n", "node")
+        kinds = "digest string, n long, node long, bucket long, words long"
+        schema = f"key {self.docs.schema['key'].dataType.simpleString()}, {kinds}"
+        digest = F.sha2(F.coalesce("text", F.lit("")), 256) if self.digests else F.lit(None).cast("string")
+        both = self.scratch.stage(self.docs.withColumn("digest", digest).mapInArrow(run, schema), "profile")
+        rows = both.where("bucket is null").select("key", "digest", "n", "node")
         sums = both.where("bucket is not null").groupBy("bucket").agg(F.sum("words").alias("words")).toArrow()
         counts = np.zeros(BUCKETS, np.int64)
         counts[sums["bucket"].to_numpy()] = sums["words"].to_numpy()
@@ -111,17 +116,18 @@ class _Join:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             common = counts.value
             for batch in batches:
-                keys = batch.column("key")
-                sets = shingle_sets(raw_bytes(batch.column("text")), width, counts=common)
-                made = [(i, *make(s, c)) for i, (s, c) in enumerate(sets) if len(s)]
-                if not made:
-                    continue
-                at, *columns = zip(*made, strict=True)
-                node = np.array([mixed(sets[i][0], 5).sum(dtype=np.uint64) for i in at], np.uint64).view(np.int64)
-                arrays = [pa.array(c) for c in columns]
-                yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(at)), pa.array(node), *arrays], names=["rep", "node", *names]
-                )
+                for first, piece in text_slices(batch.column("text")):
+                    keys = batch.column("key").slice(first, len(piece))
+                    sets = shingle_sets(raw_bytes(piece), width, counts=common)
+                    made = [(i, *make(s, c)) for i, (s, c) in enumerate(sets) if len(s)]
+                    if not made:
+                        continue
+                    at, *columns = zip(*made, strict=True)
+                    node = np.array([mixed(sets[i][0], 5).sum(dtype=np.uint64) for i in at], np.uint64).view(np.int64)
+                    arrays = [pa.array(c) for c in columns]
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array(at)), pa.array(node), *arrays], names=["rep", "node", *names]
+                    )
 
         names = [part.split()[0] for part in schema.split(", ")]
         kind = self.docs.schema["key"].dataType.simpleString()
@@ -138,7 +144,7 @@ class _Join:
         signed = self.scratch.stage(self._sets(classes, make, "n long, prefix binary", filtered=False), "signed")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
                 raw = raw_bytes(batch.column("prefix"))
                 sizes = np.array([len(x) // 8 for x in raw], np.int64)
                 token = np.frombuffer(b"".join(raw), np.int64)
@@ -166,56 +172,86 @@ class _Join:
         met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & self.fits("a", "b"))
         return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
-    def verified(self, pairs: DataFrame, classes: DataFrame, name: str, *, every: bool) -> DataFrame:
-        """(a, b, shared, united) of the pairs: all of them, or those that pass the filters of the other orders."""
+    def prefixes(self, nodes: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """(node, order1, …): prefixes of these nodes under the other orders."""
+        num, den = self.num, self.den
+
+        def make(tokens: np.ndarray, common: np.ndarray) -> tuple:
+            return tuple(_prefix(_ordered(tokens, common, i), num, den).view(np.int64) for i in range(1, ORDERS))
+
+        wanted = self.scratch.stage(classes.join(nodes, "node"), f"{name}-asked")
+        fields = ", ".join(f"order{i} array<long>" for i in range(1, ORDERS))
+        with small_batches(self.spark, 2000):
+            found = self.scratch.stage(self._sets(wanted, make, fields, filtered=True), f"{name}-prefixes")
+        self.scratch.drop(f"{name}-asked")
+        return found
+
+    def candidates(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """Pairs whose prefixes meet under the other orders too; only short prefixes move for it."""
+        pairs = self.scratch.stage(pairs, f"{name}-met")
+        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        of = self.prefixes(nodes, classes, name)
+        one, two = (
+            of.select(F.col("node").alias(c), *[F.col(f"order{i}").alias(f"{c}{i}") for i in range(1, ORDERS)]) for c in ("a", "b")
+        )
+        both = pairs.join(one, "a").join(two, "b")
+        for i in range(1, ORDERS):
+            both = both.where(F.arrays_overlap(f"a{i}", f"b{i}"))
+        return both.select("a", "b")
+
+    def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """(a, b, shared, united) of the pairs, by their whole sets."""
         pairs = self.scratch.stage(pairs, f"{name}-pairs")
-        num, den, orders = self.num, self.den, ORDERS
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = self.scratch.stage(classes.join(nodes, "node"), f"{name}-wanted")
 
         def make(tokens: np.ndarray, common: np.ndarray) -> tuple:
-            others = [_prefix(_ordered(tokens, common, i), num, den) for i in range(1, orders)]
-            return tokens.tobytes(), [x.tobytes() for x in others]
+            return (tokens.tobytes(),)
 
         with small_batches(self.spark, 2000):
-            sets = self.scratch.stage(
-                self._sets(wanted, make, "tokens binary, others array<binary>", filtered=True), f"{name}-sets"
-            )
-        one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"), F.col("others").alias("oa"))
-        two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"), F.col("others").alias("ob"))
+            sets = self.scratch.stage(self._sets(wanted, make, "tokens binary", filtered=True), f"{name}-sets")
+        one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
+        two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
         both = pairs.join(one, "a").join(two, "b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def shared(x: bytes, y: bytes) -> int:
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            def shared(x: np.ndarray, y: np.ndarray) -> int:
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)
                 return int((y[np.minimum(at, len(y) - 1)] == x).sum())
 
             for batch in batches:
-                out = []
-                ta, tb, oa, ob = (batch.column(c) for c in ("ta", "tb", "oa", "ob"))
+                inter, union = [], []
                 for i in range(batch.num_rows):
-                    if every or all(shared(x, y) for x, y in zip(oa[i].as_py(), ob[i].as_py(), strict=True)):
-                        x, y = ta[i].as_py(), tb[i].as_py()
-                        n = shared(x, y)
-                        out.append((i, n, (len(x) + len(y)) // 8 - n))
-                if out:
-                    at, inter, union = zip(*out, strict=True)
-                    at = pa.array(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("a").take(at), batch.column("b").take(at), pa.array(inter), pa.array(union)],
-                        names=["a", "b", "shared", "united"],
-                    )
+                    x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in ("ta", "tb"))
+                    inter.append(n := shared(x, y))
+                    union.append(len(x) + len(y) - n)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("a"), batch.column("b"), pa.array(inter, pa.int64()), pa.array(union, pa.int64())],
+                    names=["a", "b", "shared", "united"],
+                )
 
         with small_batches(self.spark, 200):  # a row holds two whole sets
             found = self.scratch.stage(
                 both.mapInArrow(run, "a long, b long, shared long, united long"), f"{name}-verified"
             )
-        self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets")
+        self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets", f"{name}-met", f"{name}-prefixes")
         return found
 
+    def pairs_split(self, lists: DataFrame, classes: DataFrame) -> DataFrame:
+        """Pairs of long lists, met only where they share a prefix token of a second order as well."""
+        nodes = lists.select("node").distinct()
+        seconds = self.prefixes(nodes, classes, "split").select("node", F.explode("order1").alias("second"))
+        dealt = lists.select("token", "node", "n", "pos").join(seconds, "node")
+        a, b = dealt.alias("a"), dealt.alias("b")
+        met = a.join(
+            b,
+            (F.col("a.token") == F.col("b.token")) & (F.col("a.second") == F.col("b.second"))
+            & (F.col("a.node") < F.col("b.node")) & self.fits("a", "b"),
+        )
+        return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
     def linked(self, verified: DataFrame) -> DataFrame:
         return verified.where(F.col("shared") * self.den >= F.col("united") * self.num).select("a", "b")
 
@@ -231,7 +267,7 @@ class _Join:
             if long_.isEmpty():
                 break
             stars = long_.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-            known = self.verified(stars, classes, f"star-{turn}", every=True)
+            known = self.verified(stars, classes, f"star-{turn}")
             edges.append(self.linked(known))
             apart = (F.lit(1.0) - F.col("shared") / F.col("united")).alias("apart")
             members = self.scratch.stage(
@@ -258,11 +294,12 @@ class _Join:
             again = self.scratch.stage(rest.drop("apart").join(sizes, "token"), f"long-{turn}")
             short.append(again.where(F.col("size") <= SHORT))
             long_ = again.where(F.col("size") > SHORT)
-        short.append(long_)
         pairs = self.pairs_within(short[0])
         for more in short[1:]:
             pairs = pairs.unionByName(self.pairs_within(more)).distinct()
-        edges.append(self.linked(self.verified(pairs, classes, "short", every=False)))
+        if not long_.isEmpty():
+            pairs = pairs.unionByName(self.pairs_split(long_, classes)).distinct()
+        edges.append(self.linked(self.verified(self.candidates(pairs, classes, "short"), classes, "short")))
         found = self.scratch.stage(_union(edges), "edges")
         if not between:
             return found
@@ -277,7 +314,8 @@ class _Join:
             .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
             .select("a", "b")
         )
-        return found.unionByName(self.linked(self.verified(open_, classes, "between", every=False)))
+        met = self.candidates(open_, classes, "between")
+        return found.unionByName(self.linked(self.verified(met, classes, "between")))
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -288,8 +326,9 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 
 def similar_documents(
-    docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
+    docs: DataFrame, width: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text",
+    *, digests: bool = False,
+) -> DataFrame:
     """(key, n_shingles, component_id) of every row: components of links den * shared >= num * united.
 
     Sets hold the distinct shingles of `width` words of the whole text, letters
@@ -297,19 +336,24 @@ def similar_documents(
     null or has no word has no shingles and no links.  Rows with a null key
     belong to no component (null).  Repeated rows have the same component each.
     An empty table gives no rows; other columns are ignored.  Sets are compared
-    by 64-bit hashes of shingles, equal sets known by a 64-bit hash.
+    by 64-bit hashes of shingles, equal sets known by a 64-bit hash.  With
+    `digests`, text_sha256 tells rows apart that repeat a key with other texts,
+    and group_id their components.
     """
-    join = _Join(docs, width, num, den, key, text)
+    join = _Join(docs, width, num, den, key, text, digests)
     rows, classes = join.profile()
     found = components(join.links(classes), join.scratch, "final")
     reps = classes.select("node", "rep")
     of = found.join(reps, "node").select("node", "component", "rep")
     least = of.groupBy("component").agg(F.min("rep").alias("first"))
-    labels = join.scratch.stage(of.join(least, "component").select("node", "first"), "labels")
+    labels = join.scratch.stage(of.join(least, "component").select("node", "first", "component"), "labels")
+    join.counts.destroy()
+    join.scratch.drop("lists", "edges")
     named = rows.join(reps, "node", "left").join(labels, "node", "left")
     component = F.when(F.col("n") > 0, F.coalesce("first", "rep")).otherwise(F.col("key"))
     return named.select(
         F.col("key").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("key").isNotNull(), component).alias("component_id"),
+        *([F.col("digest").alias("text_sha256"), F.coalesce("component", "node").alias("group_id")] if digests else []),
     )

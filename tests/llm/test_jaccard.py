@@ -67,3 +67,17 @@ def test_odd_rows(spark):
     rows += [(7, "x y z " * 30_000), (8, "x y z " * 30_000), (9, "a")]
     assert found(spark, rows, 3, 90, 100) == brute(rows, 3, 90, 100)
     assert found(spark, [], 3, 90, 100) == []
+
+
+def test_long_lists_are_split_by_a_second_order(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "SHORT", 3)
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for i in range(70):
+        words = list(base)
+        for _ in range(rnd.choice([0, 1, 2, 12])):
+            words[rnd.randrange(60)] = f"x{rnd.randrange(40)}"
+        docs.append((i, " ".join(words)))
+    assert found(spark, docs, 3, 90, 100) == brute(docs, 3, 90, 100)

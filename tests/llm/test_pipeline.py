@@ -57,3 +57,12 @@ def test_empty_and_odd_tables(spark):
         for name, stage in pipeline.STAGES[:3]:
             frame = spark.createDataFrame(stage(spark, frame, SF).collect(), schema)
         assert frame.count() == expected
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_texts(spark):
+    copy, alone, other = ("one text of eight words that is copied", "a text of its own with nothing shared", "and one more of seven other words")
+    rows = [(3, copy), (5, copy), (5, alone), (8, other), (8, "quite another text under the same id"), (8, other), (9, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id != 9) == sorted({(3, copy), (5, alone), *rows[3:5]})
+    assert len([r for r in kept if r.doc_id == 9]) == 1  # both without a word: one document twice
