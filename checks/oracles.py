@@ -415,11 +415,13 @@ FROM documents WHERE doc_id % 5 = 0"""
     'string_agg', '|') || '|REDUCE:' || string_split('0,' || states, ',')[len(string_split(tokens, ' ')) + 1] || ':$'"""
     q["e2_upload_documents"] = found + f"""
 , {SOURCES.strip()},
-per AS (SELECT file, count(*)::INT AS n, coalesce(string_agg({shown}, ';' ORDER BY i) FILTER (prod IS NOT NULL), '') AS traces
+per AS (SELECT file, string_agg(lineno::VARCHAR || '|' || code || '|' || severity || '|' || message || '|' || coalesce(pattern, '-')
+    || '|-|-|' || coalesce(tokens, '-') || '|' || coalesce(parse_stack, '-'), ';' ORDER BY i) AS found,
+    coalesce(string_agg(string_split(file, '/')[-1] || '|' || {shown}, ';' ORDER BY i) FILTER (prod IS NOT NULL), '') AS traces
   FROM findings WHERE code <> 'SYNTAX_ERROR' GROUP BY file)
 SELECT string_split(c.file, '/')[-1] AS filename, CASE WHEN t <> 15 THEN md5(source) END AS content_md5,
-  CASE WHEN t <> 15 THEN coalesce(n, 0) END AS n, CASE WHEN t <> 15 THEN coalesce(traces, '') END AS traces,
-  CASE WHEN t = 15 THEN 'Syntax error in uploaded file' END AS error
+  CASE WHEN t <> 15 THEN coalesce(found, '') END AS findings, CASE WHEN t <> 15 THEN coalesce(traces, '') END AS traces,
+  CASE WHEN t = 15 THEN 'Syntax error in uploaded file: invalid syntax (f' || ks || '.py, line 1)' END AS error
 FROM corpus c JOIN files USING (file) LEFT JOIN per USING (file)"""
     q["snk1_findings_json"] = found + f"""
 SELECT file AS filename, string_agg(message, ';' ORDER BY i) AS messages, string_agg(severity, ',' ORDER BY i) AS severities,
@@ -574,12 +576,16 @@ SELECT file, lineno, tokens AS sequence, prod, bare = 1 AS fallback FROM finding
     q["r5_grammar_findings"] = found + """
 SELECT file, lineno, code, message, severity, pattern, tokens, parse_stack, prod FROM findings WHERE prod IS NOT NULL"""
     q["r6_explain_match"] = found + """
-, g AS (SELECT *, len(string_split(tokens, ' ')) AS n FROM findings WHERE prod IS NOT NULL)
-SELECT file, lineno, tokens, pattern, repeat('SHIFT,', n) || 'REDUCE' AS actions, '0,' || states AS states,
-  list_aggregate(list_transform(range(n + 1, 1, -1), lambda x: x::VARCHAR), 'string_agg', ',')
-    || ',1' AS remaining,
-  'VULN -> ' || replace(pattern, ' -> ', ' ') AS production, tokens AS symbols_before,
-  CASE WHEN bare = 0 THEN 200 END AS goto_state, parse_stack AS stack_after FROM g"""
+, g AS (SELECT *, string_split(tokens, ' ') AS sy, string_split('0,' || states, ',') AS st FROM findings WHERE prod IS NOT NULL)
+SELECT file, lineno, tokens, 'VULN' AS vulnerability, pattern, severity,
+  replace(message, 'Grammar-based detection: ', '') AS message,
+  array_to_string(list_transform(range(1, len(sy) + 1), lambda i: i::VARCHAR || '|SHIFT|' || st[i] || '|' || sy[i] || '|' || st[i + 1]
+      || '|-|-|' || array_to_string(st[1:i], ',') || '|' || array_to_string(sy[1:i - 1], ' ') || '|' || array_to_string(sy[i:], ' ')
+      || ' $|-|-|-'), ';')
+    || ';' || (len(sy) + 1)::VARCHAR || '|REDUCE|' || st[len(sy) + 1] || '|-|-|VULN -> ' || replace(pattern, ' -> ', ' ') || '|'
+    || prod::VARCHAR || '|' || array_to_string(st, ',') || '|' || tokens || '|$|'
+    || CASE WHEN bare = 0 THEN '200|0,200|VULN' ELSE '-||' END AS steps
+FROM g"""
     from checks.queries import EXTRA_RULE, EXTRA_TYPOS
 
     shown = "SELECT file, word_idx, word, message FROM lint WHERE message IS NOT NULL"
@@ -659,9 +665,11 @@ FROM uses u JOIN scopes s ON s.file = u.file AND s.scope_id < u.ord AND u.ord <=
         "c4_missing_returns": "MISSING_RETURN",
     }.items():
         q[key] = found + plain + quote(code)
-    q["y13_unused_variables"] = f"""
-WITH {FILES.strip()} SELECT file, 13 + CASE t WHEN 9 THEN 5 WHEN 12 THEN 1 WHEN 13 THEN 1 WHEN 16 THEN 1 ELSE 0 END::BIGINT AS unused_variables
-FROM files WHERE t <> 15"""
+    q["y13_unused_variables"] = per_file("""
+, held AS (
+  SELECT file, scope_id, name, lineno FROM syms WHERE kind = 'variable' AND NOT (scope_id = 0 AND name IN (SELECT name FROM builtins))
+  UNION ALL SELECT f.file, 0, b.name, 0 FROM (SELECT DISTINCT file FROM nodes) f, builtins b WHERE b.kind = 'variable')
+SELECT file, scope_id, name, lineno FROM held ANTI JOIN resolved USING (file, scope_id, name)""", name=own("name"))
     q["y14_inferred_types"] = per_file("SELECT file, ord AS assign_ord, inferred_type FROM types")
     from checks.queries import LABELS
 
@@ -692,7 +700,7 @@ SELECT file, name, lineno, {what} FROM inside GROUP BY file, name, lineno, ord""
 SELECT file, lineno, code, message, severity, pattern, tokens, parse_stack, prod, CASE WHEN code = 'SYNTAX_ERROR' THEN 'PHASE_2_SYNTAX' END AS phase,
   NULL::VARCHAR AS error FROM findings"""
     q["p2_sorted_report"] = found + """
-SELECT file, (row_number() OVER (PARTITION BY file ORDER BY CASE severity WHEN 'ERROR' THEN 1 ELSE 2 END, lineno, i))::INT AS nth,
+SELECT row_number() OVER (ORDER BY CASE severity WHEN 'ERROR' THEN 1 ELSE 2 END, file, lineno, i) AS position, file,
   lineno, code, severity, prod FROM findings"""
     counts = """count(*) AS total, count(*) FILTER (severity = 'ERROR') AS errors,
   count(*) FILTER (severity = 'WARNING') AS warnings, count(*) FILTER (severity = 'INFO') AS infos"""
@@ -734,31 +742,40 @@ SELECT file, coalesce(total, 0) AS total_findings, coalesce(g, 0) AS vulnerabili
   CASE WHEN t = 14 AND m >= 4 THEN 1 ELSE 0 END::BIGINT AS high_complexity_functions, scopes::BIGINT AS scopes_created,
   symbols::BIGINT AS symbols_tracked, imports::BIGINT AS imports
 FROM files JOIN facts USING (t) LEFT JOIN n USING (file)"""
+    gated = lambda x: f"CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN coalesce({x}, 0) ELSE 0 END END::BIGINT"
     q["p9_phase_report"] = tokens_sql(CORPUS) + f"""
 , {FILES.strip()},
 {nodes.strip()[len("WITH " + FILES.strip()) + 1:]},
 expected(t, lo, hi, i, lineno, code, message, severity, pattern, tok, parse_stack, prod, bare, states) AS (VALUES
 {values(_expected_rows())}),
 hits(t, n, words) AS (VALUES {values((t, len(w.split()), w) for t, w in HITS.items())}),
-lexical AS (SELECT file, count(*) FILTER (type = 'KEYWORD') AS keywords, count(*) FILTER (type = 'STRING') AS strings
-            FROM tokens GROUP BY file),
-parsed AS (SELECT file, count(*) AS total_nodes, count(*) FILTER (node_type = 'Call') AS calls,
-             count(*) FILTER (node_type = 'alias') AS imports,
-             count(DISTINCT CASE WHEN node_type = 'FunctionDef' THEN name END) AS functions FROM nodes GROUP BY file),
+lexical AS ({stats}),
+typed AS (SELECT file, string_agg(node_type || ':' || n::VARCHAR, ',' ORDER BY node_type || ':' || n::VARCHAR) AS node_types
+  FROM (SELECT file, node_type, count(*) AS n FROM nodes GROUP BY ALL) GROUP BY file),
+parsed AS (SELECT file, count(*) AS total_nodes, count(*) FILTER (node_type IN ('FunctionDef', 'AsyncFunctionDef')) AS functions,
+    count(*) FILTER (node_type = 'ClassDef') AS classes, count(*) FILTER (node_type IN ('Import', 'ImportFrom')) AS imports,
+    count(*) FILTER (node_type = 'Call') AS calls, count(*) FILTER (node_type IN ('Assign', 'AnnAssign')) AS assignments,
+    count(*) FILTER (node_type = 'If') AS ifs, count(*) FILTER (node_type IN ('For', 'While')) AS loops,
+    count(*) FILTER (node_type = 'Try') AS tries, count(*) FILTER (node_type = 'alias') AS aliases,
+    count(DISTINCT CASE WHEN node_type = 'FunctionDef' THEN name END) AS names FROM nodes GROUP BY file),
 counted AS (SELECT file, count(*) AS n, count(*) FILTER (severity = 'ERROR') AS e, count(*) FILTER (severity = 'WARNING') AS w,
             count(*) FILTER (code = 'GRAMMAR_VULN') AS g
           FROM files JOIN expected x ON x.t = files.t AND files.m BETWEEN x.lo AND x.hi GROUP BY file)
-SELECT f.file AS filename, keywords, strings, total_nodes, calls, CASE WHEN f.t = 15 THEN 1 END AS error_line,
-  CASE WHEN f.t <> 15 THEN coalesce(h.n, 0) END::BIGINT AS suspicious_tokens,
-  CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN coalesce(counted.n, 0) ELSE 0 END END AS vulnerabilities_found,
-  CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN coalesce(e, 0) ELSE 0 END END AS errors,
-  CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN coalesce(w, 0) ELSE 0 END END AS warnings,
-  CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN functions ELSE 0 END END AS functions_analyzed,
-  CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN parsed.imports ELSE 0 END END AS imports_found,
-  CASE WHEN f.t <> 15 AND h.n IS NULL THEN 'No suspicious tokens detected' END AS analysis_skipped,
-  CASE WHEN f.t <> 15 THEN 0 END::BIGINT AS patterns_matched,
-  CASE WHEN f.t <> 15 THEN CASE WHEN h.n > 0 THEN coalesce(g, 0) ELSE 0 END END AS grammar_rules_applied
-FROM files f JOIN lexical USING (file) LEFT JOIN parsed ON parsed.file = f.v LEFT JOIN hits h USING (t) LEFT JOIN counted USING (file)"""
+SELECT f.file AS filename, total_tokens AS lex_total_tokens, keywords AS lex_keywords, identifiers AS lex_identifiers,
+  strings AS lex_strings, numbers AS lex_numbers, operators AS lex_operators, comments AS lex_comments,
+  total_nodes AS syn_total_nodes, node_types AS syn_node_types, functions AS syn_functions, classes AS syn_classes,
+  parsed.imports AS syn_imports, calls AS syn_calls, assignments AS syn_assignments, ifs AS syn_if_statements, loops AS syn_loops,
+  tries AS syn_try_blocks, CASE WHEN f.t = 15 THEN 'invalid syntax (f' || ks || '.py, line 1)' END AS syn_error,
+  CASE WHEN f.t = 15 THEN 1 END AS syn_line, CASE WHEN f.t = 15 THEN (9 + length(ks))::INT END AS syn_offset,
+  CASE WHEN f.t <> 15 THEN true END AS sem_prescreened,
+  CASE WHEN f.t <> 15 THEN coalesce(h.n, 0) END::BIGINT AS sem_suspicious_tokens,
+  {gated('counted.n')} AS sem_vulnerabilities_found, {gated('e')} AS sem_errors, {gated('w')} AS sem_warnings,
+  CASE WHEN f.t <> 15 THEN 0 END::BIGINT AS sem_info, {gated('names')} AS sem_functions_analyzed,
+  {gated('aliases')} AS sem_imports_found,
+  CASE WHEN f.t <> 15 AND h.n IS NULL THEN 'No suspicious tokens detected' END AS sem_analysis_skipped,
+  CASE WHEN f.t <> 15 THEN 0 END::BIGINT AS rule_patterns_matched, {gated('g')} AS rule_grammar_rules_applied
+FROM files f JOIN lexical USING (file) LEFT JOIN parsed ON parsed.file = f.v LEFT JOIN typed ON typed.file = f.v
+  LEFT JOIN hits h USING (t) LEFT JOIN counted USING (file)"""
     q["p10_report_lines"] = found + """
 SELECT rpad(severity, 7, ' ') || ' ' || file || ':' || lpad(lineno::VARCHAR, 4, ' ') || ' '
   || CASE WHEN length(code) < 20 THEN rpad(code, 20, ' ') ELSE code END || ' - ' || message AS line

@@ -127,12 +127,18 @@ def _trace_text(t):
 
 @query("e2_upload_documents")
 def _(spark, sf_dir):
-    """The answer to an upload of every source of the corpus."""
+    """The answer to an upload of every source of the corpus, all its findings and traces as text."""
+
+    def shown(f):
+        texts = [f[n].cast("string") for n in ("lineno", "code", "severity", "message", "pattern", "phase", "error")]
+        lists = [joined(f["tokens"], " "), joined(f["parse_stack"])]
+        return F.concat_ws("|", *[F.coalesce(x, F.lit("-")) for x in texts + lists])
+
     answers = analysis(spark, sf_dir).upload_documents()
+    traces = F.transform("parse_traces", lambda t: F.concat_ws("|", t["filename"], _trace_text(t)))
     return answers.select(
-        "filename", F.md5("content").alias("content_md5"), F.size("findings").alias("n"),
-        joined(F.transform("parse_traces", _trace_text), ";").alias("traces"),
-        F.substring_index("error", ": ", 1).alias("error"),
+        "filename", F.md5("content").alias("content_md5"), F.array_join(F.transform("findings", shown), ";").alias("findings"),
+        joined(traces, ";").alias("traces"), "error",
     )
 
 
@@ -225,8 +231,8 @@ def _(spark, sf_dir):
 @query("tok12_prescreen_gate")
 def _(spark, sf_dir):
     a = analysis(spark, sf_dir)
-    kept = tokens.prescreen_gate(a.nodes, a.tokens).select("file", F.lit("kept").alias("gate"))
-    skipped = tokens.prescreen_gate(a.nodes, a.tokens, kept=False).select("file", F.lit("skipped").alias("gate"))
+    kept = a.gate(a.nodes).select("file", F.lit("kept").alias("gate"))
+    skipped = a.gate(a.nodes, kept=False).select("file", F.lit("skipped").alias("gate"))
     return kept.unionByName(skipped).groupBy("file", "gate").agg(F.count(F.lit(1)).alias("n_nodes"))
 
 
@@ -380,15 +386,19 @@ def _(spark, sf_dir):
 
 @query("r6_explain_match")
 def _(spark, sf_dir):
-    steps = F.col("steps")
-    last = F.element_at(steps, -1)
+    """Every field of every step; a missing one is a dash."""
+
+    def shown(s):
+        lists = {"stack_before": ",", "symbols_before": " ", "input_remaining": " ", "stack_after": ",", "symbols_after": " "}
+        fields = ("step", "action", "state", "lookahead", "next_state", "production", "production_num", "stack_before",
+                  "symbols_before", "input_remaining", "goto_state", "stack_after", "symbols_after")
+        return F.concat_ws("|", *[
+            F.coalesce(joined(s[f], lists[f]) if f in lists else s[f].cast("string"), F.lit("-")) for f in fields
+        ])
+
     return analysis(spark, sf_dir).traces.select(
-        "file", "lineno", joined(F.col("tokens"), " ").alias("tokens"), "pattern",
-        joined(F.transform(steps, lambda s: s["action"])).alias("actions"),
-        joined(F.transform(steps, lambda s: s["state"])).alias("states"),
-        joined(F.transform(steps, lambda s: F.size(s["input_remaining"]))).alias("remaining"),
-        last["production"].alias("production"), joined(last["symbols_before"], " ").alias("symbols_before"),
-        last["goto_state"].alias("goto_state"), joined(last["stack_after"]).alias("stack_after"),
+        "file", "lineno", joined(F.col("tokens"), " ").alias("tokens"), "vulnerability", "pattern", "severity", "message",
+        F.array_join(F.transform("steps", shown), ";").alias("steps"),
     )
 
 
@@ -525,8 +535,7 @@ def _(spark, sf_dir):
 @query("y13_unused_variables")
 def _(spark, sf_dir):
     a = analysis(spark, sf_dir)
-    unused = symbols.unused_variables(a.nodes, a.first_definitions, a.resolved)
-    return unused.groupBy("file").agg(F.count(F.lit(1)).alias("unused_variables"))
+    return symbols.unused_variables(a.nodes, a.first_definitions, a.resolved)
 
 
 @query("y14_inferred_types")
@@ -609,13 +618,9 @@ def _flat(df):
 
 @query("p2_sorted_report")
 def _(spark, sf_dir):
-    from pyspark.sql import Window
-
-    ranked = Window.partitionBy("file").orderBy(
-        text.severity_rank(F.col("severity")).desc(), F.coalesce("lineno", F.lit(0)), "emit_key"
-    )
-    ordered = report.sorted_report(analysis(spark, sf_dir).findings.withColumn("nth", F.row_number().over(ranked)))
-    return ordered.select("file", "nth", "lineno", "code", "severity", "prod")
+    """The report with the position of each finding in the order of the whole corpus."""
+    ordered = analysis(spark, sf_dir).numbered_report()
+    return ordered.select("position", "file", "lineno", "code", "severity", "prod")
 
 
 @query("p3_severity_counts")
@@ -668,19 +673,19 @@ def _(spark, sf_dir):
 
 @query("p9_phase_report")
 def _(spark, sf_dir):
+    """All fields of all four phases."""
     nested = analysis(spark, sf_dir, prescreen=True).phase_report()
-    lexical, syntactic = F.col("phase1_lexical_analysis"), F.col("phase2_syntax_analysis")
-    semantic, grammar = F.col("phase3_semantic_analysis"), F.col("phase4_grammar_analysis")
-    return nested.select(
-        "filename", lexical["keywords"].alias("keywords"), lexical["strings"].alias("strings"),
-        syntactic["total_nodes"].alias("total_nodes"), syntactic["calls"].alias("calls"),
-        syntactic["line"].alias("error_line"), semantic["suspicious_tokens"].alias("suspicious_tokens"),
-        semantic["vulnerabilities_found"].alias("vulnerabilities_found"), semantic["errors"].alias("errors"),
-        semantic["warnings"].alias("warnings"), semantic["functions_analyzed"].alias("functions_analyzed"),
-        semantic["imports_found"].alias("imports_found"), semantic["analysis_skipped"].alias("analysis_skipped"),
-        grammar["patterns_matched"].alias("patterns_matched"),
-        grammar["grammar_rules_applied"].alias("grammar_rules_applied"),
-    )
+    phases = {
+        "phase1_lexical_analysis": "lex", "phase2_syntax_analysis": "syn", "phase3_semantic_analysis": "sem",
+        "phase4_grammar_analysis": "rule",
+    }
+    fields = [
+        F.col(f"{phase}.{field.name}").alias(f"{short}_{field.name}")
+        for phase, short in phases.items()
+        for field in nested.schema[phase].dataType.fields
+    ]
+    entries = F.transform(F.map_entries("syn_node_types"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
+    return nested.select("filename", *fields).withColumn("syn_node_types", F.array_join(F.sort_array(entries), ","))
 
 
 @query("p10_report_lines")

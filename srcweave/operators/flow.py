@@ -50,6 +50,12 @@ def flow_owner() -> Column:
     return F.when(role == STEP, step).when(role.isin(PARAMETER, ANNOTATION), F.get(path, F.size(path) - 1)["name"])
 
 
+def counted_owner() -> Column:
+    """Name whose complexity a node row gives a value to: of a function its own, of a branch that of the function around it."""
+    node = F.col("node_type")
+    return F.when(node == "FunctionDef", F.col("name")).when(node.isin(*_BRANCHES), owner_name(F.col("path")))
+
+
 def flow_counts() -> list[Column]:
     """Aggregates over the routed rows of a function, branch or return; numbers only."""
     node, role = F.col("node_type"), F.col("role")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from srcweave.functions.text import ascii_only, severity_rank
@@ -19,12 +19,45 @@ def type_key(code: str = "code", pattern: str = "pattern") -> Column:
 
 def sorted_report(findings: DataFrame) -> DataFrame:
     """Worst severity first, then file and line, then the order of emission."""
-    return findings.orderBy(
+    return findings.orderBy(*_report_order())
+
+
+def _report_order() -> list[Column]:
+    return [
         severity_rank(F.col("severity")).desc(),
         F.coalesce("file", F.lit("")),
         F.coalesce("lineno", F.lit(0)),
-        "emit_key",
-    )
+        F.col("emit_key"),
+    ]
+
+
+_IN_RANGE = 33  # bits a row number within a partition takes in a monotonically increasing id
+
+
+def ranged_report(findings: DataFrame) -> DataFrame:
+    """The sorted report with `place`, which grows along it; to be written down before it is numbered.
+
+    Sorting deals the findings into ranges; a place is the number of the range
+    and the number of the row in it.
+    """
+    ordered = findings.orderBy(*_report_order(), "code", "message", "error")
+    return ordered.withColumn("place", F.monotonically_increasing_id())
+
+
+def numbered_report(ranged: DataFrame) -> DataFrame:
+    """Findings with their `position` in the whole report, from 1, given the written rows of `ranged_report`.
+
+    The rows of each range are counted, the counts summed over the ranges
+    before it, and the sum added to the number within the range.  Only one row
+    per range meets in one task.
+    """
+    span = F.lit(1 << _IN_RANGE)
+    each = F.floor(F.col("place") / span)
+    counted = ranged.groupBy(each.alias("range")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counted.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    rows = ranged.withColumn("range", each).join(F.broadcast(bases), "range")
+    return rows.withColumn("position", F.col("base") + F.col("place") % span + 1).drop("range", "base", "place")
 
 
 def _level_counts() -> list[Column]:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from srcweave.functions import vocab
 from srcweave.operators import features, flow, rules, sql_lint, symbols
 from srcweave.operators.findings import FINDING_FIELDS
 from srcweave.operators.rules import emit_key
@@ -155,6 +156,134 @@ def name_findings(nodes: DataFrame) -> DataFrame:
     )
 
 
+DEFINE, USE, LABEL, BUILTIN, ROOT = 0, 1, 2, 3, 4
+
+
+def name_lifetimes(nodes: DataFrame, *, labels: bool) -> DataFrame:
+    """Defines and resolved uses: (file, scope_id, name, what, at, kind, label, lineno), from one scan.
+
+    `what` is DEFINE or USE, and ROOT for the module node itself (name null).
+    A use is one event for each scope around it and keeps the innermost that
+    holds its name by then; uses of no scope are left out.  `labels` adds the
+    inferred types of defines, and a BUILTIN row for each built-in name; the
+    rows an assigned value becomes go once they have told their assignment.
+    """
+    defines, told = symbols.define_event()
+    root, none = F.col("node_type") == "Module", F.lit(None)
+    fields = {"what": "int", "scope_id": "int", "level": "int", "name": "string", "kind": "string", "ord": "int", "sub": "int",
+              "lineno": "int", "label": "string"}
+
+    def event(what, **columns):
+        given = columns | {"what": F.lit(what)}
+        return F.struct(*[given.get(name, none).cast(kind).alias(name) for name, kind in fields.items()])
+
+    kind = told["kind"]
+    define = event(DEFINE, label=F.when(kind == "import", "module").when(kind.isin("function", "class"), kind), **told)
+    uses = F.transform(
+        symbols.scope_chain(F.col("path")),
+        lambda scope, level: event(USE, scope_id=scope, level=level, name=F.col("name"), ord=F.col("ord"), lineno=F.col("lineno")),
+    )
+    top = F.array(event(ROOT, scope_id=F.lit(symbols.MODULE_SCOPE), ord=F.lit(-1)))
+    chosen = defines | symbols.reads_name() | root
+    unfolded = F.when(defines, F.array(define)).when(symbols.reads_name(), uses)
+    if labels:
+        above, field = F.col("parent_type"), F.col("field")
+        label = symbols.infer_type(F.col("node_type"), F.col("const_kind"), F.col("op"), F.col("dotted"))
+        typed = (above == "Assign") & (field == "value") & label.isNotNull()
+        listed = F.array(*[
+            event(BUILTIN, scope_id=F.lit(symbols.MODULE_SCOPE), name=F.lit(name), ord=F.lit(-1), sub=F.lit(i), lineno=F.lit(0),
+                  kind=F.lit(symbols.builtin_kind(name)))
+            for i, name in enumerate(vocab.BUILTINS)
+        ])
+        top = F.concat(top, listed)
+        chosen, unfolded = chosen | typed, unfolded.when(typed, F.array(event(LABEL, ord=F.col("parent"), label=label)))
+    events = nodes.filter(chosen).select("file", F.inline(unfolded.otherwise(top)))
+    what = F.col("what")
+    if labels:
+        assigned = Window.partitionBy("file", "ord")
+        label = F.max(F.when(what == LABEL, F.col("label"))).over(assigned)
+        events = events.withColumn("told", label).filter(what != LABEL)
+        events = events.withColumn("label", F.when(F.col("kind") == "variable", F.col("told")).otherwise(F.col("label")))
+    same = Window.partitionBy("file", "scope_id", "name")
+    first = F.min(F.when(what == DEFINE, F.col("ord"))).over(same)
+    visible = (F.col("first") < F.col("ord")) | symbols.is_builtin(F.col("scope_id"), F.col("name"))
+    at_level = F.col("level").cast("long") * _PACK + F.col("scope_id")
+    held = events.withColumn("first", first).select(
+        "*",
+        F.when(what != USE, F.col("scope_id")).alias("own"),
+        F.when((what == USE) & visible, at_level).alias("innermost"),
+    )
+    keys = ["file", "what", "ord", "sub", "name", "kind", "label", "lineno", "own"]
+    picked = held.groupBy(*keys).agg((F.max("innermost") % _PACK).cast("int").alias("resolved"))
+    return picked.select(
+        "file", F.coalesce("own", "resolved").alias("scope_id"), "name", "what",
+        (F.col("ord").cast("long") * _PACK + F.coalesce("sub", F.lit(0))).alias("at"), "kind", "label", "lineno",
+    ).filter("scope_id is not null")
+
+
+def symbol_table(nodes: DataFrame) -> DataFrame:
+    """The rows of `symbols.symbol_table` by one scan of the nodes, one list per symbol and no join.
+
+    A list holds the defines and uses of one symbol of one file in time, so it
+    is bounded by what one source row holds.
+    """
+    moments = name_lifetimes(nodes, labels=True).filter(F.col("what") != ROOT)
+    listed = moments.groupBy("file", "scope_id", "name").agg(
+        F.sort_array(F.collect_list(F.struct("at", "what", "kind", "label", "lineno"))).alias("all")
+    )
+    builtin = symbols.is_builtin(F.col("scope_id"), F.col("name"))
+    split = listed.select(
+        "file", "scope_id", "name", builtin.alias("builtin"),
+        F.filter("all", lambda m: m["what"] != USE).alias("defs"),
+        F.transform(F.filter("all", lambda m: m["what"] == USE), lambda m: m["lineno"]).alias("usages"),
+    )
+    telling = F.filter(
+        "defs", lambda m, i: m["label"].isNotNull() & ((m["kind"] == "variable") | ((i == 0) & ~F.col("builtin")))
+    )
+    assigned = F.filter("defs", lambda m: (m["what"] == DEFINE) & (m["kind"] == "variable"))
+    first = F.get("defs", F.lit(0))
+    return split.select(
+        "file", "scope_id", "name",
+        first["kind"].alias("symbol_type"),
+        F.coalesce(F.get(telling, F.size(telling) - 1)["label"], F.when(F.col("builtin"), "builtin")).alias("inferred_type"),
+        first["lineno"].alias("declared_line"),
+        (F.size("usages") > 0).alias("is_used"),
+        F.transform(assigned, lambda m: m["lineno"]).alias("assignments"),
+        "usages",
+    )
+
+
+def name_counts(nodes: DataFrame) -> DataFrame:
+    """counts(file, scopes_created, imports, symbols_tracked, unused_variables) of every module, from one scan.
+
+    Built-in names enter by arithmetic: each module has them all, and those
+    counted as variables are unused until something reads them.
+    """
+    what, kind = F.col("what"), F.col("kind")
+    defined = what == DEFINE
+    per_symbol = name_lifetimes(nodes, labels=False).groupBy("file", "scope_id", "name").agg(
+        F.min(F.when(defined, F.col("at"))).alias("first"),
+        F.min(F.when(defined & (kind == "variable"), F.col("at"))).alias("first_variable"),
+        F.max(F.when(what == USE, 1).otherwise(0)).alias("used"),
+        F.count_if(what == ROOT).alias("roots"),
+        F.count_if(defined & kind.isin("function", "class")).alias("opened"),
+        F.count_if(defined & (kind == "import")).alias("imported"),
+    )
+    builtin = F.coalesce(symbols.is_builtin(F.col("scope_id"), F.col("name")), F.lit(False))
+    own = F.col("first").isNotNull() & ~builtin
+    unused, n_variables = F.col("used") == 0, sum(symbols.builtin_kind(b) == "variable" for b in vocab.BUILTINS)
+    read = builtin & ~unused & ~F.substring("name", 1, 1).between("a", "z")
+    return per_symbol.groupBy("file").agg(
+        F.sum(F.col("roots") + F.col("opened")).alias("scopes_created"),
+        F.sum("imported").alias("imports"),
+        (F.sum("roots") * len(vocab.BUILTINS) + F.count_if(own)).alias("symbols_tracked"),
+        (
+            F.sum("roots") * n_variables - F.count_if(read)
+            + F.count_if(own & unused & (F.col("first") == F.col("first_variable")))
+        ).alias("unused_variables"),
+    )
+
+
 def literal_and_failure_findings(shredded: DataFrame) -> DataFrame:
     """Misspelt SQL in string literals, syntax errors, and files that fail to parse otherwise."""
     text, failure = F.col("const_str"), F.col("error")

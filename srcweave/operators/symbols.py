@@ -34,6 +34,11 @@ def scope_of(path: Column) -> Column:
     return F.element_at(scope_chain(path), -1)
 
 
+def builtin_kind(name: str) -> str:
+    """Built-in names count as functions, capitalised and dunder ones as variables."""
+    return "variable" if name in _VARIABLE_BUILTINS else "function"
+
+
 def is_builtin(scope_id: Column, name: Column) -> Column:
     return (scope_id == MODULE_SCOPE) & name.isin(vocab.BUILTINS)
 

@@ -115,8 +115,8 @@ def filter_tokens(tokens: DataFrame, exclude: tuple[str, ...] = ("COMMENT", "WHI
     return tokens.filter(~F.col("type").isin(*exclude))
 
 
-def token_stats(tokens: DataFrame) -> DataFrame:
-    """Seven counts per file; partial aggregation leaves one row per file to move."""
+def token_stats(tokens: DataFrame, *more: Column) -> DataFrame:
+    """Seven counts per file, and whatever `more` aggregates ask for; partial aggregation leaves one row per file to move."""
     kind = F.col("type")
     counted = kind.endswith("ASSIGN") | kind.isin(vocab.COUNTED_OPERATORS)
     return tokens.groupBy("file").agg(
@@ -127,12 +127,17 @@ def token_stats(tokens: DataFrame) -> DataFrame:
         F.count_if(kind == "NUMBER").alias("numbers"),
         F.count_if(counted).alias("operators"),
         F.count_if(kind == "COMMENT").alias("comments"),
+        *more,
     )
 
 
+def is_suspicious() -> Column:
+    return F.col("value").isin(vocab.SUSPICIOUS_WORDS)
+
+
 def prescreen_hits(tokens: DataFrame) -> DataFrame:
     """hits(file, pos, value): tokens that are a suspicious word."""
-    return tokens.filter(F.col("value").isin(vocab.SUSPICIOUS_WORDS)).select("file", "pos", "value")
+    return tokens.filter(is_suspicious()).select("file", "pos", "value")
 
 
 def prescreen_words(tokens: DataFrame) -> DataFrame:
@@ -144,7 +149,13 @@ def prescreen_words(tokens: DataFrame) -> DataFrame:
     )
 
 
-def prescreen_gate(relation: DataFrame, tokens: DataFrame, *, kept: bool = True) -> DataFrame:
-    """Rows of any per-file relation whose file passes (or fails) the prescreen."""
-    hits = prescreen_hits(tokens).select("file").distinct()
+def prescreen_gate(
+    relation: DataFrame, tokens: DataFrame | None = None, *, kept: bool = True, words: DataFrame | None = None
+) -> DataFrame:
+    """Rows of any per-file relation whose file passes (or fails) the prescreen.
+
+    Takes the tokens, or the `words` that `prescreen_words` made of them: if
+    these are staged in the layout of `relation`, nothing is tokenized or moved.
+    """
+    hits = (prescreen_hits(tokens) if words is None else words).select("file").distinct()
     return relation.join(hits, "file", "left_semi" if kept else "left_anti")

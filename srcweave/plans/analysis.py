@@ -133,7 +133,11 @@ class Analysis:
         """
         if not self.prescreen:
             return self.all_nodes
-        return self.all_nodes.join(self.suspicious.select("file"), "file", "left_semi")
+        return self.gate(self.all_nodes)
+
+    def gate(self, relation: DataFrame, *, kept: bool = True) -> DataFrame:
+        """Rows of a per-file relation whose file passes (or fails) the prescreen, by the staged hits."""
+        return tokens.prescreen_gate(relation, words=self.suspicious, kept=kept)
 
     # -- names -------------------------------------------------------------
 
@@ -152,7 +156,7 @@ class Analysis:
         return self._stage(symbols.resolve(symbols.name_uses(self.nodes), self.first_definitions), "resolved")
 
     def symbol_table(self) -> DataFrame:
-        return symbols.symbol_table(self.nodes, self.first_definitions, self.resolved)
+        return sweeps.symbol_table(self.nodes)
 
     # -- findings ----------------------------------------------------------
 
@@ -218,8 +222,14 @@ class Analysis:
     def report(self) -> DataFrame:
         return report.sorted_report(self.findings)
 
+    def numbered_report(self) -> DataFrame:
+        """The report with the position of each finding as a column."""
+        ranged, name = session.store(report.ranged_report(self.findings), "report")
+        self._staged.append(name)
+        return report.numbered_report(ranged)
+
     def summary(self) -> DataFrame:
-        return summary.semantic_summary(self.nodes, self.first_definitions, self.resolved, self.findings)
+        return summary.semantic_summary(self.nodes, self.findings)
 
     def by_line(self) -> DataFrame:
         return report.findings_by_line(self.findings)
@@ -231,23 +241,8 @@ class Analysis:
         return report.upload_documents(self.sources, self.findings, self.parse_failures, self.extra_rules)
 
     def phase_report(self) -> DataFrame:
-        code = F.col("code")
-        found = self.findings.filter(code.isNotNull() & (code != "SYNTAX_ERROR"))
-        per_file = found.groupBy("file").agg(
-            *[
-                F.count_if(F.col("severity") == level).alias(name)
-                for level, name in (("ERROR", "errors"), ("WARNING", "warnings"), ("INFO", "infos"))
-            ]
-        )
         return summary.phase_report(
-            tokens.token_stats(self.tokens),
-            syntax.syntax_stats(self.all_nodes),
-            syntax.node_type_map(self.all_nodes),
-            findings.syntax_error_stats(self.parse_failures).drop("text"),
-            self.suspicious,
-            self.summary(),
-            per_file,
-            prescreen=self.prescreen,
+            self.tokens, self.shredded, self.findings, self.partitions, prescreen=self.prescreen
         )
 
 

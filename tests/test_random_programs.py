@@ -11,10 +11,11 @@ import random
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from checks.oracles import _walk
 from srcweave.functions import vocab
-from srcweave.operators import flow, symbols
+from srcweave.operators import flow, symbols, syntax
 from srcweave.plans.analysis import Analysis
 
 NAMES = ["a", "b", "f", "g", "print", "len"]
@@ -189,3 +190,30 @@ def test_summary_symbols(work, expected):
     wanted = _rows(expected, """
 SELECT f.file, (SELECT count(*) FROM scopes s WHERE s.file = f.file), count(*) FROM firsts f GROUP BY f.file""")
     assert got == wanted
+
+
+def test_symbol_table_by_one_scan(work):
+    apart = symbols.symbol_table(work.nodes, work.first_definitions, work.resolved)
+    got, wanted = (sorted(map(str, df.select(*apart.columns).collect())) for df in (work.symbol_table(), apart))
+    assert got == wanted and len(got) > 1000
+
+
+def test_summary_of_names(work):
+    unused = symbols.unused_variables(work.nodes, work.first_definitions, work.resolved).groupBy("file").count()
+    assert _collected(work.summary().select("file", "unused_variables")) == _collected(unused)
+    aliases = {r["file"]: r["count"] for r in work.nodes.filter("node_type = 'alias'").groupBy("file").count().collect()}
+    for row in work.summary().select("file", "imports").collect():
+        assert row["imports"] == aliases.get(row["file"], 0)
+
+
+def test_phase_report_equals_single_statistics(work):
+    reports = work.phase_report().select(
+        F.col("filename").alias("file"), "phase2_syntax_analysis.*", "phase3_semantic_analysis.functions_analyzed"
+    )
+    stats = syntax.syntax_stats(work.nodes)
+    assert _collected(reports.select(*stats.columns)) == _collected(stats)
+    owners = flow.final_complexity(work.nodes).groupBy("file").count()
+    some = reports.filter("functions_analyzed > 0").select("file", "functions_analyzed")
+    assert _collected(some) == _collected(owners)
+    maps = {r["file"]: r["node_types"] for r in reports.select("file", "node_types").collect()}
+    assert maps == {r["file"]: r["node_types"] for r in syntax.node_type_map(work.nodes).collect()}

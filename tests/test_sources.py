@@ -309,6 +309,45 @@ def test_all_findings_take_three_scans_and_no_exchange(spark, sources_of):
     work.release()
 
 
+def _scans_and_exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan"), plan.count("Exchange hashpartitioning")
+
+
+def test_names_and_summaries_take_few_scans(spark, sources_of):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        work = Analysis(sources_of({"f.py": "import a\ndef f(x):\n    return eval(a)\n", "bad.py": "def f(:\n"}), partitions=4)
+        assert _scans_and_exchanges(work.symbol_table()) == (1, 0)
+        assert _scans_and_exchanges(work.summary()) == (3, 0)
+        scans, exchanges = _scans_and_exchanges(work.phase_report())
+        assert scans == 2 and exchanges <= 2  # nodes and findings; the texts come from memory
+        assert _scans_and_exchanges(work.gate(work.all_nodes)) == (2, 0)
+        work.release()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_positions_follow_the_report(spark, sources_of):
+    sources = sources_of({f"{i:02}.py": "import os\nimport os\n" + f"eval(a{i})\nprint(b)\n" * (i % 4) for i in range(30)})
+    work = Analysis(sources, partitions=4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = work.numbered_report().orderBy("position").collect()
+        places = report.ranged_report(work.findings).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert places > 1  # several ranges, so the sums over them matter
+    assert [r["position"] for r in numbered] == list(range(1, len(numbered) + 1))
+    columns = work.findings.columns
+    assert [tuple(r[c] for c in columns) for r in numbered] == [tuple(r) for r in work.report().select(*columns).collect()]
+    work.release()
+    empty = Analysis(sources_of({"fine.py": "x = 1\n"}).filter("false"), partitions=2)
+    assert empty.numbered_report().count() == 0
+    empty.release()
+
+
 def test_a_micro_batch_is_one_parse_and_one_write(spark, tmp_path):
     files = [(f"{i}.py", f"def f(a, b):\n    return eval(a + c{i})\n") for i in range(40)]
     df = spark.createDataFrame(files, "file string, source string")
