@@ -12,7 +12,6 @@ codes it in the fewest bits.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +27,6 @@ ORDER = 3
 # Labelled texts learnt from, about so many for each language.
 SAMPLE = 2000
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -78,18 +76,20 @@ def count_grams(labelled: DataFrame, text: str, lang: str) -> DataFrame:
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """Learn from about `sample` labelled texts of each language.
 
     Rows without a text or language teach nothing; a text given twice counts
-    once.  Sampling hashes the row, so it doesn't depend on the layout.
+    once.  Sampling hashes the text alone, so it depends neither on the layout
+    nor on other columns.
     """
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0))
-    sizes = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = F.approx_count_distinct(F.xxhash64(F.col(text))).alias("n")
+    sizes = {r[lang]: r["n"] for r in rows.groupBy(lang).agg(texts).collect()}
     if not sizes:
         return Model([], bytes(256), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
     steps = 1 << 30
-    drawn = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(steps))
+    drawn = F.pmod(F.xxhash64(F.col(text)), F.lit(steps))
     chosen = F.lit(False)
     for name, n in sizes.items():
         chosen |= (F.col(lang) == name) & (drawn < int(steps * min(1.0, sample / n)))
@@ -200,7 +200,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             texts = raw_bytes(batch.column(text))
             names, scores = [], []
             for a, b in slices(texts):
-                lettered = [bool(own.languages) and _LETTER.search(t.decode()) is not None for t in texts[a:b]]
+                lettered = [bool(own.languages) and any(map(str.isalpha, t.decode())) for t in texts[a:b]]
                 if not any(lettered):
                     names += [UNDETERMINED] * (b - a)
                     scores += [0.0] * (b - a)

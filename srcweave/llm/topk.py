@@ -140,7 +140,11 @@ def _best(found: tuple, k: int) -> tuple:
 
 
 def search_lane(blocks, ids: np.ndarray, queries: np.ndarray, rotation: np.ndarray, k: int) -> tuple:
-    """(query number, score, id) of the k best candidates of each query, blocks given longest first."""
+    """(query number, score, id) of the k best candidates of each query, blocks given longest first.
+
+    A block meets QUERY_BLOCK queries at a time, which bounds the tables of
+    scores whatever the number of queries.
+    """
     exact = queries.astype(np.float64)
     turned = exact @ rotation
     lengths = np.sqrt((exact**2).sum(1))
@@ -155,29 +159,36 @@ def search_lane(blocks, ids: np.ndarray, queries: np.ndarray, rotation: np.ndarr
         if not len(alive):
             break
         c = vectors.astype(np.float64)
-        if largest * float(np.abs(c).max(initial=0)) * c.shape[1] >= _EXACT:
-            scores = queries[alive].astype(np.int64) @ vectors.astype(np.int64).T
-            open_ = np.ones(scores.shape, bool)
-        else:
+        wide = largest * float(np.abs(c).max(initial=0)) * c.shape[1] >= _EXACT
+        if not wide:
             cr = c @ rotation
-            upper = turned[alive, :HEAD] @ cr[:, :HEAD].T
-            upper += rest[alive, None] * np.sqrt((cr[:, HEAD:] ** 2).sum(1))[None, :]
-            open_ = upper + slack[alive, None] >= bar[alive, None]
-            if open_.mean() > 0.1:
-                scores = np.rint(exact[alive] @ c.T).astype(np.int64)
+            left_over = np.sqrt((cr[:, HEAD:] ** 2).sum(1))
+        hits = [found]
+        for some in (alive[at : at + QUERY_BLOCK] for at in range(0, len(alive), QUERY_BLOCK)):
+            if wide:
+                scores = queries[some].astype(np.int64) @ vectors.astype(np.int64).T
+                open_ = np.ones(scores.shape, bool)
             else:
-                i, j = np.nonzero(open_)
-                scores = np.zeros(open_.shape, np.int64)
-                for a in range(0, len(i), 1 << 16):
-                    p, q = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
-                    scores[p, q] = np.rint(np.einsum("nd,nd->n", exact[alive[p]], c[q])).astype(np.int64)
-        open_ &= own[None, :] != ids[alive, None]
-        low = np.where(open_, scores, np.iinfo(np.int64).min)
-        if low.shape[1] > k:  # only what may be among the block's own k best
-            open_ &= scores >= np.partition(low, -k, axis=1)[:, -k][:, None]
-        open_ &= scores >= bar[alive, None]
-        i, j = np.nonzero(open_)
-        found = _best(tuple(map(np.concatenate, zip(found, (alive[i], scores[i, j], own[j]), strict=True))), k)
+                upper = turned[some, :HEAD] @ cr[:, :HEAD].T
+                upper += rest[some, None] * left_over[None, :]
+                open_ = upper + slack[some, None] >= bar[some, None]
+                if open_.mean() > 0.1:
+                    scores = np.rint(exact[some] @ c.T).astype(np.int64)
+                else:
+                    i, j = np.nonzero(open_)
+                    scores = np.zeros(open_.shape, np.int64)
+                    for a in range(0, len(i), 1 << 16):
+                        p, q = i[a : a + (1 << 16)], j[a : a + (1 << 16)]
+                        scores[p, q] = np.rint(np.einsum("nd,nd->n", exact[some[p]], c[q])).astype(np.int64)
+            open_ &= own[None, :] != ids[some, None]
+            low = np.where(open_, scores, np.iinfo(np.int64).min)
+            if low.shape[1] > k:  # only what may be among the block's own k best
+                open_ &= scores >= np.partition(low, -k, axis=1)[:, -k][:, None]
+            open_ &= scores >= bar[some, None]
+            i, j = np.nonzero(open_)
+            # ties may be many: of the block's own hits only the best go on
+            hits.append(_best((some[i], scores[i, j], own[j]), k))
+        found = _best(tuple(map(np.concatenate, zip(*hits, strict=True))), k)
         n = np.bincount(found[0], minlength=len(ids))
         full = np.flatnonzero(n == k)
         bar[full] = found[1][(np.cumsum(n) - 1)[full]]

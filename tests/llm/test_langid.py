@@ -61,10 +61,15 @@ def test_held_out_accuracy(spark):
 def test_odd_rows(spark):
     schema = "doc_id long, text string, lang string, score string, lang_pred int"
     rows = [(1, None, "en", "x", 1), (2, "", "en", "x", 1), (3, "123 !?", "fr", "x", 1), (4, "the cat", "en", "x", 1)]
+    rows += [(7, "½ ² Ⅷ _", "en", "x", 1), (8, "½ e", "en", "x", 1)]  # number signs aren't letters
     rows += [(4, "the cat", "en", "x", 1), (5, "le chat été", "fr", None, None), (6, "the " * 50_000, None, "", 0)]
     docs = spark.createDataFrame(rows, schema)
     found = {(r.doc_id, r.lang_pred, r.score > 0) for r in langid.predict(docs, langid.train(docs)).collect()}
-    assert {(1, "und", False), (2, "und", False), (3, "und", False), (4, "en", True), (6, "en", True)} <= found
+    assert {(1, "und", False), (2, "und", False), (3, "und", False), (7, "und", False), (4, "en", True), (6, "en", True)} <= found
+    assert all(lang != "und" for i, lang, _ in found if i == 8)
+    other_ids = docs.withColumn("doc_id", F.col("doc_id") * 1000)  # ids have no part in what is learnt
+    a, b = (langid.train(d, sample=1) for d in (docs, other_ids))
+    assert a.symbols == b.symbols and (a.bits == b.bits).all()
     nothing = langid.train(docs.limit(0))
     assert {r.lang_pred for r in langid.predict(docs, nothing).collect()} == {"und"}
     assert langid.predict(docs.limit(0), nothing).count() == 0

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -82,3 +83,21 @@ def brute_row(q, v, others, k):
     """What one query row finds; repeated rows are told apart."""
     scores = sorted((-sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(v, w, strict=True)), i) for i, w in others)
     return [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
+
+
+def test_memory_of_many_queries():
+    rng = np.random.default_rng(3)
+    queries = rng.integers(-300, 300, (16 * 512, 64)).astype(np.int16)
+    block = rng.integers(-300, 300, (topk.BLOCK, 64)).astype(np.int16)
+    longest = float(np.sqrt((block.astype(float) ** 2).sum(1)).max())
+    blocks = [(longest, np.arange(topk.BLOCK) + 10_000, block)] * 2
+    tracemalloc.start()
+    try:
+        at, score, _ = topk.search_lane(blocks, np.arange(len(queries)), queries, np.eye(64), 5)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 250 << 20
+    every = queries[:50].astype(np.int64) @ block.astype(np.int64).T
+    for q in range(50):
+        assert score[at == q].tolist() == np.sort(np.concatenate([every[q], every[q]]))[::-1][:5].tolist()
