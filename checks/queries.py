@@ -786,6 +786,7 @@ def _(spark, sf_dir):
 
     schema = table(spark, sf_dir, "documents").schema
     out = _scratch(spark, "counts")
-    docs = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    # a pattern that names one path alone: the table may be one file or a folder of them
+    docs = spark.readStream.schema(schema).parquet(f"{sf_dir}/documents.parque[t]")
     stream_counts(source_table(docs, "doc_id", "text"), out, out + "_progress").awaitTermination()
     return spark.read.parquet(out)

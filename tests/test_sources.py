@@ -386,3 +386,12 @@ def test_shared_file_names_are_refused(spark):
     df = spark.createDataFrame([("a.py", "x = 1\n"), ("a.py", "y = 2\n")], "file string, source string")
     with pytest.raises(ValueError, match="share the file name 'a.py'"):
         Analysis(df).shredded
+
+
+def test_streamed_counts_read_a_table_of_many_files(spark, tmp_path):
+    from checks.queries import REGISTRY
+
+    docs = spark.createDataFrame([(i, "SELCT a FORM t") for i in range(6)], "doc_id long, text string")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    found = REGISTRY["st2_stream_counts"](spark, str(tmp_path))
+    assert {r["type"]: r["n"] for r in found.collect()} == {"SQL_SYNTAX_ERROR": 12}
