@@ -395,3 +395,20 @@ def test_streamed_counts_read_a_table_of_many_files(spark, tmp_path):
     docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     found = REGISTRY["st2_stream_counts"](spark, str(tmp_path))
     assert {r["type"]: r["n"] for r in found.collect()} == {"SQL_SYNTAX_ERROR": 12}
+
+
+def test_corpus_folders_hold_a_part_at_a_time(spark, tmp_path, monkeypatch):
+    from checks import queries
+
+    spark.createDataFrame([(i,) for i in range(60)], "o_orderkey long").write.parquet(str(tmp_path / "in" / "orders.parquet"))
+    monkeypatch.setattr(queries, "_scratch", lambda spark, label: f"file://{tmp_path}/{label}")
+    whole = {name: sorted(map(str, queries.REGISTRY[name](spark, str(tmp_path / "in")).collect())) for name in ("src1_scan_sources",)}
+    monkeypatch.setattr(queries, "FOLDER_FILES", 25)
+    monkeypatch.setattr(queries, "_scratch", lambda spark, label: f"{tmp_path}/parts/{label}")
+    held = []
+    for _ in queries._corpus_folders(spark, str(tmp_path / "in"), str(tmp_path / "some")):
+        held.append(sum(f.is_file() and f.suffix == ".py" for f in (tmp_path / "some").rglob("*")))
+    assert sum(held) == 60 and max(held) < 60 and not (tmp_path / "some").exists()
+    for name in ("src1_scan_sources", "src5_stream_sources"):
+        rows = sorted(map(str, queries.REGISTRY[name](spark, str(tmp_path / "in")).collect()))
+        assert rows == whole["src1_scan_sources"] and len(rows) == 60
