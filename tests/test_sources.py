@@ -397,6 +397,17 @@ def test_streamed_counts_read_a_table_of_many_files(spark, tmp_path):
     assert {r["type"]: r["n"] for r in found.collect()} == {"SQL_SYNTAX_ERROR": 12}
 
 
+def test_nodes_are_written_without_a_sort(spark, sources_of, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    seen, conf, save = [], "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.saveAsTable
+    before = spark.conf.get(conf)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda self, name: seen.append(int(spark.conf.get(conf))) or save(self, name))
+    table, name = session.stage(sources_of({"a.py": "x = 1", "b.py": "y = 2"}), "probe", 3)
+    assert table.count() == 2 and seen[0] > 0 and spark.conf.get(conf) == before
+    session.unstage(spark, name)
+
+
 def test_corpus_folders_hold_a_part_at_a_time(spark, tmp_path, monkeypatch):
     from checks import queries
 
