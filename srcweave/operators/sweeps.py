@@ -165,8 +165,8 @@ def name_lifetimes(nodes: DataFrame, *, labels: bool) -> DataFrame:
     `what` is DEFINE or USE, and ROOT for the module node itself (name null).
     A use is one event for each scope around it and keeps the innermost that
     holds its name by then; uses of no scope are left out.  `labels` adds the
-    inferred types of defines, and a BUILTIN row for each built-in name; the
-    rows an assigned value becomes go once they have told their assignment.
+    inferred types of defines; the rows an assigned value becomes go once they
+    have told their assignment.
     """
     defines, told = symbols.define_event()
     root, none = F.col("node_type") == "Module", F.lit(None)
@@ -190,12 +190,6 @@ def name_lifetimes(nodes: DataFrame, *, labels: bool) -> DataFrame:
         above, field = F.col("parent_type"), F.col("field")
         label = symbols.infer_type(F.col("node_type"), F.col("const_kind"), F.col("op"), F.col("dotted"))
         typed = (above == "Assign") & (field == "value") & label.isNotNull()
-        listed = F.array(*[
-            event(BUILTIN, scope_id=F.lit(symbols.MODULE_SCOPE), name=F.lit(name), ord=F.lit(-1), sub=F.lit(i), lineno=F.lit(0),
-                  kind=F.lit(symbols.builtin_kind(name)))
-            for i, name in enumerate(vocab.BUILTINS)
-        ])
-        top = F.concat(top, listed)
         chosen, unfolded = chosen | typed, unfolded.when(typed, F.array(event(LABEL, ord=F.col("parent"), label=label)))
     events = nodes.filter(chosen).select("file", F.inline(unfolded.otherwise(top)))
     what = F.col("what")
@@ -225,16 +219,24 @@ def symbol_table(nodes: DataFrame) -> DataFrame:
     """The rows of `symbols.symbol_table` by one scan of the nodes, one list per symbol and no join.
 
     A list holds the defines and uses of one symbol of one file in time, so it
-    is bounded by what one source row holds.
+    is bounded by what one source row holds.  Built-in names are no events: one
+    that a file defines or uses gets its definition put before the others, and
+    the module's row becomes the rest of them, all known beforehand.
     """
-    moments = name_lifetimes(nodes, labels=True).filter(F.col("what") != ROOT)
-    listed = moments.groupBy("file", "scope_id", "name").agg(
+    moment = "struct<at:bigint,what:int,kind:string,label:string,lineno:int>"
+    listed = name_lifetimes(nodes, labels=True).groupBy("file", "scope_id", "name").agg(
         F.sort_array(F.collect_list(F.struct("at", "what", "kind", "label", "lineno"))).alias("all")
     )
-    builtin = symbols.is_builtin(F.col("scope_id"), F.col("name"))
-    split = listed.select(
-        "file", "scope_id", "name", builtin.alias("builtin"),
-        F.filter("all", lambda m: m["what"] != USE).alias("defs"),
+    builtin = F.coalesce(symbols.is_builtin(F.col("scope_id"), F.col("name")), F.lit(False))
+    met = F.collect_list(F.when(F.col("builtin"), F.col("name"))).over(Window.partitionBy("file"))
+    rows = listed.withColumn("builtin", builtin).withColumn("met", met)
+    by_kind = {kind: [n for n in vocab.BUILTINS if symbols.builtin_kind(n) == kind] for kind in map(symbols.builtin_kind, vocab.BUILTINS)}
+    kind_of = F.coalesce(*[F.when(F.col("name").isin(names), F.lit(kind)) for kind, names in by_kind.items()])
+    declared = F.struct(F.lit(-1).alias("at"), F.lit(BUILTIN).alias("what"), kind_of.alias("kind"), F.lit(None).alias("label"), F.lit(0).alias("lineno"))
+    told = F.filter("all", lambda m: m["what"] != USE)
+    split = rows.select(
+        "file", "scope_id", "name", "builtin", "met",
+        F.when(F.col("builtin"), F.concat(F.array(declared.cast(moment)), told)).otherwise(told).alias("defs"),
         F.transform(F.filter("all", lambda m: m["what"] == USE), lambda m: m["lineno"]).alias("usages"),
     )
     telling = F.filter(
@@ -242,8 +244,8 @@ def symbol_table(nodes: DataFrame) -> DataFrame:
     )
     assigned = F.filter("defs", lambda m: (m["what"] == DEFINE) & (m["kind"] == "variable"))
     first = F.get("defs", F.lit(0))
-    return split.select(
-        "file", "scope_id", "name",
+    symbol = F.struct(
+        "scope_id", "name",
         first["kind"].alias("symbol_type"),
         F.coalesce(F.get(telling, F.size(telling) - 1)["label"], F.when(F.col("builtin"), "builtin")).alias("inferred_type"),
         first["lineno"].alias("declared_line"),
@@ -251,6 +253,17 @@ def symbol_table(nodes: DataFrame) -> DataFrame:
         F.transform(assigned, lambda m: m["lineno"]).alias("assignments"),
         "usages",
     )
+    nothing = F.array().cast("array<int>")
+    every = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(symbols.builtin_kind(n)).alias("kind")) for n in vocab.BUILTINS])
+    others = F.transform(
+        F.filter(every, lambda b: ~F.array_contains("met", b["name"])),
+        lambda b: F.struct(
+            F.lit(symbols.MODULE_SCOPE).alias("scope_id"), b["name"].alias("name"), b["kind"].alias("symbol_type"),
+            F.lit("builtin").alias("inferred_type"), F.lit(0).alias("declared_line"), F.lit(False).alias("is_used"),
+            nothing.alias("assignments"), nothing.alias("usages"),
+        ),
+    )
+    return split.select("file", F.inline(F.when(F.col("name").isNull(), others).otherwise(F.array(symbol))))
 
 
 def name_counts(nodes: DataFrame) -> DataFrame:

@@ -408,6 +408,21 @@ def test_nodes_are_written_without_a_sort(spark, sources_of, monkeypatch):
     session.unstage(spark, name)
 
 
+def test_builtin_names_pass_no_window(spark, sources_of):
+    from srcweave.functions import vocab
+    from srcweave.operators import sweeps, symbols
+
+    work = Analysis(sources_of({"a.py": "print(len(x))\nlen = 3\nsum(len)\n", "b.py": "", "c.py": "def f(print):\n    return print\n"}))
+    rows = sweeps.name_lifetimes(work.nodes, labels=True)
+    assert rows.filter(F.col("name").isin(list(vocab.BUILTINS))).filter("file = 'b.py'").count() == 0
+    columns = sorted(work.symbol_table().columns)
+    plain = symbols.symbol_table(work.nodes)
+    assert sorted(plain.columns) == columns
+    swept, apart = (sorted(map(str, df.select(columns).collect())) for df in (work.symbol_table(), plain))
+    assert swept == apart
+    work.release()
+
+
 def test_corpus_folders_hold_a_part_at_a_time(spark, tmp_path, monkeypatch):
     from checks import queries
 
