@@ -438,3 +438,24 @@ def test_corpus_folders_hold_a_part_at_a_time(spark, tmp_path, monkeypatch):
     for name in ("src1_scan_sources", "src5_stream_sources"):
         rows = sorted(map(str, queries.REGISTRY[name](spark, str(tmp_path / "in")).collect()))
         assert rows == whole["src1_scan_sources"] and len(rows) == 60
+
+
+def test_a_micro_batch_is_dealt_by_its_bytes(spark, sources_of, monkeypatch):
+    monkeypatch.setattr(session.partitions_for, "__defaults__", (50,))
+    work = Analysis(sources_of({f"{i}.py": f"x = {i:094}\n" for i in range(20)}), staged=False)
+    assert work.shredded.rdd.getNumPartitions() == 40  # twenty texts of 99 bytes, 50 to a partition
+    work.release()
+
+
+def test_a_feed_grows_in_files_not_in_their_size(spark, tmp_path, monkeypatch):
+    from checks import queries
+
+    spark.createDataFrame([(i,) for i in range(60)], "o_orderkey long").write.parquet(str(tmp_path / "in" / "orders.parquet"))
+    fed = {}
+    for name, most in (("whole", 64 << 20), ("parts", 700)):
+        monkeypatch.setattr(queries, "_scratch", lambda spark, label: f"{tmp_path}/{name}/{label}")
+        monkeypatch.setattr(queries, "FEED_BYTES", most)
+        rows = sorted(map(str, queries.REGISTRY["st1_stream_scan"](spark, str(tmp_path / "in")).collect()))
+        fed[name] = (len(list((tmp_path / name / "feed").glob("*.parquet"))), rows)
+    assert fed["whole"][0] == 6 and fed["parts"][0] > 6
+    assert fed["whole"][1] == fed["parts"][1] != []
