@@ -301,9 +301,9 @@ def node_type_map(nodes: DataFrame) -> DataFrame:
 
 def top_node_types(nodes: DataFrame, limit: int = 10) -> DataFrame:
     """Most frequent node types per file; ties in breadth-first order of first sight."""
-    counted = nodes.groupBy("file", "node_type").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("depth", "ord")).alias("seen")
-    )
+    # depth, then position, as one number: a struct would turn the hash aggregate into a sort of all nodes
+    first = F.col("depth").cast("long") * (1 << 32) + F.col("ord")
+    counted = nodes.groupBy("file", "node_type").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("seen"))
     ranking = Window.partitionBy("file").orderBy(F.desc("n"), "seen")
     return (
         counted.withColumn("rank", F.row_number().over(ranking))

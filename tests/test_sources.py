@@ -459,3 +459,15 @@ def test_a_feed_grows_in_files_not_in_their_size(spark, tmp_path, monkeypatch):
         fed[name] = (len(list((tmp_path / name / "feed").glob("*.parquet"))), rows)
     assert fed["whole"][0] == 6 and fed["parts"][0] > 6
     assert fed["whole"][1] == fed["parts"][1] != []
+
+
+def test_node_type_counts_hash(spark, sources_of):
+    from srcweave.operators import syntax
+
+    work = Analysis(sources_of({"a.py": "y = [x for x in z]\nx = 1\n", "b.py": "f(1)(2)\n"}))
+    top = syntax.top_node_types(work.nodes, 10)
+    assert "SortAggregate" not in top._jdf.queryExecution().executedPlan().toString()
+    rows = sorted((r["file"], r["rank"], r["node_type"], r["n"]) for r in top.collect())
+    # ties by depth, then by position within it
+    assert [r[2:] for r in rows if r[0] == "b.py"] == [("Call", 2), ("Constant", 2), ("Module", 1), ("Expr", 1), ("Name", 1), ("Load", 1)]
+    work.release()
