@@ -471,3 +471,16 @@ def test_node_type_counts_hash(spark, sources_of):
     # ties by depth, then by position within it
     assert [r[2:] for r in rows if r[0] == "b.py"] == [("Call", 2), ("Constant", 2), ("Module", 1), ("Expr", 1), ("Name", 1), ("Load", 1)]
     work.release()
+
+
+def test_a_compressed_sink_holds_the_same_documents(spark, sources_of, tmp_path):
+    work = Analysis(sources_of({f"{i}.py": "eval(open(x + y))\n" for i in range(300)}), partitions=2)
+    size, rows = {}, {}
+    for codec in (None, "gzip"):
+        out = tmp_path / str(codec)
+        sinks.write_findings_json(work.findings, str(out), per_file=True, compression=codec)
+        size[codec] = sum(f.stat().st_size for f in out.glob("part-*"))
+        rows[codec] = sorted(r["value"] for r in spark.read.text(str(out)).collect())
+    work.release()
+    assert rows[None] == rows["gzip"] and len(rows["gzip"]) == 300
+    assert size["gzip"] * 5 < size[None]
