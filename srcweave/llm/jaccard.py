@@ -1,10 +1,9 @@
-"""Jaccard join of shingle sets with several global orders.
+"""Jaccard join of shingle sets by prefixes under a global order.
 
 Two sets of similarity t or more share a token among the first
 n - ceil(t n) + 1 of each, under any order of all tokens.  A posting is written
 for these tokens under one order, rarest words first; two documents meet only
-in a list of one token.  A pair must then also share such prefix tokens under
-the other orders, and only pairs all filters let through are verified, exactly.
+in a list of one token, and what meets is verified, exactly.
 
 Documents with equal sets are one node from the start.  What is wanted is the
 components of the link graph, so a long list isn't turned into all its pairs:
@@ -13,9 +12,18 @@ a metric, and the limit e = 1 - t, members within e are linked with the centre
 and need no comparison with each other; members beyond 2e cannot link with
 those, and go on as a list of their own with another centre; those between are
 compared with the near ones they may still reach, |d(x,c) - d(y,c)| <= e, unless
-already in their component.  Lists of SHORT members or fewer give their pairs.
-A list that is still long after ROUNDS centres is dealt by the prefix tokens of
-a second order: members of it meet only where they share one of these as well.
+already in the centre's component.  The centre is a member with the fewest rarer
+tokens before the list's: of near copies the one with the fewest words of its own.
+Lists of SHORT members or fewer give their pairs.
+
+What is still long after ROUNDS centres, and what lies between, are documents
+alike but mostly not linked.  To know that takes all their comparisons, but no row
+for each: members are dealt into blocks of BLOCK, two blocks with their sets are
+one cell, and a cell counts what its sets share by a matrix product and gives the
+links of a spanning forest, at most one for each member.  So the rows grow with
+the members times their blocks.  A list of more than SPLIT is dealt by the prefix
+tokens of a second order first: members of it meet only where they share one of
+these as well.
 """
 
 from __future__ import annotations
@@ -33,9 +41,11 @@ from srcweave.llm.shingles import mixed, shingle_sets
 
 # Counters of words, by hash; their sum over all documents orders the tokens.
 BUCKETS = 1 << 20
-ORDERS = 3
 SHORT = 24
 ROUNDS = 3
+# Members of a block: two fill a cell, some megabytes of sets.
+BLOCK = 512
+SPLIT = 8192
 # Ids up to which a filter on nodes is broadcast (16 bytes each); beyond it the join shuffles.
 FEW = 1_000_000
 
@@ -97,7 +107,8 @@ class _Join:
         kinds = "digest string, n long, node long, bucket long, words long"
         schema = f"key {self.docs.schema['key'].dataType.simpleString()}, {kinds}"
         digest = F.sha2(F.coalesce("text", F.lit("")), 256) if self.digests else F.lit(None).cast("string")
-        both = self.scratch.stage(self.docs.withColumn("digest", digest).mapInArrow(run, schema), "profile")
+        with small_batches(self.spark, 1000):
+            both = self.scratch.stage(self.docs.withColumn("digest", digest).mapInArrow(run, schema), "profile")
         rows = both.where("bucket is null").select("key", "digest", "n", "node")
         sums = both.where("bucket is not null").groupBy("bucket").agg(F.sum("words").alias("words")).toArrow()
         counts = np.zeros(BUCKETS, np.int64)
@@ -141,7 +152,8 @@ class _Join:
         def make(tokens: np.ndarray, common: np.ndarray) -> tuple:
             return len(tokens), _prefix(_ordered(tokens, common, 0), num, den).tobytes()
 
-        signed = self.scratch.stage(self._sets(classes, make, "n long, prefix binary", filtered=False), "signed")
+        with small_batches(self.spark, 1000):
+            signed = self.scratch.stage(self._sets(classes, make, "n long, prefix binary", filtered=False), "signed")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in (b.slice(at, 1000) for b in batches for at in range(0, b.num_rows, 1000)):
@@ -154,7 +166,7 @@ class _Join:
                 yield pa.RecordBatch.from_arrays(arrays, names=["token", "node", "n", "pos"])
 
         postings = signed.select("node", "n", "prefix").mapInArrow(run, "token long, node long, n int, pos int")
-        sizes = postings.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).where("size > 1")
+        sizes = _measured(postings)
         found = self.scratch.stage(postings.join(sizes, "token"), "lists")
         self.scratch.drop("signed")
         return found
@@ -172,32 +184,75 @@ class _Join:
         met = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.node") < F.col("b.node")) & self.fits("a", "b"))
         return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
-    def prefixes(self, nodes: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-        """(node, order1, …): prefixes of these nodes under the other orders."""
+    def dealt(self, lists: DataFrame, classes: DataFrame) -> DataFrame:
+        """(token, part, low, high, node): cells in which all members of a list meet."""
         num, den = self.num, self.den
 
         def make(tokens: np.ndarray, common: np.ndarray) -> tuple:
-            return tuple(_prefix(_ordered(tokens, common, i), num, den).view(np.int64) for i in range(1, ORDERS))
+            return (_prefix(_ordered(tokens, common, 1), num, den).view(np.int64),)
+
+        members = lists.where(F.col("size") <= SPLIT).select("token", F.lit(0).cast("long").alias("part"), "node", "size")
+        huge = lists.where(F.col("size") > SPLIT).select("token", "node")
+        if not huge.isEmpty():
+            wanted = self.scratch.stage(classes.join(huge.select("node").distinct(), "node"), "split-wanted")
+            with small_batches(self.spark, 2000):
+                seconds = self.scratch.stage(self._sets(wanted, make, "seconds array<long>", filtered=True), "split-sets")
+            split = huge.join(seconds.select("node", F.explode("seconds").alias("part")), "node")
+            sizes = split.groupBy("token", "part").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+            members = members.unionByName(split.join(sizes, ["token", "part"]))
+        blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        return (
+            members.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .select("token", "part", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node")
+        )
 
-        wanted = self.scratch.stage(classes.join(nodes, "node"), f"{name}-asked")
-        fields = ", ".join(f"order{i} array<long>" for i in range(1, ORDERS))
-        with small_batches(self.spark, 2000):
-            found = self.scratch.stage(self._sets(wanted, make, fields, filtered=True), f"{name}-prefixes")
-        self.scratch.drop(f"{name}-asked")
-        return found
+    def crossed(self, near: DataFrame, middle: DataFrame, reach: float) -> DataFrame:
+        """(token, part, low, high, node): cells in which near members meet the middle ones; part -1, -2, … is the turn."""
+        by = ["token", "part"]
+        asked = middle.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.min("apart").alias("least"))
+        near = near.join(asked, by).where(F.col("apart") >= F.col("least") - reach)
+        given = near.groupBy(by).agg(F.count(F.lit(1)).alias("columns"))
+
+        def placed(rows: DataFrame, own: str, other: str, low: str, high: str) -> DataFrame:
+            blocks, others = (F.ceil(F.col(c) / BLOCK).cast("int") for c in (own, other))
+            return rows.select(
+                *by, F.pmod(F.xxhash64("node"), blocks).cast("int").alias(low),
+                F.explode(F.sequence(F.lit(0), others - 1)).alias(high), "node",
+            ).select(*by, "low", "high", "node")
+
+        return placed(near.join(given, by), "columns", "rows", "low", "high").unionByName(
+            placed(middle.join(asked, by).join(given, by), "rows", "columns", "high", "low")
+        )
 
-    def candidates(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-        """Pairs whose prefixes meet under the other orders too; only short prefixes move for it."""
-        pairs = self.scratch.stage(pairs, f"{name}-met")
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        of = self.prefixes(nodes, classes, name)
-        one, two = (
-            of.select(F.col("node").alias(c), *[F.col(f"order{i}").alias(f"{c}{i}") for i in range(1, ORDERS)]) for c in ("a", "b")
+    def cells(self, sent: DataFrame, classes: DataFrame) -> DataFrame:
+        """Edges (a, b) with the same components as the links inside these cells."""
+        num, den = self.num, self.den
+        sent = self.scratch.stage(sent, "cells-sent")
+        wanted = self.scratch.stage(classes.join(sent.select("node").distinct(), "node"), "cells-wanted")
+
+        def make(tokens: np.ndarray, common: np.ndarray) -> tuple:
+            return (tokens.tobytes(),)
+
+        with small_batches(self.spark, 1000):
+            sets = self.scratch.stage(self._sets(wanted, make, "tokens binary", filtered=True), "cells-sets")
+
+        def run(table: pa.Table) -> pa.Table:
+            node = table.column("node").to_numpy()
+            label = _forest(raw_bytes(table.column("tokens")), num, den)
+            at = np.flatnonzero(label != np.arange(len(label)))
+            return pa.table([pa.array(node[label[at]]), pa.array(node[at])], names=["a", "b"])
+
+        found = (
+            sent.join(sets, "node")
+            .groupBy("token", "part", "low", "high")
+            .applyInArrow(run, "a long, b long")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .distinct()
         )
-        both = pairs.join(one, "a").join(two, "b")
-        for i in range(1, ORDERS):
-            both = both.where(F.arrays_overlap(f"a{i}", f"b{i}"))
-        return both.select("a", "b")
+        found = self.scratch.stage(found, "cells")
+        self.scratch.drop("cells-sent", "cells-wanted", "cells-sets", "split-wanted", "split-sets")
+        return found
 
     def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
         """(a, b, shared, united) of the pairs, by their whole sets."""
@@ -236,22 +291,9 @@ class _Join:
             found = self.scratch.stage(
                 both.mapInArrow(run, "a long, b long, shared long, united long"), f"{name}-verified"
             )
-        self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets", f"{name}-met", f"{name}-prefixes")
+        self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets")
         return found
 
-    def pairs_split(self, lists: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs of long lists, met only where they share a prefix token of a second order as well."""
-        nodes = lists.select("node").distinct()
-        seconds = self.prefixes(nodes, classes, "split").select("node", F.explode("order1").alias("second"))
-        dealt = lists.select("token", "node", "n", "pos").join(seconds, "node")
-        a, b = dealt.alias("a"), dealt.alias("b")
-        met = a.join(
-            b,
-            (F.col("a.token") == F.col("b.token")) & (F.col("a.second") == F.col("b.second"))
-            & (F.col("a.node") < F.col("b.node")) & self.fits("a", "b"),
-        )
-        return met.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-
     def linked(self, verified: DataFrame) -> DataFrame:
         return verified.where(F.col("shared") * self.den >= F.col("united") * self.num).select("a", "b")
 
@@ -259,10 +301,11 @@ class _Join:
         """Edges (a, b) with the same components as all links."""
         lists = self.lists(classes)
         edges: list[DataFrame] = []
-        between: list[DataFrame] = []  # (token, x, y) that may link although their centre didn't settle it
+        nears: list[DataFrame] = []  # (token, part, node, center, apart) of each turn
+        middles: list[DataFrame] = []  # those that may link with near ones although their centre didn't settle it
         short = [lists.where(F.col("size") <= SHORT)]
         long_ = lists.where(F.col("size") > SHORT)
-        share = self.num / self.den
+        limit, slack = 1 - self.num / self.den, 1e-9
         for turn in range(ROUNDS):
             if long_.isEmpty():
                 break
@@ -272,50 +315,71 @@ class _Join:
             apart = (F.lit(1.0) - F.col("shared") / F.col("united")).alias("apart")
             members = self.scratch.stage(
                 long_.join(known.select(F.col("a").alias("center"), F.col("b").alias("node"), apart), ["center", "node"], "left")
-                .select("token", "node", "n", "pos", F.coalesce("apart", F.lit(0.0)).alias("apart")),
+                .select("token", F.lit(-1 - turn).cast("long").alias("part"), "node", "center", "n", "pos", F.coalesce("apart", F.lit(0.0)).alias("apart")),
                 f"members-{turn}",
             )
-            limit, slack = 1 - share, 1e-9
-            near = members.where(F.col("apart") <= limit + slack)
             rest = members.where(F.col("apart") > limit - slack)
-            middle = rest.where(F.col("apart") <= 2 * limit + slack)
-            between.append(
-                middle.alias("a")
-                .join(
-                    near.alias("b"),
-                    (F.col("a.token") == F.col("b.token"))
-                    & (F.col("a.node") != F.col("b.node"))
-                    & (F.col("a.apart") - F.col("b.apart") <= limit + slack)
-                    & self.fits("a", "b"),
-                )
-                .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-            )
-            sizes = rest.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("center")).where("size > 1")
-            again = self.scratch.stage(rest.drop("apart").join(sizes, "token"), f"long-{turn}")
+            nears.append(members.where(F.col("apart") <= limit + slack).drop("n", "pos"))
+            middles.append(rest.where(F.col("apart") <= 2 * limit + slack).drop("n", "pos"))
+            left = rest.select("token", "node", "n", "pos")
+            again = self.scratch.stage(left.join(_measured(left), "token"), f"long-{turn}")
             short.append(again.where(F.col("size") <= SHORT))
             long_ = again.where(F.col("size") > SHORT)
-        pairs = self.pairs_within(short[0])
-        for more in short[1:]:
-            pairs = pairs.unionByName(self.pairs_within(more)).distinct()
-        if not long_.isEmpty():
-            pairs = pairs.unionByName(self.pairs_split(long_, classes)).distinct()
-        edges.append(self.linked(self.verified(self.candidates(pairs, classes, "short"), classes, "short")))
-        found = self.scratch.stage(_union(edges), "edges")
-        if not between:
-            return found
-        reach = components(found, self.scratch, "reach")
-        x, y = (reach.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in ("a", "b"))
-        open_ = (
-            _union(between)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-            .join(x, "a", "left")
-            .join(y, "b", "left")
-            .where(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-            .select("a", "b")
-        )
-        met = self.candidates(open_, classes, "between")
-        return found.unionByName(self.linked(self.verified(met, classes, "between")))
+        # a token's list is short once, so all lists meet themselves in one join
+        pairs = self.pairs_within(_union(short))
+        sent = [] if long_.isEmpty() else [self.dealt(long_, classes)]
+        if edges:
+            reach = components(self.scratch.stage(_union(edges), "edges"), self.scratch, "reach")
+
+            def apart_from(rows: DataFrame, a: str, b: str) -> DataFrame:
+                """Rows whose nodes aren't known to be in one component."""
+                x, y = (reach.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")) for c in (a, b))
+                both = rows.join(x, a, "left").join(y, b, "left")
+                return both.where(F.coalesce(f"c{a}", a) != F.coalesce(f"c{b}", b)).select(rows.columns)
+
+            pairs = apart_from(pairs, "a", "b")
+            middle = self.scratch.stage(apart_from(_union(middles), "node", "center"), "middle")
+            sent.append(self.crossed(_union(nears), middle, limit + slack))
+        if sent:
+            edges.append(self.cells(_union(sent), classes))
+        edges.append(self.linked(self.verified(pairs, classes, "pairs")))
+        return _union(edges)
+
+
+def _measured(lists: DataFrame) -> DataFrame:
+    """(token, size, center) of the lists with more than one member."""
+    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min_by("node", "pos").alias("center"))
+    return sizes.where("size > 1")
+
+
+def _forest(sets: list[bytes], num: int, den: int) -> np.ndarray:
+    """Of each set the smallest place reachable by links among these sets."""
+    sizes = np.array([len(x) // 8 for x in sets], np.int64)
+    tokens, of = np.frombuffer(b"".join(sets), np.uint64), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(tokens)
+    tokens, of = tokens[order], of[order]
+    new = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+    name = np.cumsum(new) - 1
+    common = np.bincount(name) > 1  # a token of one set is shared with none
+    kept = common[name]
+    of, name = of[kept], (np.cumsum(common) - 1)[name[kept]]
+    shared = np.zeros((len(sets), len(sets)), np.float32)  # counts below 2^24 are exact
+    width = 2048
+    for first in range(0, int(common.sum()), width):
+        a, b = np.searchsorted(name, (first, first + width))
+        has = np.zeros((len(sets), width), np.float32)
+        has[of[a:b], name[a:b] - first] = 1
+        shared += has @ has.T
+    shared = shared.astype(np.int64)
+    link = shared * den >= (sizes[:, None] + sizes - shared) * num
+    label = np.arange(len(sets))
+    np.fill_diagonal(link, True)
+    while True:
+        least = np.where(link, label, len(sets)).min(axis=1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -348,7 +412,8 @@ def similar_documents(
     least = of.groupBy("component").agg(F.min("rep").alias("first"))
     labels = join.scratch.stage(of.join(least, "component").select("node", "first", "component"), "labels")
     join.counts.destroy()
-    join.scratch.drop("lists", "edges")
+    turns = [f"{name}-{turn}" for turn in range(ROUNDS) for name in ("star", "members", "long")]
+    join.scratch.drop("lists", "edges", "middle", "cells", "pairs-verified", *(t + "-verified" * t.startswith("star") for t in turns))
     named = rows.join(reps, "node", "left").join(labels, "node", "left")
     component = F.when(F.col("n") > 0, F.coalesce("first", "rep")).otherwise(F.col("key"))
     return named.select(

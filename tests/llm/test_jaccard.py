@@ -81,3 +81,37 @@ def test_long_lists_are_split_by_a_second_order(spark, monkeypatch):
             words[rnd.randrange(60)] = f"x{rnd.randrange(40)}"
         docs.append((i, " ".join(words)))
     assert found(spark, docs, 3, 90, 100) == brute(docs, 3, 90, 100)
+
+
+def alike(n, changed):
+    """Documents that share most of their words with one text, and no two of which are linked at 90 %."""
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    docs = []
+    for i in range(n):
+        words = list(base)
+        for at in rnd.sample(range(100), changed):
+            words[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(words)))
+    return docs
+
+
+def test_documents_alike_but_not_linked_are_not_expanded_into_pairs(spark, monkeypatch):
+    rows, before = [], jaccard._Join.verified
+
+    def counted(self, pairs, *args):
+        out = before(self, pairs, *args)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard._Join, "verified", counted)
+    docs = alike(200, 3) + [(1000 + i, t) for i, t in alike(200, 1)]
+    assert found(spark, docs, 3, 90, 100) == brute(docs, 3, 90, 100)
+    assert sum(rows) < 20 * len(docs)  # all pairs: 79,800
+
+
+def test_very_long_lists_are_split_and_compared_in_blocks(spark, monkeypatch):
+    for name, value in (("ROUNDS", 0), ("SHORT", 3), ("BLOCK", 8), ("SPLIT", 20)):
+        monkeypatch.setattr(jaccard, name, value)
+    docs = alike(60, 2) + [(1000 + i, t) for i, t in alike(30, 1)]
+    assert found(spark, docs, 3, 90, 100) == brute(docs, 3, 90, 100)
