@@ -12,9 +12,9 @@ work is cut down first, without losing a string:
    that a smaller document also has is covered whole; what is left are the
    first holders of each context of an anchor that has several.
 2. Suffix sort.  The contexts left are grouped by anchor, so strings that may
-   be equal meet; each group of contexts is sorted by the difference-cover
-   method (`suffixes`) and neighbours with LENGTH equal bytes are compared:
-   the strings whose smallest holder is another document are covered.
+   be equal meet; the suffixes of each group of contexts are sorted to LENGTH
+   bytes by prefix tripling (`suffixes`): of suffixes with one rank, the strings
+   whose smallest holder is another document are covered.
 3. Covered strings come back to their documents and are cut out.
 
 Contexts of an anchor with very many of them (text repeated everywhere with

@@ -1,61 +1,45 @@
-"""Suffix ranks by the difference-cover method (period 3), to a given depth."""
+"""Suffix ranks by prefix tripling, to a given depth."""
 
 from __future__ import annotations
 
 import numpy as np
 
+# Bits of a symbol or rank; three fill a sort key.
+_BITS = 21
+
 
 def suffix_ranks(s: np.ndarray, depth: int) -> np.ndarray:
     """Rank of every suffix of `s` by its first `depth` symbols; suffixes equal that far share a rank.
 
     Symbols are from 1 to 2^21 - 1, as is the length; behind the end stand
-    zeros.  Triples at the positions 1 and 2 modulo 3 are sorted and named; the
-    string of names is ranked by the same method to a third of the depth; the
-    remaining suffixes are sorted by their first symbol and the rank behind it
-    and merged in; at last each prefix is compared with its neighbour's.
+    zeros.  As many symbols as a 63-bit key holds are sorted first.  Ranks by d
+    symbols then give ranks by up to 3 d: three of them, of which the last two
+    may overlap, make the next key.  Bytes take three sorts to a depth of 50.
     """
     n = len(s)
-    t = np.concatenate((s, np.zeros(depth + 3, s.dtype))).astype(np.int64)
-    first, second, third = t[:n], t[1 : n + 1], t[2 : n + 2]
-    triple = (first << 42) | (second << 21) | third
-    if depth <= 3:
-        return np.unique(triple >> (21 * (3 - depth)), return_inverse=True)[1]
-    one, two = np.arange(1, n, 3), np.arange(2, n, 3)
-    names = np.unique(np.concatenate((triple[one], triple[two])), return_inverse=True)[1] + 1
-    deeper = -(-depth // 3)
-    inner = np.concatenate((names[: len(one)], [0], names[len(one) :])) + 1  # a low symbol between the halves
-    ranks = suffix_ranks(inner, deeper)
-    rank = np.zeros(n + 3, np.int64)
-    rank[one], rank[two] = ranks[: len(one)] + 1, ranks[len(one) + 1 :] + 1
-    zero = np.arange(0, n, 3)
-    width = int(rank.max()) + 1
-    # Sorted classes: each by symbols up to a sampled suffix, and its rank.
-    key0 = first[zero] * width + rank[zero + 1]
-    zero = zero[np.argsort(key0, kind="stable")]
-    one = one[np.argsort(first[one] * width + rank[one + 1], kind="stable")]
-    pair = (first << 21) | second
-    two = two[np.argsort(rank[two], kind="stable")]
-    low = np.searchsorted(first[one] * width + rank[one + 1], first[zero] * width + rank[zero + 1])
-    # (two symbols, rank) may exceed 64 bits: name the pairs first
-    named = np.unique(np.concatenate((pair[zero], pair[two])), return_inverse=True)[1]
-    pair0, pair2 = named[: len(zero)], named[len(zero) :]
-    key2 = pair2 * width + rank[two + 2]
-    two = two[np.argsort(key2, kind="stable")]
-    high = np.searchsorted(np.sort(key2), pair0 * width + rank[zero + 2])
-    # Sampled suffixes in one order, the others put between them.
-    sampled = np.concatenate((one, two))
-    sampled = sampled[np.argsort(rank[sampled], kind="stable")]
-    before = np.maximum.accumulate(low + high) if len(zero) else low
-    order = np.empty(n, np.int64)
-    at = np.arange(len(zero)) + before
-    free = np.ones(n, bool)
-    free[at] = False
-    order[at] = zero
-    order[free] = sampled
-    same = np.ones(n - 1, bool)
-    for i in range(depth):
-        column = t[order + i]
-        same &= column[1:] == column[:-1]
-    out = np.empty(n, np.int64)
-    out[order] = np.concatenate(([0], np.cumsum(~same)))
-    return out
+    bits = max(1, int(s.max()).bit_length()) if n else 1
+    have = max(1, min(depth, 63 // bits))
+    key = np.zeros(n, np.int64)
+    for i in range(have):
+        key <<= bits
+        key[: max(n - i, 0)] |= s[i:]
+    ranks = _ranked(key)
+    while have < depth:
+        following = min(depth, 3 * have)
+        # 0 is behind the end
+        one = ranks + 1
+        key = one << (2 * _BITS)
+        for place, at in ((1, min(have, following - have)), (0, following - have)):
+            key[: max(n - at, 0)] |= one[at:] << (place * _BITS)
+        ranks, have = _ranked(key), following
+    return ranks
+
+
+def _ranked(keys: np.ndarray) -> np.ndarray:
+    order = np.argsort(keys)
+    held = keys[order]
+    new = np.zeros(len(keys), np.int64)
+    new[1:] = held[1:] != held[:-1]
+    ranks = np.empty(len(keys), np.int64)
+    ranks[order] = np.cumsum(new)
+    return ranks

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from srcweave.llm import repeats
+from srcweave.llm import repeats, suffixes
 from srcweave.llm.suffixes import suffix_ranks
 
 LENGTH = repeats.LENGTH
@@ -21,6 +21,24 @@ def test_suffix_ranks_against_sorting():
         assert suffix_ranks(s, depth).tolist() == [names[p] for p in prefixes]
 
 
+def test_suffix_ranks_take_three_sorts(monkeypatch):
+    sorted_, before = [], suffixes._ranked
+
+    def counted(keys):
+        sorted_.append(len(keys))
+        return before(keys)
+
+    monkeypatch.setattr(suffixes, "_ranked", counted)
+    s = np.random.default_rng(3).integers(1, 257, 400)
+    s = np.concatenate((s, s[20:90], [2**18], s))  # symbols of 19 bits as well
+    for text, sorts in ((s[:400], 3), (s, 4)):
+        prefixes = [tuple(text[i : i + LENGTH].tolist()) for i in range(len(text))]
+        names = {p: i for i, p in enumerate(sorted(set(prefixes)))}
+        sorted_.clear()
+        assert suffix_ranks(text, LENGTH).tolist() == [names[p] for p in prefixes]
+        assert len(sorted_) == sorts
+
+
 def brute(rows):
     first: dict[bytes, int] = {}
     for key, text in rows:
