@@ -21,7 +21,11 @@ import pyarrow.compute as pc
 from srcweave.llm.common import raw_bytes, worker_memory
 
 # Pieces a worker keeps in each of two generations; about 250 bytes each.
-KEPT = 120_000
+KEPT = 200_000
+# Splits letters and single digits off everything else, so a piece ends wherever a mark follows a letter or digit.
+_APART = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# 1 for ASCII letters and digits, 2 for ASCII marks
+_KIND = np.array([1 if chr(b).isalnum() else 2 if 32 < b < 127 else 0 for b in range(128)] + [0] * 128, np.uint8)
 # Letters that are their own composed form and whose lower case is one letter.
 _LATIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
@@ -48,12 +52,18 @@ def _words_whole(tokenizer) -> bool:
     )
 
 
+def _split_regex(tokenizer) -> str | None:
+    """The pattern of a first pre-tokenizer that splits by one."""
+    return json.loads(tokenizer.to_str())["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex")
+
+
 class _Pieces(dict):
     """bytes of a piece -> its ids as unsigned 32-bit integers."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.model = tokenizer.model if _words_whole(tokenizer) else None
+        self.parted = self.model is not None and _split_regex(tokenizer) == _APART
         self.letters = _byte_letters()
         self.older: dict[bytes, bytes] = {}
         added = tokenizer.get_added_tokens_decoder().values()
@@ -72,6 +82,27 @@ class _Pieces(dict):
             return text
         return low
 
+    def apart(self, texts: list[bytes]) -> pa.Array:
+        """The texts, with a blank put between an ASCII letter or digit and an ASCII mark, if that leaves their ids as they are.
+
+        So a word is looked up once, whatever marks follow it.  The
+        pre-tokenizer ends a piece at these places, and no ASCII mark composes
+        with what stands before it.  Added tokens are matched before, so a text
+        that holds one stays as it is.
+        """
+        flat = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        if self.parted:
+            kind = _KIND[flat]
+            cut = np.flatnonzero((kind[:-1] == 1) & (kind[1:] == 2)) + 1
+            holds = np.array([any(a in low for a in self.added) for low in map(bytes.lower, texts)], bool)
+            if holds.any():
+                cut = cut[~holds[np.searchsorted(ends, cut, "right")]]
+            flat = np.insert(flat, cut, 32)
+            ends = ends + np.searchsorted(cut, ends)
+        offsets = pa.py_buffer(np.concatenate(([0], ends)))
+        return pa.Array.from_buffers(pa.large_string(), len(texts), [None, offsets, pa.py_buffer(flat)])
+
     def _ids(self, piece: str) -> bytes:
         if self.model is not None and _LATIN.fullmatch(piece):
             word = piece.lower().encode().decode("latin-1").translate(self.letters)
@@ -82,7 +113,9 @@ class _Pieces(dict):
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.older.get(piece)
-        if ids is None:
+        if ids is None and self.model is not None and piece.isalpha() and piece.islower():
+            ids = array("I", [token.id for token in self.model.tokenize(piece.decode())]).tobytes()
+        elif ids is None:
             low, stem, tail = self.lowered(piece), piece, b""
             if low is piece and self.model is not None and len(piece) > 1 and piece[-1] in b".,":
                 if _LATIN.fullmatch(piece[:-1].decode()):  # the mark behind a word is a piece of its own
@@ -122,10 +155,11 @@ def encode(texts: pa.Array, table: _Pieces) -> tuple[np.ndarray, np.ndarray]:
     Words are told apart by Arrow, so that only the distinct ones of these
     texts are looked up.
     """
-    raw = [table.lowered(t) for t in raw_bytes(texts)]  # fewer distinct words
-    words = pc.ascii_split_whitespace(pa.array(raw, pa.large_binary()).cast(pa.large_string()))
+    # lowered and parted there are fewer distinct words
+    words = pc.ascii_split_whitespace(table.apart([table.lowered(t) for t in raw_bytes(texts)]))
     named = words.flatten().dictionary_encode()
-    known = [table[w] for w in named.dictionary.cast(pa.large_binary()).to_pylist()]
+    distinct = named.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    known = [table[w] for w in distinct.tolist()]
     flat = np.frombuffer(b"".join(known), np.uint32)
     sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
     codes = named.indices.to_numpy()

@@ -100,3 +100,34 @@ def test_marks_that_compose_with_ascii_letters_have_two_first_bytes():
             for letter in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if not "\ud800" <= c <= "\udfff" else "":
                 if not unicodedata.normalize("NFC", letter + c).startswith(letter):
                     assert c.encode()[0] in (0xCC, 0xCD)
+
+
+# Where marks meet letters, digits, combining marks, contractions and added tokens.
+PARTED = [
+    "don't x''s I'll!! a'S 1's rock'n'roll, 'tis. we're... o'ver'vers",
+    "a≮b ≠ c≯ a`̀ x.́y z,̧, 12,3.4%5 a_b_c e-mail@host.tld/x?y=1&z=[2]",
+    "end,", "", ",begin", "café, café!! é…. x…, a€$, ١, 中, á! É, \x1fa,\x7f.b",
+    "see<|endoftext|>, a<|startoftext|>.b <|endoftext|", "<|EndOfText|>, x,<|x|>,",
+]
+
+
+@pytest.mark.parametrize("ordinary", [False, True])
+def test_words_parted_from_marks_have_the_ids_of_the_whole_text(ordinary):
+    library = Tokenizer.from_file(tokenizer_path())
+    library.encode_special_tokens = ordinary
+    marks = [chr(b) for b in range(33, 127) if not chr(b).isalnum()]
+    every = [" ".join(f"a{m}{n}B 1{m}s {m}{n}t x{m}{n}" for m in marks for n in marks)]
+    for texts in PARTED, every, [p.upper() for p in PARTED]:
+        ids, sizes = wordcache.encode(pa.array(texts), wordcache._Pieces(library))
+        given = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert ids.tolist() == sum(given, [])
+        assert sizes.tolist() == [len(g) for g in given]
+
+
+def test_a_word_is_encoded_once_whatever_marks_follow():
+    library = Tokenizer.from_file(tokenizer_path())
+    table = wordcache._Pieces(library)
+    ends = ["", ",", ".", "!!", ";", ":", ")", '"', "***", "..."]
+    words = [a + b for a in ("gan", "tel", "mor", "sip", "ruk") for b in ("ban", "del", "for", "tip", "luk")]
+    wordcache.encode(pa.array([" ".join(w + e for w in words for e in ends)]), table)
+    assert len(table) <= len(words) + len(ends)
