@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from srcweave.llm import decontaminate, jaccard, langid, mixing, token_files
-from srcweave.llm.common import Scratch, restored, without
+from srcweave.llm.common import Scratch, lower_batches, restored, without
 from srcweave.llm.queries import held_out, tokenizer_path
 
 
@@ -15,6 +15,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Only learnt languages are compared, so a longer text passes in any language.
     """
+    lower_batches(spark)
     model = langid.train(docs.where(~held_out()))
     found = langid.predict(without(docs, "lang_pred", "score"), model)
     return restored(found.where("lang_pred <> 'und' and score > 0.5").drop("lang_pred", "score"))
@@ -45,6 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that hold no ten consecutive words of a benchmark item."""
+    lower_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.find_benchmark(without(docs, "found"), items, width=10)
     return restored(found.where("found.n_hit = 0").drop("found"))
@@ -58,6 +60,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write token files of the mixture and give each document's place, count and checksum in them."""
+    lower_batches(spark)
     path = Scratch(spark, "token-files").path("documents")
     token_files.write_token_files(docs, path, tokenizer_path(), end_id=2)
     return token_files.token_checksums(spark, path, key="doc_id")

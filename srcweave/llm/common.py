@@ -30,7 +30,14 @@ class Scratch:
         return f"{self.root}/{name}"
 
     def stage(self, df: DataFrame, name: str, **options) -> DataFrame:
-        df.write.options(**options).parquet(self.path(name))
+        # what was shuffled for a table is of no use once it is written, and may be larger than the input
+        setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "true")
+        try:
+            df.write.options(**options).parquet(self.path(name))
+        finally:
+            self.spark.conf.set(setting, before)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, *names: str) -> None:
@@ -51,6 +58,16 @@ def small_batches(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def lower_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python at most `rows` rows at a time from now on, for frames of whole documents that are run later.
+
+    A batch is held by the JVM, outside its heap and in buffers that double, and by the worker, given and returned.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = int(spark.conf.get(name))
+    spark.conf.set(name, min(rows, before) if before > 0 else rows)
+
+
 _KEPT = "__given_"
 
 

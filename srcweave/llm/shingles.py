@@ -9,6 +9,8 @@ from srcweave.llm.common import slices, worker_memory
 # A-Z to a-z; the six ASCII white-space bytes to a blank; every other byte is part of a word.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in (9, 10, 11, 12, 13) else b for b in range(256))
 _STEP = 0x9E3779B97F4A7C15 | 1
+# Text hashed at a time; some 50 bytes of numbers stand for each of its bytes.
+SLICE = 256 << 10
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -24,7 +26,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     memory = worker_memory("hashes")
     held = memory.get("powers")
     if held is None or len(held[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 2 * SLICE)
         up, down = np.full(size, _STEP, np.uint64), np.full(size, pow(_STEP, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1
         memory["powers"] = held = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
@@ -58,10 +60,10 @@ def shingle_sets(
     """
     out: list[tuple[np.ndarray, np.ndarray | None]] = []
     turn = [np.uint64((2 * i + 1) * 0xA0761D6478BD642F & 0xFFFFFFFFFFFFFFFF) for i in range(width)]
-    for a, b in slices(texts):
+    for a, b in slices(texts, SLICE):
         words, sizes = _word_hashes(texts[a:b])
         if tally is not None:
-            tally += np.bincount((words & np.uint64(len(tally) - 1)).astype(np.int64), minlength=len(tally))
+            np.add.at(tally, (words & np.uint64(len(tally) - 1)).astype(np.int64), 1)
         common = None if counts is None else counts[(words & np.uint64(len(counts) - 1)).astype(np.int64)]
         joint = np.zeros(max(0, len(words) - width + 1), np.uint64)
         for i in range(width):

@@ -1,9 +1,12 @@
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from srcweave.llm import jaccard
+from srcweave.llm.shingles import shingle_sets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -115,3 +118,13 @@ def test_very_long_lists_are_split_and_compared_in_blocks(spark, monkeypatch):
         monkeypatch.setattr(jaccard, name, value)
     docs = alike(60, 2) + [(1000 + i, t) for i, t in alike(30, 1)]
     assert found(spark, docs, 3, 90, 100) == brute(docs, 3, 90, 100)
+
+
+def test_hashing_many_texts_takes_memory_for_a_slice_only():
+    texts, tally = [b"some words of one text " * 1000] * 400, np.zeros(1 << 20, np.int64)
+    shingle_sets(texts[:20], 3, tally=tally)
+    tracemalloc.start()
+    shingle_sets(texts, 3, tally=tally)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18 << 20

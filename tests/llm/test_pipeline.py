@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 pipeline = pytest.importorskip("corpus_pipeline")
 
 from srcweave.llm import mixing  # noqa: E402
+from srcweave.llm.common import Scratch  # noqa: E402
 from srcweave.llm.queries import tokenizer_path  # noqa: E402
 from tests.llm.test_decontaminate import brute as hits  # noqa: E402
 from tests.llm.test_jaccard import brute as classes  # noqa: E402
@@ -66,3 +68,31 @@ def test_rows_that_repeat_an_id_are_judged_by_their_texts(spark):
     kept = pipeline.near_duplicates(spark, docs, SF).collect()
     assert sorted((r.doc_id, r.text) for r in kept if r.doc_id != 9) == sorted({(3, copy), (5, alone), *rows[3:5]})
     assert len([r for r in kept if r.doc_id == 9]) == 1  # both without a word: one document twice
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if f.rsplit("/")[-1].startswith("shuffle_") and f.endswith(".data")}
+
+    before, scratch = held(), Scratch(spark, "test")
+    rows = scratch.stage(spark.range(1000).repartition(3, "id").groupBy("id").count(), "rows")
+    until = time.time() + 10  # they are removed beside what runs next
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before
+    assert rows.count() == 1000
+    scratch.drop("rows")
+
+
+@pytest.mark.parametrize("stage", ["language", "benchmark"])
+def test_python_gets_few_documents_at_a_time(spark, stage):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 10_000)
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+        dict(pipeline.STAGES)[stage](spark, docs, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(name)) <= 1000
+    finally:
+        spark.conf.set(name, before)
