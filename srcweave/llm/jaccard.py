@@ -228,7 +228,7 @@ class _Join:
     def cells(self, sent: DataFrame, classes: DataFrame) -> DataFrame:
         """Edges (a, b) with the same components as the links inside these cells."""
         num, den = self.num, self.den
-        sent = self.scratch.stage(sent, "cells-sent")
+        sent = self.scratch.stage(_distinct_cells(self.scratch.stage(sent, "cells-all")), "cells-sent")
         wanted = self.scratch.stage(classes.join(sent.select("node").distinct(), "node"), "cells-wanted")
 
         def make(tokens: np.ndarray, common: np.ndarray) -> tuple:
@@ -251,7 +251,7 @@ class _Join:
             .distinct()
         )
         found = self.scratch.stage(found, "cells")
-        self.scratch.drop("cells-sent", "cells-wanted", "cells-sets", "split-wanted", "split-sets")
+        self.scratch.drop("cells-all", "cells-sent", "cells-wanted", "cells-sets", "split-wanted", "split-sets")
         return found
 
     def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
@@ -352,6 +352,18 @@ def _measured(lists: DataFrame) -> DataFrame:
     return sizes.where("size > 1")
 
 
+def _distinct_cells(sent: DataFrame) -> DataFrame:
+    """The rows of one cell of all that have the same nodes, as lists of several tokens often do; its links are theirs.
+
+    Nodes are compared by their number and two sums of 64-bit hashes.
+    """
+    by = ["token", "part", "low", "high"]
+    sums = [F.sum(F.xxhash64("node", F.lit(i)).cast("decimal(20,0)")).alias(f"sum{i}") for i in (0, 1)]
+    kinds = sent.groupBy(*by).agg(F.count(F.lit(1)).alias("members"), *sums)
+    first = kinds.groupBy("members", "sum0", "sum1").agg(F.min(F.struct(*by)).alias("cell")).select("cell.*")
+    return sent.join(first, by).select(sent.columns)
+
+
 def _forest(sets: list[bytes], num: int, den: int) -> np.ndarray:
     """Of each set the smallest place reachable by links among these sets."""
     sizes = np.array([len(x) // 8 for x in sets], np.int64)

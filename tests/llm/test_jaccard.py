@@ -128,3 +128,10 @@ def test_hashing_many_texts_takes_memory_for_a_slice_only():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 18 << 20
+
+
+def test_cells_of_the_same_members_are_sent_once(spark):
+    cells = {(7, 0, 0, 0): (1, 2, 3), (8, 0, 0, 1): (3, 2, 1), (9, -1, 0, 0): (1, 2), (9, -2, 0, 0): (1, 2, 4)}
+    sent = spark.createDataFrame([(*c, n) for c, nodes in cells.items() for n in nodes], "token long, part long, low int, high int, node long")
+    found = [tuple(r) for r in jaccard._distinct_cells(sent).collect()]
+    assert sorted(found) == sorted((*c, n) for c, nodes in cells.items() if c[0] != 8 for n in nodes)
