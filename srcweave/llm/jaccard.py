@@ -24,6 +24,11 @@ links of a spanning forest, at most one for each member.  So the rows grow with
 the members times their blocks.  A list of more than SPLIT is dealt by the prefix
 tokens of a second order first: members of it meet only where they share one of
 these as well.
+
+Sets sent to cells and to pairs grow faster than the documents: in a list of m
+members each is sent to m / BLOCK cells.  So they are sent in waves, each of no
+more bytes than all sets have together, and what one wave shuffled is gone
+before the next.
 """
 
 from __future__ import annotations
@@ -46,6 +51,8 @@ ROUNDS = 3
 # Members of a block: two fill a cell, some megabytes of sets.
 BLOCK = 512
 SPLIT = 8192
+# Bytes of sets that may be sent at a time, even if all documents have fewer.
+ROOM = 256 << 20
 # Ids up to which a filter on nodes is broadcast (16 bytes each); beyond it the join shuffles.
 FEW = 1_000_000
 
@@ -115,7 +122,14 @@ class _Join:
         counts[sums["bucket"].to_numpy()] = sums["words"].to_numpy()
         self.counts = self.spark.sparkContext.broadcast(counts)
         classes = rows.where("n > 0 and key is not null").groupBy("node").agg(F.min("key").alias("rep"), F.max("n").alias("n"))
-        return rows, self.scratch.stage(classes, "classes")
+        classes = self.scratch.stage(classes, "classes")
+        self.room = max(ROOM, 8 * (classes.agg(F.sum("n")).first()[0] or 0))
+        return rows, classes
+
+    def waves(self, sent: DataFrame, node: str, classes: DataFrame) -> int:
+        """In how many waves to send the set of `node` along with every row."""
+        sizes = classes.select(F.col("node").alias(node), "n")
+        return max(1, -(-8 * (sent.join(sizes, node).agg(F.sum("n")).first()[0] or 0) // self.room))
 
     def _sets(self, wanted: DataFrame, make, schema: str, *, filtered: bool) -> DataFrame:
         """`make(node, tokens, common)` for one document of every wanted (node, rep)."""
@@ -243,15 +257,15 @@ class _Join:
             at = np.flatnonzero(label != np.arange(len(label)))
             return pa.table([pa.array(node[label[at]]), pa.array(node[at])], names=["a", "b"])
 
-        found = (
-            sent.join(sets, "node")
-            .groupBy("token", "part", "low", "high")
-            .applyInArrow(run, "a long, b long")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        found = self.scratch.stage(found, "cells")
-        self.scratch.drop("cells-all", "cells-sent", "cells-wanted", "cells-sets", "split-wanted", "split-sets")
+        by = ["token", "part", "low", "high"]
+        waves, names = self.waves(sent, "node", wanted), []
+        for wave in range(waves):
+            now = sent.where(_in_wave(wave, waves, *by)).join(sets, "node").groupBy(*by).applyInArrow(run, "a long, b long")
+            names.append(f"cells-{wave}")
+            self.scratch.stage(now.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), names[-1])
+        parts = [self.spark.read.schema("a long, b long").parquet(self.scratch.path(name)) for name in names]
+        found = self.scratch.stage(_union(parts).distinct(), "cells")
+        self.scratch.drop(*names, "cells-all", "cells-sent", "cells-wanted", "cells-sets", "split-wanted", "split-sets")
         return found
 
     def verified(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
@@ -267,7 +281,6 @@ class _Join:
             sets = self.scratch.stage(self._sets(wanted, make, "tokens binary", filtered=True), f"{name}-sets")
         one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
         two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-        both = pairs.join(one, "a").join(two, "b")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def shared(x: np.ndarray, y: np.ndarray) -> int:
@@ -287,10 +300,15 @@ class _Join:
                     names=["a", "b", "shared", "united"],
                 )
 
+        kinds = "a long, b long, shared long, united long"
+        waves, parts = self.waves(pairs, "a", wanted), []
         with small_batches(self.spark, 200):  # a row holds two whole sets
-            found = self.scratch.stage(
-                both.mapInArrow(run, "a long, b long, shared long, united long"), f"{name}-verified"
-            )
+            for wave in range(waves):
+                mine = _in_wave(wave, waves, "a")
+                both = pairs.where(mine).join(one.where(mine), "a").join(two, "b")
+                parts.append(f"{name}-verified/{wave}")
+                self.scratch.stage(both.mapInArrow(run, kinds), parts[-1])
+        found = self.spark.read.schema(kinds).parquet(*[self.scratch.path(part) for part in parts])
         self.scratch.drop(f"{name}-pairs", f"{name}-wanted", f"{name}-sets")
         return found
 
@@ -352,6 +370,11 @@ def _measured(lists: DataFrame) -> DataFrame:
     return sizes.where("size > 1")
 
 
+def _in_wave(wave: int, waves: int, *by: str):
+    """Rows of one of so many waves; rows with equal `by` are in the same."""
+    return F.lit(True) if waves == 1 else F.pmod(F.xxhash64(*by), F.lit(waves)) == wave
+
+
 def _distinct_cells(sent: DataFrame) -> DataFrame:
     """The rows of one cell of all that have the same nodes, as lists of several tokens often do; its links are theirs.
 

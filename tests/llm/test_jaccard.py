@@ -135,3 +135,25 @@ def test_cells_of_the_same_members_are_sent_once(spark):
     sent = spark.createDataFrame([(*c, n) for c, nodes in cells.items() for n in nodes], "token long, part long, low int, high int, node long")
     found = [tuple(r) for r in jaccard._distinct_cells(sent).collect()]
     assert sorted(found) == sorted((*c, n) for c, nodes in cells.items() if c[0] != 8 for n in nodes)
+
+
+def test_sets_are_sent_in_waves_of_bounded_bytes(spark, monkeypatch):
+    for name, value in (("ROUNDS", 1), ("SHORT", 3), ("BLOCK", 8), ("ROOM", 1)):
+        monkeypatch.setattr(jaccard, name, value)
+    given, waves = [], []
+
+    def counted(self, sent, *args, before=jaccard._Join.waves):
+        given.append((sent.count(), before(self, sent, *args)))
+        return given[-1][1]
+
+    def noted(wave, n, *by, before=jaccard._in_wave):
+        waves.append((wave, n))
+        return before(wave, n, *by)
+
+    monkeypatch.setattr(jaccard._Join, "waves", counted)
+    monkeypatch.setattr(jaccard, "_in_wave", noted)
+    docs = alike(60, 2) + [(1000 + i, t) for i, t in alike(30, 1)]
+    assert found(spark, docs, 3, 90, 100) == brute(docs, 3, 90, 100)
+    # texts are about equally long, so as many rows as documents fill a wave
+    assert max(n for _, n in given) > 3 and all(n >= rows / len(docs) * 0.7 for rows, n in given)
+    assert {w for w, n in waves if n == max(n for _, n in given)} == set(range(max(n for _, n in given)))
