@@ -484,3 +484,18 @@ def test_a_compressed_sink_holds_the_same_documents(spark, sources_of, tmp_path)
     work.release()
     assert rows[None] == rows["gzip"] and len(rows["gzip"]) == 300
     assert size["gzip"] * 5 < size[None]
+
+
+def test_sweeps_unfold_rows_in_generated_code(spark):
+    """An `inline` over array functions is evaluated term by term, and was most of the time of all findings."""
+    from srcweave.operators import flow, sweeps
+
+    made = spark.createDataFrame([("a.py", "def f(a):\n    return open(a)\n")], "file string, source string")
+    work = Analysis(made, partitions=2)
+    for swept in (sweeps.name_counts(work.nodes), sweeps.symbol_table(work.nodes), flow.complexity(work.nodes)):
+        plan = swept._jdf.queryExecution().executedPlan().toString()
+        early = [line for line in plan.splitlines() if "Generate inline(" in line and "lambda" in line and "node_type" in line]
+        assert not early, early
+    found = {(r["code"], r["lineno"]) for r in work.findings.collect()}
+    assert ("GRAMMAR_VULN", 2) in found
+    work.release()
