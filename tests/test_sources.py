@@ -499,3 +499,18 @@ def test_sweeps_unfold_rows_in_generated_code(spark):
     found = {(r["code"], r["lineno"]) for r in work.findings.collect()}
     assert ("GRAMMAR_VULN", 2) in found
     work.release()
+
+
+def test_corpus_files_are_saved_and_removed_by_path_and_uri(tmp_path):
+    import pyarrow as pa
+
+    from checks import queries
+
+    assert queries.FOLDER_FILES <= 200_000  # longer-lived files reach the disk, and cost ten times as much to remove
+    rows = pa.RecordBatch.from_pydict({"file": ["a/b/x.py", "y.py"], "source": ["é = 1\n", ""]})
+    for folder in (f"{tmp_path}/plain", f"file://{tmp_path}/uri"):
+        inner = folder.removeprefix("file://")
+        assert [b.num_rows for b in queries._save_batches(folder)(iter([rows, rows]))] == [2, 2]
+        assert open(f"{inner}/a/b/x.py", "rb").read() == "é = 1\n".encode() and os.path.getsize(f"{inner}/y.py") == 0
+        list(queries._save_batches(folder, remove=True)(iter([rows, rows])))
+        assert not os.path.exists(f"{inner}/a/b/x.py") and not os.path.exists(f"{inner}/y.py")
